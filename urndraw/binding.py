@@ -124,6 +124,3 @@ def health_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("ts"),
         (F.col("event_type") != "error").alias("healthy"),
     )
-
-
-__all__ = ["DAILY", "STATION", "control_events", "draw_fact", "health_ticks", "observations", "sessions", "table"]

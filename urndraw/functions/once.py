@@ -14,3 +14,12 @@ def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """
     kept = [c for c in df.columns if c not in columns]
     return df.select(*kept, F.inline(F.array(F.struct(*[column.alias(name) for name, column in columns.items()]))))
+
+
+def fan_out(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash by ``keys`` into all configured shuffle partitions.
+
+    For steps whose output is many times their input: adaptive execution sizes partitions by the
+    input and would merge them into a few tasks. A following group or window by ``keys`` reuses it.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)

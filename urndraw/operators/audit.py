@@ -7,8 +7,7 @@ text and are cast with ``try_cast``, so a damaged row becomes a finding and neve
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,22 +30,21 @@ REQUIRED = {
 }
 
 
-@dataclass(frozen=True)
 class Published:
-    """What an audit looks at. ``manifest``/``store`` are object tables, ``required`` the keys that must be referenced."""
-
-    profile: Profile
-    run_id: str
-    start: str
-    end: str
-    dates: DataFrame | None = None
-    fact: DataFrame | None = None
-    loto: DataFrame | None = None
-    stations: DataFrame | None = None
-    expected: DataFrame | None = None
-    manifest: DataFrame | None = None
-    store: DataFrame | None = None
-    required: DataFrame | None = None
+    """What an audit looks at: named tables, each built when a rule first asks for it.
+
+    Tables: dates, fact, loto, stations, expected, manifest, store (object tables) and required
+    (the keys that must be referenced).
+    """
+
+    def __init__(self, profile: Profile, run_id: str, start: str, end: str, tables: dict[str, Callable[[], DataFrame]]):
+        self.profile, self.run_id, self.start, self.end = profile, run_id, start, end
+        self._tables = {name: cache(build) for name, build in tables.items()}
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_") or name not in self._tables:
+            raise AttributeError(name)
+        return self._tables[name]()
 
     def between(self, day: Column) -> Column:
         return day.between(F.lit(self.start).cast("date"), F.lit(self.end).cast("date"))

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from urndraw.functions.once import fan_out
 from urndraw.spec import ROLLING_WINDOWS, Profile, numbers_column
 
 
@@ -27,7 +28,7 @@ def draw_counts(rows: DataFrame, profile: Profile, number: str = "number_2d") ->
 def fold_draws(counts: DataFrame, profile: Profile) -> DataFrame:
     """One row per draw with its counts as a map of at most 100 entries."""
     names = [F.max("station_name").alias("station_name")] if profile.grain else []
-    return counts.groupBy(*profile.keys).agg(
+    return fan_out(counts, *profile.keys).groupBy(*profile.keys).agg(
         F.map_from_entries(F.collect_list(F.struct("number_2d", "frequency"))).alias("counts"), *names
     )
 
@@ -50,7 +51,10 @@ def newest_draws(folded: DataFrame, profile: Profile, last: int | None = None) -
 
     A station has at most one draw per calendar day; the daily profile has one row per day in all.
     """
-    w = W.partitionBy(*profile.grain) if profile.grain else W
+    if profile.grain:
+        folded, w = fan_out(folded, *profile.grain), W.partitionBy(*profile.grain)
+    else:
+        w = W
     index = F.row_number().over(w.orderBy(F.desc("draw_date"))).cast("long")
     out = folded.withColumn("draw_index", index)
     return out if last is None else out.where(F.col("draw_index") <= last)

@@ -9,10 +9,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urndraw.binding import DAILY, STATION, sessions, table
-from urndraw.functions.once import with_once
+from urndraw.functions.once import fan_out, with_once
 from urndraw.functions.text import zero_pad
 from urndraw.operators import parse, reconcile
 from urndraw.plans.registry import cte, query
+from urndraw.workdir import fresh_dir
 
 NOTICE = "Ngày này  không mở\n thưởng do nghỉ lễ"
 
@@ -27,9 +28,10 @@ def _display(day):
 
 
 def _from_orders(spark, sf):
-    return table(spark, sf, "orders").select(
+    orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("page_id"), F.to_date("o_orderdate").alias("selected_date"),
         (F.col("o_orderkey") % 10).alias("v"))
+    return fan_out(orders, "page_id")
 
 
 def daily_pages(spark, sf):
@@ -249,7 +251,7 @@ def two_sources(spark, sf):
         "draw_date", "station_code", "station_name", F.col("station_no").alias("no"),
         F.date_diff("draw_date", F.lit("1995-01-01").cast("date")).cast("long").alias("dd")).distinct()
     draws = draws.withColumn("seed", dd * 1000 + no).withColumn("c", (dd + no * 7) % 13)
-    truth = with_once(draws, {
+    truth = with_once(fan_out(draws, "draw_date", "station_code"), {
         name: F.array(*[value(F.col("seed"), gi, j, w) for j in range(1, count + 1)])
         for gi, (name, count, w) in enumerate(STATION.groups)})
     c, special = F.col("c"), F.col("special")[0]
@@ -270,7 +272,11 @@ def two_sources(spark, sf):
         "draw_date",
         F.when(no % 3 == 1, F.concat(F.lit("F"), no.cast("string"))).otherwise(F.col("station_code")).alias("station_code"),
         F.upper(F.regexp_replace("station_name", " ", "   ")).alias("station_name"), *STATION.group_names)
-    return primary, fallback
+    # both sources are stored tables, as fetched pages would be
+    path = fresh_dir(spark, "sources")
+    primary.write.parquet(f"{path}/primary")
+    fallback.write.parquet(f"{path}/fallback")
+    return spark.read.parquet(f"{path}/primary"), spark.read.parquet(f"{path}/fallback")
 
 
 def reconciled(spark, sf):

@@ -81,20 +81,20 @@ UNION ALL SELECT 'station-code-unique-per-day', count(*) FROM (SELECT 1 FROM fac
 
 
 def station_report(spark, sf):
-    fact = damaged_fact(spark, sf)
+    fact, loto = store(spark, damaged_fact(spark, sf), damaged_grid(spark, sf))
     drawn = sessions_drawn(spark, sf).select("draw_date", "station_code").distinct()
     expected = expected_sets(spark, sf).join(drawn.select("draw_date").distinct(), "draw_date", "left_semi").drop("region")
     mismatch = calendars.set_mismatch(drawn, expected, ["draw_date", "station_code"])
     statuses = marts.dim_date(drawn).select("date", F.col("draw_status").alias("status"))
     return quality.quality_report(
-        fact, damaged_grid(spark, sf), statuses, STATION, RUN_ID, "2001-06-30", mismatch, [fact.select("run_id")])
+        fact, loto, statuses, STATION, RUN_ID, "2001-06-30", mismatch, [fact.select("run_id")])
 
 
 def daily_report(spark, sf):
-    fact = damaged_fact(spark, sf, DAILY)
+    fact, loto = store(spark, damaged_fact(spark, sf, DAILY), damaged_grid(spark, sf, DAILY))
     statuses = marts.dim_date(sessions_drawn(spark, sf)).select("date", F.col("draw_status").alias("status"))
     return quality.quality_report(
-        fact, damaged_grid(spark, sf, DAILY), statuses, DAILY, RUN_ID, "2001-06-30", None, [fact.select("run_id")])
+        fact, loto, statuses, DAILY, RUN_ID, "2001-06-30", None, [fact.select("run_id")])
 
 
 query("quality_report", _report(STATION_CHECKS))(station_report)
@@ -253,18 +253,25 @@ def damaged_stations(spark, sf):
     return rows.unionByName(rows.where("n % 5 = 2")).drop("n")
 
 
+def store(spark, *frames):
+    """Write frames that several checks read, and read them back."""
+    path = fresh_dir(spark, "stored")
+    for at, df in enumerate(frames):
+        df.write.parquet(f"{path}/{at}")
+    return [spark.read.parquet(f"{path}/{at}") for at in range(len(frames))]
+
+
 def published(spark, sf, stored=False):
     """The damaged release. ``stored`` writes both facts first, for audits that read them many times."""
-    fact, loto = audit_fact(spark, sf), audit_loto(spark, sf)
+    tables = {
+        "dates": lambda: damaged_dates(spark, sf), "fact": lambda: audit_fact(spark, sf), "loto": lambda: audit_loto(spark, sf),
+        "stations": lambda: damaged_stations(spark, sf), "expected": lambda: expected_sets(spark, sf),
+        "manifest": lambda: objects(spark, sf)[0], "store": lambda: objects(spark, sf)[1], "required": lambda: objects(spark, sf)[2],
+    }
     if stored:
-        path = fresh_dir(spark, "audit")
-        fact.write.parquet(f"{path}/fact")
-        loto.write.parquet(f"{path}/loto")
-        fact, loto = spark.read.parquet(f"{path}/fact"), spark.read.parquet(f"{path}/loto")
-    manifest, store, required = objects(spark, sf)
-    return audit.Published(
-        STATION, RUN_ID, START, END, damaged_dates(spark, sf), fact, loto, damaged_stations(spark, sf),
-        expected_sets(spark, sf), manifest, store, required)
+        fact, loto = store(spark, audit_fact(spark, sf), audit_loto(spark, sf))
+        tables |= {"fact": lambda: fact, "loto": lambda: loto}
+    return audit.Published(STATION, RUN_ID, START, END, tables)
 
 
 _FR = f"(SELECT * FROM afact WHERE d {IN_RANGE})"

@@ -19,11 +19,29 @@ def minute_of_day(ts: Column) -> Column:
     return (F.hour(ts) * 60 + F.minute(ts)).cast("long")
 
 
-def expected_date(utc: Column, rollover_minute: int = ROLLOVER_MINUTE) -> Column:
-    """The draw date that should be complete at this moment."""
+def epoch_minute(ts: Column) -> Column:
+    """Minutes since 1970 of a local timestamp, whatever the session time zone."""
+    return F.date_diff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long") * 1440 + minute_of_day(ts)
+
+
+def whole_seconds(span: Column) -> Column:
+    parts = (("DAY", 86400), ("HOUR", 3600), ("MINUTE", 60))
+    total = F.floor(F.extract(F.lit("SECOND"), span))
+    for unit, size in parts:
+        total = total + F.extract(F.lit(unit), span) * size
+    return total.cast("long")
+
+
+def latest_completed(utc: Column, cutoff_minute: Column | int) -> Column:
+    """Last date whose draw is complete: today from the cut-off on, else yesterday."""
     local = local_time(utc)
     day = F.to_date(local)
-    return F.when(minute_of_day(local) >= rollover_minute, day).otherwise(F.date_sub(day, 1))
+    return F.when(minute_of_day(local) >= cutoff_minute, day).otherwise(F.date_sub(day, 1))
+
+
+def expected_date(utc: Column, rollover_minute: int = ROLLOVER_MINUTE) -> Column:
+    """The draw date that should be served at this moment."""
+    return latest_completed(utc, rollover_minute)
 
 
 def alert_window(utc: Column, warning: int = WARNING_MINUTE, critical: int = CRITICAL_MINUTE) -> Column:

@@ -64,9 +64,18 @@ CENTRAL_OVERRIDES = (
     ("2021-09-04", "DNO"),
 )
 
+# Local minute of day from which a region's own draw counts as complete.
+DRAW_CUTOFFS = {"south": 16 * 60 + 35, "central": 17 * 60 + 35, "north": 18 * 60 + 35}
+
 STATUSES = ("success", "no_draw", "missing", "failed")
-CLOSED_STATUSES = ("success", "no_draw")
-OPEN_STATUSES = ("missing", "failed")
+CLOSED_# Fixed values: local minute of day from which a region's own draw counts as complete.
+DRAW_CUTOFFS = {"south": 16 * 60 + 35, "central": 17 * 60 + 35, "north": 18 * 60 + 35}
+
+STATUSES = ("success", "no_draw")
+OPEN_# Fixed values: local minute of day from which a region's own draw counts as complete.
+DRAW_CUTOFFS = {"south": 16 * 60 + 35, "central": 17 * 60 + 35, "north": 18 * 60 + 35}
+
+STATUSES = ("missing", "failed")
 
 ROLLING_WINDOWS = (7, 30, 90)
 MODEL_KINDS = ("frequency", "gap", "balanced")

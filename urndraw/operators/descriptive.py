@@ -57,7 +57,7 @@ def heatmap(values: DataFrame, value: str) -> DataFrame:
         F.coalesce(F.max(F.when(ones == str(digit), F.col(value))), F.lit(0)).alias(f"ones_{digit}")
         for digit in range(10)
     ]
-    filled = F.broadcast(dim_number(spark).select("number_2d")).join(values, "number_2d", "left")
+    filled = dim_number(spark).select("number_2d").join(values, "number_2d", "left")
     return filled.groupBy(tens.cast("long").alias("tens")).agg(*cells)
 
 

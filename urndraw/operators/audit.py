@@ -118,34 +118,34 @@ def _dates_duplicate(p):
     return _bad(rows.groupBy("_day").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), _text("_day"))
 
 
-def _dates_gap(p):
-    return _bad(status_by_date(p).where("present is null"), _text("_day"))
-
-
-def _status_invalid(p):
-    return _bad(status_by_date(p).where(F.col("raw_status").isNotNull() & ~F.col("raw_status").isin(*STATUSES)), _text("_day"))
-
-
-def _status_is(value):
-    return lambda p: _bad(status_by_date(p).where(F.col("status") == value), _text("_day"))
-
-
-def _run_mismatch(rows_of, *key):
-    return lambda p: _bad(rows_of(p).where(~F.col("run_id").eqNullSafe(F.lit(p.run_id))), _text(*key, "run_id"))
-
-
-def _date_invalid(rows_of, *key):
-    return lambda p: _bad(rows_of(p).where("_day is null"), _text(*key))
-
-
-def _alignment(p: Published) -> DataFrame:
-    facts = _fact_in(p).select("_day").distinct().withColumn("has_fact", F.lit(True))
-    lotos = _loto_in(p).select("_day").distinct().withColumn("has_loto", F.lit(True))
-    return status_by_date(p).join(facts, "_day", "left").join(lotos, "_day", "left")
-
-
-def _aligned(condition: str):
-    return lambda p: _bad(_alignment(p).where(condition), _text("_day"))
+def _offences(rows: DataFrame, rules: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """All row rules of one table in one scan: (code, txt) for every rule a row breaks."""
+    broken = [
+        F.when(is_bad, F.struct(F.lit(code).alias("code"), text.alias("txt"))) for code, (is_bad, text) in rules.items()
+    ]
+    return rows.select(F.inline(F.array_compact(F.array(*broken))))
+
+
+def _calendar(p: Published, codes: list[str]) -> DataFrame:
+    """Status and alignment rules: one row per date of the range, with the presence of facts if needed."""
+    rows = status_by_date(p)
+    aligned = {"success-date-missing-draw-facts", "success-date-missing-loto-facts", "no-draw-has-facts", "incomplete-date-has-facts"}
+    if aligned & set(codes):
+        for name, table in (("has_fact", _fact_in(p)), ("has_loto", _loto_in(p))):
+            rows = rows.join(table.select("_day").distinct().withColumn(name, F.lit(True)), "_day", "left")
+    day, status, raw = _text("_day"), F.col("status"), F.col("raw_status")
+    has_fact, has_loto = (F.coalesce(F.col(n), F.lit(False)) if aligned & set(codes) else F.lit(False) for n in ("has_fact", "has_loto"))
+    rules = {
+        "dim-date-calendar-gap": (F.col("present").isNull(), day),
+        "draw-status-invalid": (raw.isNotNull() & ~raw.isin(*STATUSES), day),
+        "draw-status-missing": (status == "missing", day),
+        "draw-status-failed": (status == "failed", day),
+        "success-date-missing-draw-facts": ((status == "success") & ~has_fact, day),
+        "success-date-missing-loto-facts": ((status == "success") & ~has_loto, day),
+        "no-draw-has-facts": ((status == "no_draw") & (has_fact | has_loto), day),
+        "incomplete-date-has-facts": (status.isin("missing", "failed") & (has_fact | has_loto), day),
+    }
+    return _offences(rows, {code: rules[code] for code in codes})
 
 
 def _fact_duplicate(p):
@@ -173,12 +173,12 @@ def _fact_layout(p):
     return _bad(sets.where((F.col("_in") != p.profile.prize_count) | (F.col("_out") > 0)), _text(*_grain(p)))
 
 
-def _fact_integrity(p):
+def _sound_prize(p: Published) -> Column:
     width = p.profile.width_of(F.col("prize_group"))
     full, order = _whole("full_number"), _whole("prize_order")
     expected = zero_pad(full, width)
     loto = F.col("loto_2d")
-    valid = (
+    return (
         width.isNotNull() & order.isNotNull() & (_whole("prize_width") == width) & (full >= 0)
         & (full < F.pow(F.lit(10), width).cast("long"))
         & is_digits(F.col("formatted_number")) & (F.col("formatted_number") == expected)
@@ -186,29 +186,60 @@ def _fact_integrity(p):
         & (_whole("tens_digit") == F.expr("try_cast(substr(loto_2d, 1, 1) as bigint)"))
         & (_whole("ones_digit") == F.expr("try_cast(substr(loto_2d, 2, 1) as bigint)"))
     )
-    return _bad(_fact_in(p).where(~F.coalesce(valid, F.lit(False))), _text(*_grain(p), "prize_group", "prize_order"))
 
 
-def _loto_duplicate(p):
-    return _bad(duplicate_rows(_loto_in(p), [*_grain(p), "number_2d"]), _text(*_grain(p), "number_2d"))
+def _not(condition: Column) -> Column:
+    return ~F.coalesce(condition, F.lit(False))
+
 
+def _fact_rows(p: Published, codes: list[str]) -> DataFrame:
+    inside, raw = p.between(F.col("_day")), ["draw_date", *p.profile.grain, "prize_group", "prize_order"]
+    rules = {
+        "fact-run-id-mismatch": (~F.col("run_id").eqNullSafe(F.lit(p.run_id)), _text(*raw, "run_id")),
+        "fact-draw-date-invalid": (F.col("_day").isNull(), _text(*raw)),
+        "fact-prize-integrity-invalid": (inside & _not(_sound_prize(p)), _text(*_grain(p), "prize_group", "prize_order")),
+    }
+    return _offences(_fact(p), {code: rules[code] for code in codes})
 
-def _loto_where(condition: Callable[[], Column]):
-    return lambda p: _bad(_loto_in(p).where(~F.coalesce(condition(), F.lit(False))), _text(*_grain(p), "number_2d"))
 
+def _loto_rows(p: Published, codes: list[str]) -> DataFrame:
+    inside, raw = p.between(F.col("_day")), ["draw_date", *p.profile.grain, "number_2d"]
+    frequency, key = _whole("frequency"), _text(*_grain(p), "number_2d")
+    appeared = F.expr("try_cast(appeared as boolean)") == F.coalesce(frequency > 0, F.lit(False))
+    rules = {
+        "loto-run-id-mismatch": (~F.col("run_id").eqNullSafe(F.lit(p.run_id)), _text(*raw, "run_id")),
+        "loto-draw-date-invalid": (F.col("_day").isNull(), _text(*raw)),
+        "loto-number-invalid": (inside & _not(is_digits(F.col("number_2d"), 2)), key),
+        "loto-frequency-invalid": (inside & _not(frequency >= 0), key),
+        "loto-appeared-invalid": (inside & _not(appeared), key),
+    }
+    return _offences(_loto(p), {code: rules[code] for code in codes})
 
-def _loto_coverage(p):
-    per_number = _loto_in(p).where("number_2d is not null").groupBy(*_grain(p), "number_2d").agg(F.count(F.lit(1)).alias("_n"))
+
+def _loto_draws(p: Published, codes: list[str]) -> DataFrame:
+    """Row count, frequency sum and coverage of each draw, from one count per number."""
     good = is_digits(F.col("number_2d"), 2)
-    sets = per_number.groupBy(*_grain(p)).agg(
-        F.count(F.when(good, 1)).alias("_in"), F.count(F.when(~good, 1)).alias("_out"))
-    everyone = _loto_in(p).select(*_grain(p)).distinct()
-    joined = everyone.join(sets, _grain(p), "left")
-    return _bad(joined.where((F.coalesce("_in", F.lit(0)) != 100) | (F.coalesce("_out", F.lit(0)) > 0)), _text(*_grain(p)))
+    per_number = _loto_in(p).groupBy(*_grain(p), "number_2d").agg(
+        F.count(F.lit(1)).alias("_n"), F.sum(_whole("frequency")).alias("_f")
+    )
+    draws = per_number.groupBy(*_grain(p)).agg(
+        F.sum("_n").alias("_rows"), F.sum("_f").alias("_sum"),
+        F.count(F.when(good, 1)).alias("_in"), F.count(F.when(~good, 1)).alias("_out"),
+    )
+
+    def shown(name):
+        return F.concat(_text(*_grain(p)), F.lit("="), F.coalesce(F.col(name).cast("string"), F.lit("<null>")))
+
+    rules = {
+        "loto-row-count-invalid": (F.col("_rows") != 100, shown("_rows")),
+        "loto-frequency-sum-invalid": (~F.col("_sum").eqNullSafe(F.lit(p.profile.prize_count).cast("long")), shown("_sum")),
+        "loto-number-coverage-invalid": ((F.col("_in") != 100) | (F.col("_out") > 0), _text(*_grain(p))),
+    }
+    return _offences(draws, {code: rules[code] for code in codes})
 
 
-def _loto_sum(p):
-    return _count_not(_loto_in(p), _grain(p), F.sum(_whole("frequency")), p.profile.prize_count)
+def _loto_duplicate(p):
+    return _bad(duplicate_rows(_loto_in(p), [*_grain(p), "number_2d"]), _text(*_grain(p), "number_2d"))
 
 
 def _loto_mismatch(p):
@@ -264,8 +295,14 @@ def _checked(p: Published) -> DataFrame:
     return release_integrity(p.manifest, p.store)
 
 
-def _object_issue(issue: str):
-    return lambda p: _bad(_checked(p).where(F.col("issue") == issue), _text("key"))
+_OBJECT_ISSUES = {
+    "gold-reference-duplicate": "duplicate_reference", "gold-object-missing": "missing",
+    "gold-object-size-mismatch": "size", "gold-object-checksum-mismatch": "sha256",
+}
+
+
+def _objects(p: Published, codes: list[str]) -> DataFrame:
+    return _offences(_checked(p), {code: (F.col("issue") == _OBJECT_ISSUES[code], _text("key")) for code in codes})
 
 
 def _reference_missing(p):
@@ -280,50 +317,38 @@ def _publication(p):
     return outside.unionByName(broken).unionByName(repeated)
 
 
-_FACT_KEY = ("draw_date", "station_code", "prize_group", "prize_order")
-_LOTO_KEY = ("draw_date", "station_code", "number_2d")
-
-RULES: dict[str, Callable[[Published], DataFrame]] = {
-    "lake-publication-invalid": _publication,
-    "gold-reference-duplicate": _object_issue("duplicate_reference"),
-    "gold-reference-missing": _reference_missing,
-    "gold-object-missing": _object_issue("missing"),
-    "gold-object-size-mismatch": _object_issue("size"),
-    "gold-object-checksum-mismatch": _object_issue("sha256"),
-    "dim-date-values-invalid": _dates_invalid,
-    "dim-date-business-key-duplicate": _dates_duplicate,
-    "dim-date-calendar-gap": _dates_gap,
-    "draw-status-invalid": _status_invalid,
-    "draw-status-missing": _status_is("missing"),
-    "draw-status-failed": _status_is("failed"),
-    "fact-run-id-mismatch": _run_mismatch(_fact, *_FACT_KEY),
-    "loto-run-id-mismatch": _run_mismatch(_loto, *_LOTO_KEY),
-    "fact-draw-date-invalid": _date_invalid(_fact, *_FACT_KEY),
-    "loto-draw-date-invalid": _date_invalid(_loto, *_LOTO_KEY),
-    "success-date-missing-draw-facts": _aligned("status = 'success' and has_fact is null"),
-    "success-date-missing-loto-facts": _aligned("status = 'success' and has_loto is null"),
-    "no-draw-has-facts": _aligned("status = 'no_draw' and (has_fact or has_loto)"),
-    "incomplete-date-has-facts": _aligned("status in ('missing', 'failed') and (has_fact or has_loto)"),
-    "fact-business-key-duplicate": _fact_duplicate,
-    "fact-row-count-invalid": _fact_count,
-    "fact-prize-layout-invalid": _fact_layout,
-    "fact-prize-integrity-invalid": _fact_integrity,
-    "loto-business-key-duplicate": _loto_duplicate,
-    "loto-row-count-invalid": lambda p: _count_not(_loto_in(p), _grain(p), F.count(F.lit(1)), 100),
-    "loto-number-invalid": _loto_where(lambda: is_digits(F.col("number_2d"), 2)),
-    "loto-number-coverage-invalid": _loto_coverage,
-    "loto-frequency-invalid": _loto_where(lambda: _whole("frequency") >= 0),
-    "loto-frequency-sum-invalid": _loto_sum,
-    "loto-appeared-invalid": _loto_where(
-        lambda: F.expr("try_cast(appeared as boolean)") == F.coalesce(_whole("frequency") > 0, F.lit(False))),
-    "loto-frequency-fact-mismatch": _loto_mismatch,
-    "station-set-mismatch": _station_sets,
-    "dim-station-code-invalid": _station_code,
-    "dim-station-business-key-duplicate": _station_duplicate,
-    "dim-station-range-invalid": _station_range,
-    "dim-station-code-set-mismatch": _station_codes,
-    "dim-station-range-mismatch": _station_dates,
-}
+
+def _one(rule: Callable[[Published], DataFrame]) -> Callable[[Published, list[str]], DataFrame]:
+    return lambda p, codes: rule(p).select(F.lit(codes[0]).alias("code"), "txt")
+
+
+# rules that share a scan, a grouping or a join stand together
+FAMILIES: tuple[tuple[tuple[str, ...], Callable[[Published, list[str]], DataFrame]], ...] = (
+    (("lake-publication-invalid",), _one(_publication)),
+    (tuple(_OBJECT_ISSUES), _objects),
+    (("gold-reference-missing",), _one(_reference_missing)),
+    (("dim-date-values-invalid",), _one(_dates_invalid)),
+    (("dim-date-business-key-duplicate",), _one(_dates_duplicate)),
+    (("dim-date-calendar-gap", "draw-status-invalid", "draw-status-missing", "draw-status-failed",
+      "success-date-missing-draw-facts", "success-date-missing-loto-facts", "no-draw-has-facts",
+      "incomplete-date-has-facts"), _calendar),
+    (("fact-run-id-mismatch", "fact-draw-date-invalid", "fact-prize-integrity-invalid"), _fact_rows),
+    (("fact-business-key-duplicate",), _one(_fact_duplicate)),
+    (("fact-row-count-invalid",), _one(_fact_count)),
+    (("fact-prize-layout-invalid",), _one(_fact_layout)),
+    (("loto-run-id-mismatch", "loto-draw-date-invalid", "loto-number-invalid", "loto-frequency-invalid",
+      "loto-appeared-invalid"), _loto_rows),
+    (("loto-business-key-duplicate",), _one(_loto_duplicate)),
+    (("loto-row-count-invalid", "loto-frequency-sum-invalid", "loto-number-coverage-invalid"), _loto_draws),
+    (("loto-frequency-fact-mismatch",), _one(_loto_mismatch)),
+    (("station-set-mismatch",), _one(_station_sets)),
+    (("dim-station-code-invalid",), _one(_station_code)),
+    (("dim-station-business-key-duplicate",), _one(_station_duplicate)),
+    (("dim-station-range-invalid",), _one(_station_range)),
+    (("dim-station-code-set-mismatch",), _one(_station_codes)),
+    (("dim-station-range-mismatch",), _one(_station_dates)),
+)
+RULES = tuple(code for codes, _ in FAMILIES for code in codes)
 # rules that are one finding however many members differ
 SINGLE = frozenset({"dim-station-code-set-mismatch"})
 
@@ -334,7 +359,9 @@ def findings(published: Published, codes: list[str]) -> DataFrame:
     Samples are ranked per rule with the limit applied in every task first, so a rule with many
     offenders is counted, not collected.
     """
-    parts = [RULES[code](published).select(F.lit(code).alias("code"), "txt") for code in codes]
+    if unknown := set(codes) - set(RULES):
+        raise ValueError(f"unknown audit rules: {sorted(unknown)}")
+    parts = [rule(published, own) for family, rule in FAMILIES if (own := [c for c in family if c in codes])]
     rows = reduce(lambda a, b: a.unionByName(b), parts)
     counts = rows.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     samples = first_k_per(rows, ["code"], [F.asc("txt")], SAMPLE_LIMIT).groupBy("code").agg(

@@ -16,22 +16,17 @@ def canonical_draws(fact: DataFrame, profile: Profile, most: int) -> DataFrame:
     larger group keeps its row and its true ``result_count`` with ``complete`` false; the prizes
     beyond are ``fact.where(prize_order > most)``, in long form.
     """
-    grouped = {
-        name: F.array_sort(
-            F.collect_list(
-                F.when(
-                    (F.col("prize_group") == name) & (F.col("prize_order") <= most),
-                    F.struct("prize_order", "formatted_number"),
-                )
-            )
-        )
-        for name in profile.group_names
-    }
+    place = F.when(F.col("prize_order") <= most, F.struct("prize_order", "prize_group", "formatted_number"))
     station = [
         F.min("station_order").alias("station_order"),
         F.max("station_name").alias("station_name"),
         F.min("station_url").alias("station_url"),
     ] if profile.grain else []
+
+    def values(name: str) -> Column:
+        own = F.filter("_places", lambda p: p["prize_group"] == name)
+        return F.transform(own, lambda p: p["formatted_number"])
+
     return (
         fact.groupBy(*profile.keys)
         .agg(
@@ -39,9 +34,10 @@ def canonical_draws(fact: DataFrame, profile: Profile, most: int) -> DataFrame:
             *station,
             F.count(F.lit(1)).alias("result_count"),
             (F.max("prize_order") <= most).alias("complete"),
-            *[column.alias(name) for name, column in grouped.items()],
+            F.array_sort(F.collect_list(place)).alias("_places"),
         )
-        .withColumns({name: F.transform(name, lambda p: p["formatted_number"]) for name in grouped})
+        .withColumns({name: values(name) for name in profile.group_names})
+        .drop("_places")
     )
 
 

@@ -68,9 +68,8 @@ def star_summary(loto: DataFrame, numbers: DataFrame, dates: DataFrame, stations
     The number table has 100 rows; the other dimensions are left to the planner, which broadcasts
     them only while they are small.
     """
-    by_day = loto.groupBy("station_code", "draw_date", "number_2d").agg(F.sum("frequency").alias("frequency"))
     return (
-        by_day.join(F.broadcast(numbers.select("number_2d", "tens_digit")), "number_2d")
+        loto.join(F.broadcast(numbers.select("number_2d", "tens_digit")), "number_2d")
         .groupBy("station_code", "draw_date", "tens_digit").agg(F.sum("frequency").alias("frequency"))
         .join(dates.select(F.col("date").alias("draw_date"), "day_name"), "draw_date")
         .join(stations.select("station_code", F.col("station_name").alias("current_name")), "station_code")

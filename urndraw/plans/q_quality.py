@@ -81,20 +81,20 @@ UNION ALL SELECT 'station-code-unique-per-day', count(*) FROM (SELECT 1 FROM fac
 
 
 def station_report(spark, sf):
-    fact, loto = store(spark, damaged_fact(spark, sf), damaged_grid(spark, sf))
+    (fact,) = store(spark, damaged_fact(spark, sf))
     drawn = sessions_drawn(spark, sf).select("draw_date", "station_code").distinct()
     expected = expected_sets(spark, sf).join(drawn.select("draw_date").distinct(), "draw_date", "left_semi").drop("region")
     mismatch = calendars.set_mismatch(drawn, expected, ["draw_date", "station_code"])
     statuses = marts.dim_date(drawn).select("date", F.col("draw_status").alias("status"))
     return quality.quality_report(
-        fact, loto, statuses, STATION, RUN_ID, "2001-06-30", mismatch, [fact.select("run_id")])
+        fact, damaged_grid(spark, sf), statuses, STATION, RUN_ID, "2001-06-30", mismatch, [fact.select("run_id")])
 
 
 def daily_report(spark, sf):
-    fact, loto = store(spark, damaged_fact(spark, sf, DAILY), damaged_grid(spark, sf, DAILY))
+    (fact,) = store(spark, damaged_fact(spark, sf, DAILY))
     statuses = marts.dim_date(sessions_drawn(spark, sf)).select("date", F.col("draw_status").alias("status"))
     return quality.quality_report(
-        fact, loto, statuses, DAILY, RUN_ID, "2001-06-30", None, [fact.select("run_id")])
+        fact, damaged_grid(spark, sf, DAILY), statuses, DAILY, RUN_ID, "2001-06-30", None, [fact.select("run_id")])
 
 
 query("quality_report", _report(STATION_CHECKS))(station_report)

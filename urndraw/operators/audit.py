@@ -11,6 +11,7 @@ from functools import cache, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from urndraw.functions.ranking import first_k_per
 from urndraw.functions.text import is_digits, tail_2d, zero_pad
@@ -59,10 +60,14 @@ def _day(name: str) -> Column:
     return F.expr(f"try_cast({name} as date)")
 
 
-def _whole(name: str) -> Column:
-    """The value as a whole number, NULL when it is none."""
+def _whole(df: DataFrame, name: str) -> Column:
+    """The value as a whole number, NULL when it is none; only odd spellings take the slow way."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.IntegralType):
+        return F.col(name).cast("long")
     number = F.expr(f"try_cast({name} as double)")
-    return F.when(number == F.floor(number), F.expr(f"try_cast({name} as decimal(38,0))").cast("long"))
+    exact = F.when(number == F.floor(number), F.expr(f"try_cast({name} as decimal(38,0))").cast("long"))
+    return F.coalesce(F.expr(f"try_cast({name} as bigint)"), exact) if isinstance(kind, T.StringType) else exact
 
 
 def _text(*names: str) -> Column:
@@ -162,7 +167,7 @@ def _fact_count(p):
 
 
 def _fact_layout(p):
-    rows = _fact_in(p).withColumn("_order", _whole("prize_order"))
+    rows = _fact_in(p).withColumn("_order", _whole(p.fact, "prize_order"))
     count = p.profile.count_of(F.col("prize_group"))
     usable = F.col("prize_group").isNotNull() & F.col("_order").isNotNull()
     known = F.coalesce(F.col("_order").between(F.lit(1), count), F.lit(False))
@@ -175,16 +180,16 @@ def _fact_layout(p):
 
 def _sound_prize(p: Published) -> Column:
     width = p.profile.width_of(F.col("prize_group"))
-    full, order = _whole("full_number"), _whole("prize_order")
+    full, order = _whole(p.fact, "full_number"), _whole(p.fact, "prize_order")
     expected = zero_pad(full, width)
     loto = F.col("loto_2d")
     return (
-        width.isNotNull() & order.isNotNull() & (_whole("prize_width") == width) & (full >= 0)
+        width.isNotNull() & order.isNotNull() & (_whole(p.fact, "prize_width") == width) & (full >= 0)
         & (full < F.pow(F.lit(10), width).cast("long"))
         & is_digits(F.col("formatted_number")) & (F.col("formatted_number") == expected)
         & is_digits(loto, 2) & (loto == tail_2d(expected))
-        & (_whole("tens_digit") == F.expr("try_cast(substr(loto_2d, 1, 1) as bigint)"))
-        & (_whole("ones_digit") == F.expr("try_cast(substr(loto_2d, 2, 1) as bigint)"))
+        & (_whole(p.fact, "tens_digit") == F.expr("try_cast(substr(loto_2d, 1, 1) as bigint)"))
+        & (_whole(p.fact, "ones_digit") == F.expr("try_cast(substr(loto_2d, 2, 1) as bigint)"))
     )
 
 
@@ -204,7 +209,7 @@ def _fact_rows(p: Published, codes: list[str]) -> DataFrame:
 
 def _loto_rows(p: Published, codes: list[str]) -> DataFrame:
     inside, raw = p.between(F.col("_day")), ["draw_date", *p.profile.grain, "number_2d"]
-    frequency, key = _whole("frequency"), _text(*_grain(p), "number_2d")
+    frequency, key = _whole(p.loto, "frequency"), _text(*_grain(p), "number_2d")
     appeared = F.expr("try_cast(appeared as boolean)") == F.coalesce(frequency > 0, F.lit(False))
     rules = {
         "loto-run-id-mismatch": (~F.col("run_id").eqNullSafe(F.lit(p.run_id)), _text(*raw, "run_id")),
@@ -220,7 +225,7 @@ def _loto_draws(p: Published, codes: list[str]) -> DataFrame:
     """Row count, frequency sum and coverage of each draw, from one count per number."""
     good = is_digits(F.col("number_2d"), 2)
     per_number = _loto_in(p).groupBy(*_grain(p), "number_2d").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(_whole("frequency")).alias("_f")
+        F.count(F.lit(1)).alias("_n"), F.sum(_whole(p.loto, "frequency")).alias("_f")
     )
     draws = per_number.groupBy(*_grain(p)).agg(
         F.sum("_n").alias("_rows"), F.sum("_f").alias("_sum"),
@@ -245,14 +250,16 @@ def _loto_duplicate(p):
 def _loto_mismatch(p):
     again = _fact_in(p).groupBy(*_grain(p), F.col("loto_2d").alias("number_2d")).agg(F.count(F.lit(1)).alias("_expected"))
     rows = _loto_in(p).join(again, [*_grain(p), "number_2d"], "left")
-    return _bad(rows.where(~_whole("frequency").eqNullSafe(F.coalesce("_expected", F.lit(0)))), _text(*_grain(p), "number_2d"))
+    return _bad(rows.where(~_whole(p.loto, "frequency").eqNullSafe(F.coalesce("_expected", F.lit(0)))), _text(*_grain(p), "number_2d"))
 
 
 def _station_sets(p):
     success = status_by_date(p).where("status = 'success'").select("_day")
     expected = p.expected.select(F.col("draw_date").alias("_day"), "station_code").join(success, "_day", "left_semi")
     wrong = [
-        set_mismatch(rows.select("_day", "station_code").join(success, "_day", "left_semi"), expected, ["_day", "station_code"])
+        set_mismatch(
+            rows.select("_day", "station_code").distinct().join(success, "_day", "left_semi"), expected, ["_day", "station_code"]
+        )
         for rows in (_fact_in(p), _loto_in(p))
     ]
     return _bad(wrong[0].unionByName(wrong[1]).select("_day").distinct(), _text("_day"))
@@ -353,16 +360,20 @@ RULES = tuple(code for codes, _ in FAMILIES for code in codes)
 SINGLE = frozenset({"dim-station-code-set-mismatch"})
 
 
-def findings(published: Published, codes: list[str]) -> DataFrame:
+def findings(published: Published, codes: list[str], staging: str | None = None) -> DataFrame:
     """One row per rule: count of offending rows and the first samples as text.
 
     Samples are ranked per rule with the limit applied in every task first, so a rule with many
-    offenders is counted, not collected.
+    offenders is counted, not collected. Counting and sampling both read the offences; with a
+    ``staging`` path they are written there once instead of being computed twice.
     """
     if unknown := set(codes) - set(RULES):
         raise ValueError(f"unknown audit rules: {sorted(unknown)}")
     parts = [rule(published, own) for family, rule in FAMILIES if (own := [c for c in family if c in codes])]
     rows = reduce(lambda a, b: a.unionByName(b), parts)
+    if staging is not None:
+        rows.write.parquet(staging)
+        rows = rows.sparkSession.read.schema("code string, txt string").parquet(staging)
     counts = rows.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     samples = first_k_per(rows, ["code"], [F.asc("txt")], SAMPLE_LIMIT).groupBy("code").agg(
         F.array_join(F.array_sort(F.collect_list("txt")), "; ").alias("samples")

@@ -372,7 +372,7 @@ def _(spark, sf):
 
 @query("history_audit", "SELECT code, severity, passed, finding_count FROM (" + "\nUNION ALL ".join(_finding_sql(c) for c in audit.RULES) + ")")
 def _(spark, sf):
-    return audit.findings(published(spark, sf, stored=True), list(audit.RULES)).drop("samples")
+    return audit.findings(published(spark, sf, stored=True), list(audit.RULES), fresh_dir(spark, "offences")).drop("samples")
 
 
 @query("release_integrity", "SELECT key, issue FROM achecked WHERE issue IS NOT NULL")

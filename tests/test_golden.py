@@ -88,6 +88,16 @@ def test_wide_and_sparse_shapes(fact):
     assert facts.legacy_long(wide, DAILY).count() == 54
 
 
+def test_a_draw_under_two_names_is_counted_once(spark):
+    rows = spark.createDataFrame(
+        [("S1", "2026-07-14", "Old", "07"), ("S1", "2026-07-14", "New", "07"), ("S1", "2026-07-14", "New", "08")],
+        "station_code string, draw_date string, station_name string, number_2d string",
+    ).withColumn("draw_date", F.to_date("draw_date"))
+    dense = grid.dense_grid(grid.draw_counts(rows, STATION), STATION)
+    assert dense.count() == 100
+    assert {r.number_2d: r.frequency for r in dense.where("frequency > 0").collect()} == {"07": 2, "08": 1}
+
+
 def test_three_gap_definitions(fact):
     counts = grid.draw_counts(fact, DAILY, "loto_2d")
     gap = {r.number_2d: r.current_gap for r in descriptive.current_gap(counts, DAILY).collect()}

@@ -38,7 +38,7 @@ def set_mismatch(actual: DataFrame, expected: DataFrame, keys: list[str]) -> Dat
 def loto_vs_fact(loto: DataFrame, counts: DataFrame, profile: Profile) -> DataFrame:
     """Dense rows whose frequency differs from the one counted again from the prize fact."""
     keys = [*profile.keys, "number_2d"]
-    again = counts.select(*keys, F.col("frequency").alias("_expected"))
+    again = counts.groupBy(*keys).agg(F.sum("frequency").alias("_expected"))
     joined = loto.join(again, keys, "left").select(
         *keys, F.col("frequency").alias("actual"), F.coalesce("_expected", F.lit(0)).alias("expected")
     )

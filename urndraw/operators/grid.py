@@ -18,19 +18,32 @@ from urndraw.spec import ROLLING_WINDOWS, Profile, numbers_column
 
 
 def draw_counts(rows: DataFrame, profile: Profile, number: str = "number_2d") -> DataFrame:
-    """How often each number came up in each draw."""
-    names = [F.max("station_name").alias("station_name")] if profile.grain else []
-    return rows.groupBy(*profile.keys, F.col(number).alias("number_2d")).agg(
-        F.count(F.lit(1)).alias("frequency"), *names
-    )
+    """How often each number came up in each draw.
+
+    The name is a grouping key, not an aggregate: a maximum of strings would make Spark sort the
+    prize rows before the shuffle, a plain count is hashed. A draw under two names gives one row
+    per name; ``fold_draws`` adds them up.
+    """
+    names = ["station_name"] if profile.grain else []
+    return rows.groupBy(*profile.keys, *names, F.col(number).alias("number_2d")).agg(F.count(F.lit(1)).alias("frequency"))
 
 
 def fold_draws(counts: DataFrame, profile: Profile) -> DataFrame:
     """One row per draw with its counts as a map of at most 100 entries."""
     names = [F.max("station_name").alias("station_name")] if profile.grain else []
-    return fan_out(counts, *profile.keys).groupBy(*profile.keys).agg(
-        F.map_from_entries(F.collect_list(F.struct("number_2d", "frequency"))).alias("counts"), *names
+    entries = F.col("_entries")
+    numbers = F.array_distinct(F.transform(entries, lambda e: e["number_2d"]))
+
+    def total(n: Column) -> Column:
+        own = F.filter(entries, lambda e: e["number_2d"] == n)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda acc, e: acc + e["frequency"])
+
+    merged = F.transform(numbers, lambda n: F.struct(n.alias("number_2d"), total(n).alias("frequency")))
+    folded = fan_out(counts, *profile.keys).groupBy(*profile.keys).agg(
+        F.collect_list(F.struct("number_2d", "frequency")).alias("_entries"), *names
     )
+    once = F.size(numbers) == F.size(entries)
+    return folded.withColumn("counts", F.map_from_entries(F.when(once, entries).otherwise(merged))).drop("_entries")
 
 
 def spread_draws(folded: DataFrame) -> DataFrame:

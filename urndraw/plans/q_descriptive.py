@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from urndraw.binding import DAILY, RUN_ID, STATION, draw_fact, table
 from urndraw.operators import descriptive as d
 from urndraw.operators import facts, grid, marts, serving, state
-from urndraw.plans.q_facts import counts_of, lake_states, sessions_drawn
+from urndraw.plans.q_facts import counts_of, lake_states
 from urndraw.plans.registry import cte, query
 from urndraw.spec import MODEL_WINDOWS, RECENT_DRAWS
 
@@ -329,5 +329,3 @@ def _(spark, sf):
 
     return layout_difference(draw_fact(spark, sf), STATION)
 
-
-__all__ = ["history", "sessions_drawn", "year_totals"]

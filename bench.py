@@ -11,11 +11,10 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 HEADLINE = [
-    "freq_by_draw", "total_frequency", "station_frequency", "loto_daily", "loto_daily_no_station", "draw_results",
-    "special_prize", "bi_star_join", "current_gap", "momentum", "pick_top_k", "walk_forward", "model_grid",
-    "bootstrap_ci", "compare_models", "quality_report", "history_audit", "upsert_silver", "build_gold",
-    "draw_records", "year_shards", "explorer_page", "page_prizes", "page_station_table", "reconcile", "latest_state",
-    "incident_fsm", "stream_ingest", "late_recompute",
+    "freq_by_draw", "total_frequency", "station_frequency", "loto_daily", "draw_results", "bi_star_join", "current_gap",
+    "momentum", "pick_top_k", "walk_forward", "model_grid", "bootstrap_ci", "quality_report", "history_audit",
+    "upsert_silver", "build_gold", "draw_records", "year_shards", "explorer_page", "page_station_table", "reconcile",
+    "latest_state", "incident_fsm",
 ]
 
 

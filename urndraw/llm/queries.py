@@ -7,13 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import simhash
+from urndraw.llm import packing, simhash
 from urndraw.llm.common import read
 
+BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def query(name: str, sql: str | None = None):
     def wrap(build: Callable[[SparkSession, str], DataFrame]):
         QUERIES[name] = build
@@ -28,3 +35,9 @@ def query(name: str, sql: str | None = None):
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
+    return packing.assign(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))

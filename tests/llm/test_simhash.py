@@ -77,7 +77,7 @@ def test_divided_tries_find_the_same_links(spark):
     centre = np.uint64(0x0F0F_F0F0_1234_5678)
     values = np.unique(centre ^ (np.uint64(1) << rng.integers(0, 64, 300, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 300, dtype=np.uint64)))
     prints = spark.createDataFrame([(int(v),) for v in values.view(np.int64)], "fingerprint long")
-    got = simhash.links(prints, leaves=16, rows_per_group=64).collect()
+    got = simhash.links(prints, leaves=64, rows_per_group=1000).collect()
     at = {int(v): i for i, v in enumerate(values.view(np.int64))}
     for r in got:
         assert bin((r.a ^ r.b) & (2**64 - 1)).count("1") <= 3 * len(values)  # a chain of links

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import packing, simhash
+from urndraw.llm import bpe, packing, simhash
 from urndraw.llm.common import read
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -37,6 +37,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+@query("op3_bpe")
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.round_trip(read(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
+    return coded.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query("op5_packing")
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from urndraw.llm.common import stored, text_or_empty
 
 #: Distinct chunks of text whose ids a Python worker keeps; beyond it the worker starts afresh.
-CHUNKS = 400_000
+CHUNKS = 900_000
 #: Pieces that are numbered in one slot, on average.
 SLOT = 4000
 
@@ -46,10 +46,26 @@ class ChunkTokens:
         self.tokenizer.no_padding()
         self.limit = limit
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that start with the space of a chunk
+        self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_chunks(self, chunks: list[str]) -> list[bytes]:
+        """Ids of each chunk with a space in front: many in one text, which is cut again where a token starts with a space."""
+        out: list[bytes] = []
+        for at in range(0, len(chunks), 4096):
+            some = chunks[at:at + 4096]
+            ids = np.array(self.tokenizer.encode("".join([" " + c for c in some]), add_special_tokens=False).ids, np.uint32)
+            cuts = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)]
+            if len(cuts) != len(some) + 1:
+                raise ValueError("the vocabulary joins words over a space")
+            data = ids.tobytes()
+            out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.split(" ") for t in texts]
@@ -59,7 +75,7 @@ class ChunkTokens:
             new = {c for chunks in split for c in chunks[1:]}
         plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
         self.known.update(dict.fromkeys(new - set(plain)))  # None: not to be cut here
-        self.known.update(zip(plain, self._encode([" " + c for c in plain])))
+        self.known.update(zip(plain, self._encode_chunks(plain)))
         out: list[bytes | None] = []
         get = self.known.__getitem__
         for chunks in split:

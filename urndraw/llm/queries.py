@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import bpe, packing, simhash
+from urndraw.llm import bpe, langid, packing, simhash
 from urndraw.llm.common import read
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -49,3 +49,11 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = packing.pieces(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
     return packing.assign(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+@query("op6_langid")
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")

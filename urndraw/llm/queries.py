@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import bpe, langid, packing, simhash
+from urndraw.llm import bpe, langid, packing, pii, simhash
 from urndraw.llm.common import read
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -57,3 +57,16 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~langid.held_out()))
     found = langid.predict(docs, model)
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def _listed(spans: str):
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    found = pii.find(docs, pii.train(docs))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))

@@ -66,3 +66,20 @@ def connected_components(edges: DataFrame, source: str, target: str, label: str
         links = small
     members = small.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return members.unionAll(members.select(F.col("component").alias("node"), "component").distinct())
+
+
+def later_occurrences(units: DataFrame, digest: str, rank: list[str]) -> DataFrame:
+    """The rows whose digest also occurs at a lower rank; rows of the same rank are one occurrence.
+
+    The earliest rank is a minimum, combined before its shuffle; only digests that occur again are joined back, by a plain
+    join that adaptive execution may split, so a digest in a third of all rows is no single task.
+    """
+    first = units.groupBy(digest).agg(F.min(F.struct(*rank)).alias("earliest"), F.count("*").alias("times"))
+    again = first.where("times > 1").select(F.col(digest), "earliest")
+    return units.join(again, digest).where(~F.struct(*rank).eqNullSafe(F.col("earliest"))).drop("earliest")
+
+
+def keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """(doc_id, version, text): rows equal in id and text are one document listed more than once."""
+    text = text_or_empty(text_column)
+    return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import bpe, langid, packing, pii, simhash
+from urndraw.llm import bpe, langid, linededup, packing, passages, pii, simhash
 from urndraw.llm.common import read
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -70,3 +70,29 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     kinds = F.transform("base", lambda s: s["kind"])
     counts = [(F.size(kinds) - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}") for kind in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
+# A line is filled if anything but blanks is in it; a match is two neighbouring filled lines that stood earlier.
+@query("op8_linededup", r"""
+WITH lines AS (
+  SELECT doc_id, i, parts[i] AS line, trim(parts[i], ' ' || chr(9) || chr(13) || chr(12) || chr(11)) AS bare
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents), unnest(range(1, len(parts) + 1)) AS u(i)),
+filled AS (SELECT *, lead(bare) OVER w AS next_bare, lead(i) OVER w AS next_i FROM lines WHERE bare <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+matches AS (
+  SELECT doc_id, i, next_i FROM (SELECT *, min(row(doc_id, i)) OVER (PARTITION BY bare, next_bare) AS earliest FROM filled WHERE next_bare IS NOT NULL)
+  WHERE row(doc_id, i) > earliest),
+gone AS (SELECT DISTINCT l.doc_id, l.i FROM lines l JOIN matches m ON m.doc_id = l.doc_id AND l.i BETWEEN m.i AND m.next_i)
+SELECT d.doc_id, CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') END AS text,
+  count(*) FILTER (WHERE l.bare <> '') AS n_lines, count(*) FILTER (WHERE l.bare <> '' AND g.i IS NOT NULL) AS n_removed
+FROM documents d JOIN lines l ON l.doc_id = d.doc_id LEFT JOIN gone g ON g.doc_id = l.doc_id AND g.i = l.i
+GROUP BY d.doc_id
+""")
+def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup_lines(read(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op9_passages")
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = passages.dedup_passages(read(spark, sf_dir, "documents"))
+    listed = {c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))) for c in ("removed", "kept")}
+    return found.withColumn("n_removed", F.size("removed").cast("long")).withColumns(listed)

@@ -34,7 +34,7 @@ def query(name: str, sql: str | None = None):
 @query("op1_simhash")
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read(spark, sf_dir, "documents"))
-    return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
+    return found.select("doc_id", "fingerprint", "component_id").withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
 @query("op3_bpe")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urndraw.llm.common import connected_components, stored, text_or_empty
+from urndraw.llm.common import connected_components, keyed, stored, text_or_empty
 
 BITS = 64
 #: A trie with more leaves is divided further.
@@ -53,15 +53,15 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, fingerprint as a signed long): one row per row of ``docs``."""
+    """(doc_id, version, fingerprint as a signed long): one row per row of ``docs``; ``version`` is a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints.view(np.int64))], ["doc_id", "fingerprint"])
+            prints = np.array([fingerprint(t, shingle) for t in batch.column(2).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(prints.view(np.int64))], ["doc_id", "version", "fingerprint"])
 
-    rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fingerprint long")
+    return keyed(docs, id_column, text_column).mapInArrow(run, "doc_id long, version long, fingerprint long")
 
 
 def trie_pairs(values: np.ndarray, budget: int, depth_end: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -210,16 +210,39 @@ def links(prints: DataFrame, budget: int = 3, leaves: int = LEAVES, rows_per_gro
 
 def near_duplicates(docs: DataFrame, budget: int = 3, shingle: int = 3, id_column: str = "doc_id",
                     text_column: str = "text") -> DataFrame:
-    """(doc_id, fingerprint long, component_id): the smallest id reachable over links of ``budget`` bits or fewer."""
+    """(doc_id, version, fingerprint, group, component_id): over links of ``budget`` bits or fewer.
+
+    ``group`` is the smallest fingerprint reachable and ``component_id`` the smallest id, null if no row of the group has one.
+    """
     prints = stored(fingerprints(docs, shingle, id_column, text_column), "simhash")
-    distinct = prints.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    distinct = stored(distinct, "simhash")
-    parts = connected_components(links(distinct, budget), "a", "b", "simhash")
-    parts = stored(parts, "simhash")
-    first = parts.join(distinct, parts["node"] == distinct["fingerprint"]).groupBy("component").agg(F.min("first").alias("first"))
-    joined = (
-        distinct.withColumnRenamed("first", "own")
-        .join(parts, F.col("fingerprint") == parts["node"], "left").join(first, "component", "left")
-        .select("fingerprint", F.coalesce("first", "own").alias("component_id"))
-    )
-    return prints.join(stored(joined, "simhash"), "fingerprint").select("doc_id", "fingerprint", "component_id")
+    distinct = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("own")), "simhash")
+    parts = stored(connected_components(links(distinct, budget), "a", "b", "simhash"), "simhash")
+    tied = parts.withColumnRenamed("node", "fingerprint").join(distinct, "fingerprint").select("fingerprint", "component", "own")
+    first = tied.groupBy("component").agg(F.min("own").alias("first"))
+    # only fingerprints that have a link are looked up by group; the others keep their own id
+    tied = stored(tied.select("fingerprint", "component").join(first, "component"), "simhash")
+    named = distinct.join(tied, "fingerprint", "left").select(
+        "fingerprint", F.coalesce("component", "fingerprint").alias("group"),
+        F.when(F.col("component").isNull(), F.col("own")).otherwise(F.col("first")).alias("component_id"))
+    return prints.join(stored(named, "simhash"), "fingerprint").select("doc_id", "version", "fingerprint", "group", "component_id")
+
+
+def one_of_each(docs: DataFrame, budget: int = 3, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group the row with the lowest id stays, null ids last, and
+    rows equal in id and text count once."""
+    near = stored(near_duplicates(docs, budget, shingle, id_column, text_column), "simhash")
+    best = near.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "version")).alias("best"))
+    counted = near.groupBy("group", "doc_id", "version").agg(F.count("*").alias("times")).withColumnRenamed("group", "of")
+    same = (counted["of"] == best["group"]) & counted["doc_id"].eqNullSafe(F.col("best.doc_id")) & (counted["version"] == F.col("best.version"))
+
+    def key(column) -> list:
+        return [F.coalesce(column.cast("string"), F.lit("")).alias("__id")]  # an id that every row has
+
+    chosen = stored(counted.join(best, same).select(*key(counted["doc_id"]), counted["version"].alias("__version"), "times"), "simhash")
+    rows = docs.withColumns({"__id": key(F.col(f"`{id_column}`").cast("long"))[0], "__version": F.xxhash64(text_or_empty(text_column))})
+    at = ["__id", "__version"]
+    out = rows.join(chosen.where("times = 1"), at, "left_semi")
+    several = chosen.where("times > 1")
+    if several.limit(1).count():
+        out = out.unionByName(rows.join(several, at, "left_semi").dropDuplicates(at))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import bpe, langid, linededup, packing, passages, pii, simhash
+from urndraw.llm import bpe, covertree, langid, linededup, packing, passages, pii, simhash, topk
 from urndraw.llm.common import read
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -96,3 +96,38 @@ def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = passages.dedup_passages(read(spark, sf_dir, "documents"))
     listed = {c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))) for c in ("removed", "kept")}
     return found.withColumn("n_removed", F.size("removed").cast("long")).withColumns(listed)
+
+
+# In the check SQL a vector takes part if it has components and all are finite; components are read as double.
+_USABLE = """embedding IS NOT NULL AND len(embedding) > 0
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+
+@query("op4_covertree", f"""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+  WHERE label IS NOT NULL AND {_USABLE} AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (
+  SELECT vec_id, vec_id AS other FROM embeddings
+  UNION SELECT r.vec_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT r.vec_id, (SELECT count(*) FROM links l WHERE l.a = r.vec_id) AS n_links, min(r.other) AS component_id, min(r.other) = r.vec_id AS kept
+FROM reached r GROUP BY r.vec_id
+""")
+def op4_covertree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
+@query("op10_topk", f"""
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE vec_id IS NOT NULL AND {_USABLE}),
+scores AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM vectors q JOIN vectors c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scores QUALIFY rank <= 20
+""")
+def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import bpe, covertree, langid, linededup, packing, passages, pii, simhash, topk
+from urndraw.llm import bpe, covertree, langid, linededup, packing, passages, pii, secrets, simhash, topk
 from urndraw.llm.common import read
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -37,6 +37,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id").withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+@query("op2_secrets")
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "start", F.length("candidate").cast("long").alias("length"), F.sha2("candidate", 256).alias("sha256"), "score", "kept")
+
+
 @query("op3_bpe")
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.round_trip(read(spark, sf_dir, "documents"), vocabulary(WORD_BPE))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from urndraw.functions import dates, text
 from urndraw.functions.ranking import split_ordinal, split_running_count
-from urndraw.operators import calendars, descriptive, facts, grid, marts
+from urndraw.operators import calendars, descriptive, facts, grid, marts, serving
 from urndraw.spec import DAILY, STATION, prize_spec, published_calendar
 
 GOLDEN = {
@@ -66,21 +66,54 @@ def test_rolling_sums_grow_with_the_window(loto):
 
 
 def test_nested_form_round_trips(fact):
-    nested = facts.canonical_draws(fact, DAILY, 50)
+    nested = facts.canonical_draws(fact, DAILY)
     again = facts.draw_results(nested, DAILY, "r1")
     assert again.exceptAll(fact).count() == 0 and fact.exceptAll(again).count() == 0
 
 
-def test_draws_too_large_stay_in_long_form(fact):
-    nested = facts.canonical_draws(fact, DAILY, 3)
-    assert nested.where("complete").count() == 0
-    whole = facts.draw_results(nested, DAILY, "r1").unionByName(fact.where("prize_order > 3"))
-    assert whole.exceptAll(fact).count() == 0 and whole.count() == fact.count()
+def many(spark, per_group=1101):
+    """One draw with far more prizes in a group than any layout."""
+    return spark.range(1, per_group + 1).select(
+        F.lit("S1").alias("station_code"), F.lit("2026-07-14").cast("date").alias("draw_date"), F.lit(1).cast("long").alias("station_order"),
+        F.lit("One").alias("station_name"), F.lit("u").alias("station_url"), F.lit("s").alias("source_url"),
+        F.lit("prize4").alias("prize_group"), F.col("id").alias("prize_order"), (F.col("id") % 90000).alias("full_number"),
+        F.lpad(F.col("id").cast("string"), 5, "0").alias("formatted_number"), F.lpad((F.col("id") % 100).cast("string"), 2, "0").alias("loto_2d"))
+
+
+def test_large_draws_take_as_many_rows_as_they_need(spark, fact):
+    rows = many(spark)
+    nested = facts.canonical_draws(rows, STATION)
+    assert sorted((r.part, r.result_count, len(r.prize4)) for r in nested.collect()) == [(0, 1000, 1000), (1, 101, 101)]
+    again = facts.draw_results(nested, STATION, "r1")
+    assert again.count() == 1101 and again.select("prize_order", "full_number").exceptAll(rows.select("prize_order", "full_number")).count() == 0
+    small = facts.draw_results(facts.canonical_draws(fact, DAILY, 3), DAILY, "r1", 3)
+    assert small.exceptAll(fact).count() == 0 and small.count() == fact.count()
+
+
+def test_large_records_keep_every_number(spark):
+    records = serving.draw_records(facts.normalize_fact(many(spark), STATION, "", ""), STATION)
+    got = {r.part: (r.status, len(r.numbers), len(r.prizes["prize4"])) for r in records.collect()}
+    assert got == {0: ("no_special", 1000, 1000), 1: ("continued", 101, 101)}
+    assert serving.draw_contract(records, 18).count() == 1
+
+
+def test_wide_row_and_the_rows_beyond_are_everything(spark):
+    rows = many(spark, 40)
+    wide, beyond = facts.legacy_wide(rows, STATION), facts.legacy_beyond(rows, STATION)
+    assert wide.first().result_count == 40
+    assert facts.legacy_long(wide, STATION).count() == 7 and beyond.count() == 33
+
+
+def test_repeated_digits_are_written_out(spark):
+    counts = spark.createDataFrame([("S1", "2026-07-14", "07", 30), ("S1", "2026-07-14", "01", 1)],
+                                   "station_code string, draw_date string, number_2d string, frequency long")
+    cells = {r.tens: r.ones_digits for r in descriptive.head_tail_table(counts).collect()}
+    assert cells[0] == ", ".join(["1"] + ["7"] * 30) and cells[1] == "-"
 
 
 def test_wide_and_sparse_shapes(fact):
     wide = facts.legacy_wide(fact, DAILY)
-    assert len(wide.columns) == 28
+    assert len(wide.columns) == 29 and wide.where("result_count = 27").count() == 2
     assert wide.where("date = '2026-07-14'").first().prize3_6 == 916
     sparse = facts.sparse_matrix(grid.draw_counts(fact, DAILY, "loto_2d"), DAILY)
     assert len(sparse.columns) == 101

@@ -8,6 +8,7 @@ the daily profile ignores the station.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from urndraw.functions.ranking import split_ordinal
@@ -15,7 +16,8 @@ from urndraw.functions.text import tail_2d, zero_pad
 from urndraw.spec import DAILY, STATION, Profile
 
 CUSTOMERS_PER_STATION = 300
-ORDER_PARTS = 1024
+#: Parts of one (day, group) of the daily profile, whose groups grow with the data.
+ORDER_PARTS = 32
 RUN_ID = "run-0001"
 NAME_CHANGE = "1998-01-01"
 
@@ -54,17 +56,24 @@ def line_group(line: Column) -> Column:
 
 
 def draw_fact(spark: SparkSession, sf_dir: str, profile: Profile = STATION, keep: tuple[str, ...] = ()) -> DataFrame:
-    """The long prize fact. Orders are consecutive inside (draw, group) and exact under any skew."""
+    """The long prize fact. Orders are consecutive inside (draw, group).
+
+    A station's draw has the few prizes of its customers' orders of one day, however much data there is, as stations grow
+    with it: a plain window numbers them. A day of the daily profile has a share of all prizes and is numbered in parts.
+    """
     sort_columns = [
         "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
     ]
     lines = table(spark, sf_dir, "lineitem")
     joined = lines.join(sessions(spark, sf_dir), lines.l_orderkey == F.col("o_orderkey")).drop("o_orderkey")
-    joined = joined.withColumn("prize_group", line_group(F.col("l_linenumber"))).withColumn(
-        "_part", (F.col("l_orderkey") + F.col("l_partkey") + F.col("l_suppkey")) % ORDER_PARTS
-    )
-    ranked = split_ordinal(joined, [*profile.keys, "prize_group"], "_part", sort_columns, "prize_order")
+    joined = joined.withColumn("prize_group", line_group(F.col("l_linenumber")))
+    if profile.grain:
+        place = F.row_number().over(W.partitionBy(*profile.keys, "prize_group").orderBy(*sort_columns))
+        ranked = joined.withColumn("prize_order", place.cast("long"))
+    else:
+        parts = joined.withColumn("_part", (F.col("l_orderkey") + F.col("l_partkey") + F.col("l_suppkey")) % ORDER_PARTS)
+        ranked = split_ordinal(parts, [*profile.keys, "prize_group"], "_part", sort_columns, "prize_order")
     width = profile.width_of(F.col("prize_group"))
     ranked = (
         ranked.withColumn("prize_width", width)
@@ -100,20 +109,17 @@ def draw_fact(spark: SparkSession, sf_dir: str, profile: Profile = STATION, keep
 
 
 def control_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as control-state records: one lake per user, one record per purchase, view or error."""
+    """Events as control-state records: one lake per user; signups and clicks record a date as missing."""
     kind = F.col("event_type")
-    return (
-        table(spark, sf_dir, "events")
-        .where(kind.isin("purchase", "view", "error"))
-        .select(
-            F.col("user_id").alias("lake"),
-            F.to_date("ts").alias("draw_date"),
-            F.when(kind == "purchase", "success").when(kind == "view", "no_draw").otherwise("failed").alias("status"),
-            F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
-            F.col("ts").alias("updated_at"),
-            F.col("event_id").alias("seq"),
-            F.col("props").alias("detail"),
-        )
+    status = F.when(kind == "purchase", "success").when(kind == "view", "no_draw").when(kind == "error", "failed")
+    return table(spark, sf_dir, "events").select(
+        F.col("user_id").alias("lake"),
+        F.to_date("ts").alias("draw_date"),
+        status.otherwise("missing").alias("status"),
+        F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("run_id"),
+        F.col("ts").alias("updated_at"),
+        F.col("event_id").alias("seq"),
+        F.col("props").alias("detail"),
     )
 
 

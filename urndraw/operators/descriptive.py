@@ -76,8 +76,7 @@ def heat_intensity(totals: DataFrame, *grain: str) -> DataFrame:
 def head_tail_table(counts: DataFrame) -> DataFrame:
     """Latest draw of each station: the sorted ones digits under each tens digit, or ``-``.
 
-    A digit is repeated as often as it came up. No valid draw has more than 27 results, so a
-    larger count is written as ``digit x count`` and a cell stays short.
+    A digit is repeated as often as it came up.
     """
     last = counts.groupBy("station_code").agg(F.max("draw_date").alias("draw_date"))
     ones = F.substring("number_2d", 2, 1)
@@ -85,8 +84,7 @@ def head_tail_table(counts: DataFrame) -> DataFrame:
         "station_code",
         F.substring("number_2d", 1, 1).cast("long").alias("tens"),
         ones.alias("ones"),
-        F.when(F.col("frequency") <= 27, F.array_join(F.array_repeat(ones, F.col("frequency").cast("int")), ", "))
-        .otherwise(F.concat_ws(" x ", ones, F.col("frequency").cast("string"))).alias("text"),
+        F.array_join(F.array_repeat(ones, F.col("frequency").cast("int")), ", ").alias("text"),
     )
     cells = latest.groupBy("station_code", "tens").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ones", "text"))), lambda p: p["text"]), ", ").alias("text")

@@ -9,14 +9,13 @@ from urndraw.functions.text import digit_sum, tail_2d, zero_pad
 from urndraw.spec import Profile
 
 
-def canonical_draws(fact: DataFrame, profile: Profile, most: int) -> DataFrame:
-    """Long fact to one row per draw with ``array<struct<order, value>>`` per prize group.
+def canonical_draws(fact: DataFrame, profile: Profile, per_row: int = 1000) -> DataFrame:
+    """Long fact to nested rows with one array of values per prize group.
 
-    Orders are unique inside a group, so ``prize_order <= most`` bounds every array. A draw with a
-    larger group keeps its row and its true ``result_count`` with ``complete`` false; the prizes
-    beyond are ``fact.where(prize_order > most)``, in long form.
+    A row holds the orders ``part * per_row + 1`` to ``(part + 1) * per_row`` of every group, so arrays are bounded
+    and a draw has as many rows as it needs; a valid draw has one, with ``part`` 0. ``result_count`` is the row's own.
     """
-    place = F.when(F.col("prize_order") <= most, F.struct("prize_order", "prize_group", "formatted_number"))
+    place = F.struct("prize_order", "prize_group", "formatted_number")
     station = [
         F.min("station_order").alias("station_order"),
         F.max("station_name").alias("station_name"),
@@ -28,12 +27,11 @@ def canonical_draws(fact: DataFrame, profile: Profile, most: int) -> DataFrame:
         return F.transform(own, lambda p: p["formatted_number"])
 
     return (
-        fact.groupBy(*profile.keys)
+        fact.groupBy(*profile.keys, part_of("prize_order", per_row).alias("part"))
         .agg(
             F.min("source_url").alias("source_url"),
             *station,
             F.count(F.lit(1)).alias("result_count"),
-            (F.max("prize_order") <= most).alias("complete"),
             F.array_sort(F.collect_list(place)).alias("_places"),
         )
         .withColumns({name: values(name) for name in profile.group_names})
@@ -41,14 +39,20 @@ def canonical_draws(fact: DataFrame, profile: Profile, most: int) -> DataFrame:
     )
 
 
-def draw_results(draws: DataFrame, profile: Profile, run_id: str) -> DataFrame:
-    """Nested draws (one array of text values per group) to one typed row per prize."""
+def part_of(order: str, per_row: int) -> Column:
+    return F.floor((F.col(order) - 1) / per_row).cast("long")
+
+
+def draw_results(draws: DataFrame, profile: Profile, run_id: str, per_row: int = 1000) -> DataFrame:
+    """Nested draws (one array of text values per group, see ``canonical_draws``) to one typed row per prize."""
+    start = F.col("part") * per_row if "part" in draws.columns else F.lit(0)
+
     def prizes(name: str, width: int) -> Column:
         return F.transform(
             F.col(name),
             lambda value, at: F.struct(
                 F.lit(name).alias("prize_group"),
-                (at + 1).cast("long").alias("prize_order"),
+                (start + at + 1).cast("long").alias("prize_order"),
                 F.lit(width).cast("long").alias("prize_width"),
                 value.alias("value"),
             ),
@@ -73,12 +77,21 @@ def draw_results(draws: DataFrame, profile: Profile, run_id: str) -> DataFrame:
 
 
 def legacy_wide(fact: DataFrame, profile: Profile) -> DataFrame:
-    """One row per draw, one column per prize; explicit columns, so one aggregation and no extra job."""
+    """One row per draw, one column per prize, and ``result_count``, the prizes the draw has in all.
+
+    Prizes beyond the layout's places are the rows of ``legacy_beyond``; together they are the whole fact.
+    """
     cells = [
         F.max(F.when((F.col("prize_group") == group) & (F.col("prize_order") == order), F.col("full_number"))).alias(name)
         for name, group, order in profile.wide_columns()
     ]
-    return fact.groupBy(*profile.grain, F.col("draw_date").alias("date")).agg(*cells)
+    return fact.groupBy(*profile.grain, F.col("draw_date").alias("date")).agg(*cells, F.count(F.lit(1)).alias("result_count"))
+
+
+def legacy_beyond(fact: DataFrame, profile: Profile) -> DataFrame:
+    """The prizes that have no place in the wide row, in long form."""
+    placed = F.col("prize_order") <= F.coalesce(profile.count_of(F.col("prize_group")), F.lit(0))
+    return fact.where(~placed).select(*profile.grain, F.col("draw_date").alias("date"), "prize_group", "prize_order", "full_number")
 
 
 def legacy_long(wide: DataFrame, profile: Profile) -> DataFrame:
@@ -98,7 +111,8 @@ def legacy_long(wide: DataFrame, profile: Profile) -> DataFrame:
 
 def to_two_digit(wide: DataFrame, profile: Profile) -> DataFrame:
     return wide.select(
-        *profile.grain, "date", *[F.pmod(F.col(name), F.lit(100)).alias(name) for name, _, _ in profile.wide_columns()]
+        *profile.grain, "date", *[F.pmod(F.col(name), F.lit(100)).alias(name) for name, _, _ in profile.wide_columns()],
+        "result_count",
     )
 
 

@@ -246,13 +246,13 @@ def page_fallback_table(tables: DataFrame, origin: str) -> DataFrame:
     return _station_rows(tables.where("problem is null"), FALLBACK_ROW_LABELS, FALLBACK_LINK, origin)
 
 
-def group_columns(values: DataFrame, keys: list[str], profile: Profile = STATION, most: int = 50) -> DataFrame:
-    """Long station values to one array per group; a cell with more than ``most`` values is never valid."""
+def group_columns(values: DataFrame, keys: list[str], profile: Profile = STATION) -> DataFrame:
+    """Long station values to one array per group; a page bounds its own arrays."""
     return values.groupBy(*keys).agg(
         *[
             F.transform(
                 F.array_sort(
-                    F.collect_list(F.when((F.col("prize_group") == n) & (F.col("prize_order") <= most), F.struct("prize_order", "value")))
+                    F.collect_list(F.when(F.col("prize_group") == n, F.struct("prize_order", "value")))
                 ),
                 lambda p: p["value"],
             ).alias(n)

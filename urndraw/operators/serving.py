@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from urndraw.operators.facts import part_of
 from urndraw.spec import Profile
 
 
@@ -35,25 +36,23 @@ def shard_totals(shards: DataFrame, declared: DataFrame) -> DataFrame:
     )
 
 
-def draw_records(normal: DataFrame, profile: Profile, most: int) -> DataFrame:
-    """One nested record per draw: special value, tail, numbers with the special first, prizes by group.
+def draw_records(normal: DataFrame, profile: Profile, per_row: int = 1000) -> DataFrame:
+    """Nested records: special value, tail, numbers with the special first, prizes by group.
 
-    ``status`` is ``ok``, ``no_special`` / ``many_specials`` (a record needs exactly one) or
-    ``too_many_results``. Orders are unique inside a group, so ``prize_order <= most`` bounds the
-    arrays; a draw beyond it cannot be a valid record and is reported with its true size.
+    A record holds the orders ``part * per_row + 1`` to ``(part + 1) * per_row`` of every group, so it stays bounded and a draw
+    has as many as it needs; one that fits its layout has one. ``status`` is ``ok``, ``no_special``, ``many_specials`` (a record
+    needs exactly one), or ``continued`` for the later records of a draw. All numbers and prizes are in some record.
     """
     is_special = F.col("prize_group") == "special"
-    kept = F.col("prize_order") <= most
     place = F.struct((~is_special).cast("int").alias("later"), "group_order", "prize_order", "loto_2d", "formatted_number", "prize_group")
-    rows = normal.groupBy("station_code", "draw_date").agg(
+    rows = normal.groupBy("station_code", "draw_date", part_of("prize_order", per_row).alias("part")).agg(
         F.max("station_name").alias("station_name"),
         F.count(F.lit(1)).alias("result_count"),
         F.count(F.when(is_special, 1)).alias("specials"),
-        F.max("prize_order").alias("_largest"),
-        F.array_sort(F.collect_list(F.when(kept, place))).alias("_p"),
+        F.array_sort(F.collect_list(place)).alias("_p"),
     )
     status = (
-        F.when(F.col("_largest") > most, "too_many_results")
+        F.when(F.col("part") > 0, "continued")
         .when(F.col("specials") == 0, "no_special")
         .when(F.col("specials") > 1, "many_specials")
         .otherwise("ok")
@@ -67,11 +66,11 @@ def draw_records(normal: DataFrame, profile: Profile, most: int) -> DataFrame:
     ok = F.col("status") == "ok"
     special = F.col("_p")[0]["formatted_number"]
     return rows.select(
-        "station_code", "draw_date", "station_name", "result_count", "status",
+        "station_code", "draw_date", "part", "station_name", "result_count", "status",
         F.when(ok, special).alias("special_prize"),
         F.when(ok, F.right(special, F.lit(2))).alias("special_tail"),
-        F.when(ok, F.transform("_p", lambda p: p["loto_2d"])).alias("numbers"),
-        F.when(ok, prizes).alias("prizes"),
+        F.transform("_p", lambda p: p["loto_2d"]).alias("numbers"),
+        prizes.alias("prizes"),
     )
 
 
@@ -80,7 +79,10 @@ def _by_group(a, b):
 
 
 def draw_contract(records: DataFrame, expected: int) -> DataFrame:
-    """Violations of a record: size, number form, special, multiset of tails against numbers."""
+    """Violations of a draw's first record: size, number form, special, multiset of tails against numbers.
+
+    A draw with further records has more prizes in the first than any layout, which its size shows.
+    """
     tails = F.transform(F.flatten(F.map_values("prizes")), lambda v: F.lpad(F.right(v, F.lit(2)), 2, "0"))
     problems = F.array_compact(
         F.array(
@@ -90,13 +92,13 @@ def draw_contract(records: DataFrame, expected: int) -> DataFrame:
             F.when(~F.endswith(F.col("special_prize"), F.col("special_tail")), F.lit("special_tail")),
             F.when(F.array_sort(tails) != F.array_sort("numbers"), F.lit("tails")),
             F.when(
-                (F.size(F.try_element_at("prizes", F.lit("special"))) != 1)
-                | (F.try_element_at("prizes", F.lit("special"))[0] != F.col("special_prize")),
+                F.coalesce(F.size(F.try_element_at("prizes", F.lit("special"))) != 1, F.lit(True))
+                | (F.get(F.try_element_at("prizes", F.lit("special")), F.lit(0)) != F.col("special_prize")),
                 F.lit("special_prize"),
             ),
         )
     )
-    return records.select("station_code", "draw_date", F.array_join(problems, ",").alias("problems"))
+    return records.where("part = 0").select("station_code", "draw_date", F.array_join(problems, ",").alias("problems"))
 
 
 def year_shards(records: DataFrame, stations: DataFrame) -> DataFrame:

@@ -49,31 +49,46 @@ def _(spark, sf):
     return month_summary(tables.read_silver(spark, path))
 
 
-WIDE_LONG = """
-SELECT prize_group, prize_order, count(*) AS draws, CAST(sum({value}) AS BIGINT) AS total FROM factday
-WHERE prize_order <= CASE prize_group WHEN 'special' THEN 1 WHEN 'prize1' THEN 1 WHEN 'prize2' THEN 2 WHEN 'prize3' THEN 6
-  WHEN 'prize4' THEN 4 WHEN 'prize5' THEN 6 WHEN 'prize6' THEN 3 ELSE 4 END
+PLACED = """prize_order <= CASE prize_group WHEN 'special' THEN 1 WHEN 'prize1' THEN 1 WHEN 'prize2' THEN 2 WHEN 'prize3' THEN 6
+  WHEN 'prize4' THEN 4 WHEN 'prize5' THEN 6 WHEN 'prize6' THEN 3 ELSE 4 END"""
+# every prize is either in a place of the wide row or among the rows beyond it
+WIDE_LONG = f"""
+SELECT prize_group, prize_order, {PLACED} AS placed, count(*) AS draws, CAST(sum({{value}}) AS BIGINT) AS total, any_value(n) AS results FROM factday,
+  (SELECT count(*) AS n FROM factday)
 GROUP BY ALL"""
 
 
-def _long_totals(wide):
-    return facts.legacy_long(wide, DAILY).groupBy("prize_group", "prize_order").agg(
-        F.count(F.lit(1)).alias("draws"), F.sum("full_number").alias("total")
-    )
+def _long_totals(spark, wide, beyond, value="full_number"):
+    """Totals by place of what was stored in two tables, and the stored count of all results."""
+    results = wide.agg(F.sum("result_count").alias("results")).scalar()
+    placed = facts.legacy_long(wide, DAILY).withColumn("placed", F.lit(True))
+    both = placed.unionByName(beyond.withColumn("placed", F.lit(False)).withColumn("full_number", F.expr(value)))
+    return both.groupBy("prize_group", "prize_order", "placed").agg(
+        F.count(F.lit(1)).alias("draws"), F.sum("full_number").alias("total")).withColumn("results", results)
+
+
+def beyond_day(spark, sf):
+    return facts.legacy_beyond(draw_fact(spark, sf, DAILY), DAILY)
+
+
+BEYOND = "date date, prize_group string, prize_order long, full_number long"
 
 
 @query("src_wide_json", WIDE_LONG.format(value="full_number"))
 def _(spark, sf):
     path = fresh_dir(spark, "wide-json")
-    wide_day(spark, sf).write.json(path)
-    return _long_totals(tables.read_wide_json(spark, path, DAILY))
+    wide_day(spark, sf).write.json(f"{path}/wide")
+    beyond_day(spark, sf).write.json(f"{path}/beyond")
+    return _long_totals(spark, tables.read_wide_json(spark, f"{path}/wide", DAILY), spark.read.schema(BEYOND).json(f"{path}/beyond"))
 
 
 @query("src_wide_csv", WIDE_LONG.format(value="full_number % 100"))
 def _(spark, sf):
     path = fresh_dir(spark, "wide-csv")
-    facts.to_two_digit(wide_day(spark, sf), DAILY).write.option("header", True).csv(path)
-    return _long_totals(tables.read_wide_csv(spark, path, DAILY))
+    facts.to_two_digit(wide_day(spark, sf), DAILY).write.option("header", True).csv(f"{path}/wide")
+    beyond_day(spark, sf).write.option("header", True).csv(f"{path}/beyond")
+    beyond = spark.read.schema(BEYOND).option("header", True).csv(f"{path}/beyond")
+    return _long_totals(spark, tables.read_wide_csv(spark, f"{path}/wide", DAILY), beyond, "full_number % 100")
 
 
 def _publish(spark, sf):
@@ -119,14 +134,15 @@ def _(spark, sf):
     )
 
 
-@query("sink_gold", "SELECT table_name, row_count FROM (" + RELEASE_SQL + ") WHERE table_name <> 'fact-loto-daily'")
+@query("sink_gold", "SELECT format, table_name, row_count FROM (SELECT unnest(['csv', 'parquet']) AS format), (" + RELEASE_SQL + ")")
 def _(spark, sf):
     root = fresh_dir(spark, "lake")
     tables.write_silver(draw_fact(spark, sf), f"{root}/silver")
     gold = marts.build_gold(tables.read_silver(spark, f"{root}/silver"), STATION, "run-0003")
-    gold.pop("fact-loto-daily")
     base = tables.write_release(gold, root, "run-0003", ("parquet", "csv"))
-    return _table_counts({name: spark.read.option("header", True).csv(f"{base}/{name}.csv") for name in gold})
+    as_csv = _table_counts({name: spark.read.option("header", True).csv(f"{base}/{name}.csv") for name in gold})
+    as_parquet = _table_counts({name: spark.read.parquet(f"{base}/{name}.parquet") for name in gold})
+    return as_csv.withColumn("format", F.lit("csv")).unionByName(as_parquet.withColumn("format", F.lit("parquet")))
 
 
 @query("sink_csv_export", f"SELECT {SUMMARY} FROM fact GROUP BY 1, 2")
@@ -138,9 +154,8 @@ def _(spark, sf):
 
 
 @query("sink_three_formats", """
-SELECT unnest(['csv', 'json', 'parquet']) AS format, count(*) AS draws, CAST(sum(special) AS BIGINT) AS special_total
-FROM (SELECT draw_date, max(CASE WHEN prize_group = 'special' AND prize_order = 1 THEN full_number END) AS special FROM factday GROUP BY 1)
-""")
+SELECT format, prize_group, prize_order, count(*) AS draws, CAST(sum(full_number) AS BIGINT) AS total, any_value(n) AS results
+FROM (SELECT unnest(['csv', 'json', 'parquet']) AS format), factday, (SELECT count(*) AS n FROM factday) WHERE """ + PLACED + " GROUP BY ALL")
 def _(spark, sf):
     path = fresh_dir(spark, "formats")
     tables.write_three_formats(wide_day(spark, sf), path)
@@ -151,9 +166,9 @@ def _(spark, sf):
     }
     out = None
     for name, df in read.items():
-        row = df.agg(F.count(F.lit(1)).alias("draws"), F.sum("special").alias("special_total")).select(
-            F.lit(name).alias("format"), "draws", "special_total"
-        )
+        row = facts.legacy_long(df, DAILY).groupBy("prize_group", "prize_order").agg(
+            F.count(F.lit(1)).alias("draws"), F.sum("full_number").alias("total")
+        ).withColumns({"format": F.lit(name), "results": df.agg(F.sum("result_count")).scalar()})
         out = row if out is None else out.unionByName(row)
     return out
 
@@ -161,26 +176,20 @@ def _(spark, sf):
 # ---- projections and filters
 
 
-MOST_PER_GROUP = 1000
-
-
 @query("draw_results", f"SELECT {FACT_COLUMNS} FROM fact")
 def _(spark, sf):
-    fact = draw_fact(spark, sf)
-    nested = facts.canonical_draws(fact, STATION, MOST_PER_GROUP)
-    beyond = fact.where(F.col("prize_order") > MOST_PER_GROUP)
-    return facts.draw_results(nested, STATION, RUN_ID).unionByName(beyond)
+    return facts.draw_results(facts.canonical_draws(draw_fact(spark, sf), STATION), STATION, RUN_ID)
 
 
 @query("canonical_draws", """
 SELECT station_code, draw_date, min(source_url) AS source_url, min(station_order) AS station_order, max(station_name) AS station_name,
-  count(*) AS result_count, true AS complete, """ + ", ".join(
+  count(*) AS result_count, (prize_order - 1) // 1000 AS part, """ + ", ".join(
     f"coalesce(string_agg(formatted_number, ',' ORDER BY prize_order) FILTER (prize_group = '{g}'), '') AS {g}"
-    for g in STATION.group_names) + " FROM fact GROUP BY station_code, draw_date")
+    for g in STATION.group_names) + " FROM fact GROUP BY station_code, draw_date, part")
 def _(spark, sf):
-    nested = facts.canonical_draws(draw_fact(spark, sf), STATION, MOST_PER_GROUP)
+    nested = facts.canonical_draws(draw_fact(spark, sf), STATION)
     return nested.select(
-        "station_code", "draw_date", "source_url", "station_order", "station_name", "result_count", "complete",
+        "station_code", "draw_date", "part", "source_url", "station_order", "station_name", "result_count",
         *[F.array_join(g, ",").alias(g) for g in STATION.group_names],
     )
 
@@ -227,22 +236,20 @@ def _wide_cells(value):
     )
 
 
-@query("legacy_wide", f"SELECT draw_date AS date, {_wide_cells('full_number')} FROM factday GROUP BY draw_date")
+@query("legacy_wide", f"SELECT draw_date AS date, {_wide_cells('full_number')}, count(*) AS result_count FROM factday GROUP BY draw_date")
 def _(spark, sf):
     return wide_day(spark, sf)
 
 
-@query("to_two_digit", f"SELECT draw_date AS date, {_wide_cells('full_number % 100')} FROM factday GROUP BY draw_date")
+@query("to_two_digit", f"SELECT draw_date AS date, {_wide_cells('full_number % 100')}, count(*) AS result_count FROM factday GROUP BY draw_date")
 def _(spark, sf):
     return facts.to_two_digit(wide_day(spark, sf), DAILY)
 
 
-@query("legacy_long", """
-SELECT draw_date AS date, prize_group, prize_order, full_number FROM factday
-WHERE prize_order <= CASE prize_group WHEN 'special' THEN 1 WHEN 'prize1' THEN 1 WHEN 'prize2' THEN 2 WHEN 'prize3' THEN 6
-  WHEN 'prize4' THEN 4 WHEN 'prize5' THEN 6 WHEN 'prize6' THEN 3 ELSE 4 END""")
+@query("legacy_long", f"SELECT draw_date AS date, prize_group, prize_order, full_number, {PLACED} AS placed FROM factday")
 def _(spark, sf):
-    return facts.legacy_long(wide_day(spark, sf), DAILY)
+    placed = facts.legacy_long(wide_day(spark, sf), DAILY).withColumn("placed", F.lit(True))
+    return placed.unionByName(beyond_day(spark, sf).withColumn("placed", F.lit(False)))
 
 
 @query("trailing_years", """
@@ -363,17 +370,17 @@ def _(spark, sf):
     return calendars.set_mismatch(drawn, expected.select("draw_date", "station_code"), ["draw_date", "station_code"])
 
 
-cte("events3", """
+cte("allevents", """
 SELECT user_id AS lake, CAST(ts AS DATE) AS draw_date,
-  CASE event_type WHEN 'purchase' THEN 'success' WHEN 'view' THEN 'no_draw' ELSE 'failed' END AS status,
+  CASE event_type WHEN 'purchase' THEN 'success' WHEN 'view' THEN 'no_draw' WHEN 'error' THEN 'failed' ELSE 'missing' END AS status,
   'run-' || CAST(event_id AS VARCHAR) AS run_id, ts AS updated_at, event_id AS seq, props AS detail
-FROM events WHERE event_type IN ('purchase', 'view', 'error')""")
+FROM events""")
 cte("states", """
 SELECT lake, draw_date, status, run_id, updated_at, seq, detail
-FROM (SELECT *, row_number() OVER (PARTITION BY lake, draw_date ORDER BY updated_at DESC, seq DESC) AS rn FROM events3) WHERE rn = 1""")
+FROM (SELECT *, row_number() OVER (PARTITION BY lake, draw_date ORDER BY updated_at DESC, seq DESC) AS rn FROM allevents) WHERE rn = 1""")
 cte("lakedays", """
 SELECT lake, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS draw_date
-FROM (SELECT lake, min(draw_date) AS a, max(draw_date) AS b FROM events3 GROUP BY 1)""")
+FROM (SELECT lake, min(draw_date) AS a, max(draw_date) AS b FROM allevents GROUP BY 1)""")
 cte("statusmap", """
 SELECT d.lake, d.draw_date, coalesce(s.status, 'missing') AS status
 FROM lakedays d LEFT JOIN states s ON s.lake = d.lake AND s.draw_date = d.draw_date""")

@@ -40,8 +40,8 @@ def _(spark, sf):
 
 cte("manifests", """
 SELECT user_id AS lake, 'run-' || CAST(event_id AS VARCHAR) AS run_id, CAST(ts AS DATE) AS target_date,
-  CASE event_type WHEN 'purchase' THEN 'success' WHEN 'view' THEN 'no_draw' ELSE 'failed' END AS status, event_id % 4 AS span, ts, event_id
-FROM events WHERE event_type IN ('purchase', 'view', 'error')""")
+  CASE event_type WHEN 'purchase' THEN 'success' WHEN 'view' THEN 'no_draw' WHEN 'error' THEN 'failed' ELSE 'missing' END AS status, event_id % 4 AS span, ts, event_id
+FROM events""")
 
 
 @query("manifest_to_state", """
@@ -188,34 +188,34 @@ def _(spark, sf):
 
 # ---- serving
 
-MOST = 1000
 cte("recs", """
-SELECT station_code, draw_date, max(station_name) AS station_name, count(*) AS result_count, count(*) FILTER (prize_group = 'special') AS specials,
+SELECT station_code, draw_date, (prize_order - 1) // 1000 AS part, max(station_name) AS station_name, count(*) AS result_count, count(*) FILTER (prize_group = 'special') AS specials,
   max(CASE WHEN prize_group = 'special' THEN formatted_number END) AS special_prize,
   string_agg(loto_2d, ',' ORDER BY prize_group <> 'special', CASE prize_group WHEN 'special' THEN 0 ELSE -CAST(right(prize_group, 1) AS BIGINT) END, prize_order) AS numbers,
-  string_agg(DISTINCT prize_group, ',' ORDER BY prize_group) AS groups, count(DISTINCT prize_group) AS group_count
-FROM fact GROUP BY 1, 2""")
+  string_agg(prize_group || ':' || formatted_number, ',' ORDER BY prize_group, prize_order) AS prizes, count(DISTINCT prize_group) AS group_count
+FROM fact GROUP BY 1, 2, 3""")
 cte("recok", """
-SELECT *, CASE WHEN specials = 0 THEN 'no_special' WHEN specials > 1 THEN 'many_specials' ELSE 'ok' END AS status FROM recs""")
+SELECT *, CASE WHEN part > 0 THEN 'continued' WHEN specials = 0 THEN 'no_special' WHEN specials > 1 THEN 'many_specials' ELSE 'ok' END AS status FROM recs""")
 
 
 def records(spark, sf):
     normal = facts.normalize_fact(draw_fact(spark, sf), STATION, "", "")
-    return serving.draw_records(normal, STATION, MOST)
+    return serving.draw_records(normal, STATION)
 
 
 @query("draw_records", """
-SELECT station_code, draw_date, station_name, result_count, status, CASE WHEN status = 'ok' THEN special_prize END AS special_prize,
-  CASE WHEN status = 'ok' THEN right(special_prize, 2) END AS special_tail, CASE WHEN status = 'ok' THEN numbers END AS numbers,
-  CASE WHEN status = 'ok' THEN groups END AS groups FROM recok""")
+SELECT station_code, draw_date, part, station_name, result_count, status, CASE WHEN status = 'ok' THEN special_prize END AS special_prize,
+  CASE WHEN status = 'ok' THEN right(special_prize, 2) END AS special_tail, numbers, prizes FROM recok""")
 def _(spark, sf):
+    groups = F.array_sort(F.map_keys("prizes"))
+    listed = F.flatten(F.transform(groups, lambda g: F.transform(F.try_element_at("prizes", g), lambda v: F.concat(g, F.lit(":"), v))))
     return records(spark, sf).select(
-        "station_code", "draw_date", "station_name", "result_count", "status", "special_prize", "special_tail",
-        F.array_join("numbers", ",").alias("numbers"), F.array_join(F.array_sort(F.map_keys("prizes")), ",").alias("groups"))
+        "station_code", "draw_date", "part", "station_name", "result_count", "status", "special_prize", "special_tail",
+        F.array_join("numbers", ",").alias("numbers"), F.array_join(listed, ",").alias("prizes"))
 
 
 @query("draw_records_json", """
-SELECT station_code, count(*) AS records, CAST(sum(CASE WHEN status = 'ok' THEN result_count ELSE 0 END) AS BIGINT) AS numbers FROM recok GROUP BY 1""")
+SELECT station_code, count(*) AS records, CAST(sum(result_count) AS BIGINT) AS numbers FROM recok GROUP BY 1""")
 def _(spark, sf):
     """Records through their JSON form and back."""
     rows = records(spark, sf)
@@ -227,7 +227,8 @@ def _(spark, sf):
 
 
 @query("draw_contract", """
-SELECT station_code, draw_date, concat_ws(',', CASE WHEN status <> 'ok' THEN status END, CASE WHEN result_count <> 18 THEN 'result_count' END) AS problems FROM recok""")
+SELECT station_code, draw_date, concat_ws(',', CASE WHEN status <> 'ok' THEN status END, CASE WHEN result_count <> 18 THEN 'result_count' END,
+  CASE WHEN specials <> 1 THEN 'special_prize' END) AS problems FROM recok WHERE part = 0""")
 def _(spark, sf):
     return serving.draw_contract(records(spark, sf), 18)
 
@@ -246,7 +247,7 @@ SELECT r.station_code, s.station_name, CAST(year(draw_date) AS BIGINT) AS year,
 def _(spark, sf):
     fact = draw_fact(spark, sf)
     normal = facts.normalize_fact(fact, STATION, "", "")
-    shards = serving.year_shards(serving.draw_records(normal, STATION, MOST), marts.dim_station(fact))
+    shards = serving.year_shards(serving.draw_records(normal, STATION), marts.dim_station(fact))
     return shards.select("station_code", "station_name", "year", "draw_date", "result_count", "status")
 
 

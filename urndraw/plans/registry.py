@@ -54,11 +54,12 @@ cte("obs", """
 SELECT s.*, l.*, lpad(CAST(l.l_partkey % 100 AS VARCHAR), 2, '0') AS number_2d,
   CASE l.l_linenumber WHEN 1 THEN 'special' ELSE 'prize' || CAST(l.l_linenumber - 1 AS VARCHAR) END AS prize_group
 FROM lineitem l JOIN sess s ON s.o_orderkey = l.l_orderkey""")
-_ORDER = """(l_orderkey + l_partkey + l_suppkey) % 1024, l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+_PART = "(l_orderkey + l_partkey + l_suppkey) % 32, "
+_ORDER = """l_orderkey, l_partkey, l_suppkey, l_quantity, l_extendedprice,
   l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate"""
 
 
-def _fact(keys: str, widths: str, station: str) -> str:
+def _fact(keys: str, widths: str, station: str, part: str = "") -> str:
     return f"""
 SELECT draw_date, {station} prize_group, prize_order, prize_width, full_number, formatted_number,
   right(formatted_number, 2) AS loto_2d,
@@ -68,7 +69,7 @@ SELECT draw_date, {station} prize_group, prize_order, prize_width, full_number,
 FROM (SELECT *, lpad(CAST(full_number AS VARCHAR), CAST(prize_width AS INTEGER), '0') AS formatted_number
   FROM (SELECT *, CAST((l_orderkey * 31 + l_suppkey) % CAST(pow(10, prize_width - 2) AS BIGINT) * 100 + l_partkey % 100 AS BIGINT) AS full_number
     FROM (SELECT *, CAST({widths} AS BIGINT) AS prize_width,
-        row_number() OVER (PARTITION BY {keys}, l_linenumber ORDER BY {_ORDER}) AS prize_order
+        row_number() OVER (PARTITION BY {keys}, l_linenumber ORDER BY {part}{_ORDER}) AS prize_order
       FROM obs)))"""
 
 
@@ -76,7 +77,7 @@ cte("fact", _fact(
     "draw_date, station_code", "CASE l_linenumber WHEN 1 THEN 6 WHEN 6 THEN 4 WHEN 7 THEN 4 ELSE 5 END",
     "station_code, station_no + 1 AS station_order, station_name, 'https://draws.example/' || lower(station_code) AS station_url,"))
 cte("factday", _fact(
-    "draw_date", "CASE l_linenumber WHEN 5 THEN 4 WHEN 6 THEN 4 WHEN 7 THEN 3 ELSE 5 END", ""))
+    "draw_date", "CASE l_linenumber WHEN 5 THEN 4 WHEN 6 THEN 4 WHEN 7 THEN 3 ELSE 5 END", "", _PART))
 cte("numbers", "SELECT lpad(CAST(range AS VARCHAR), 2, '0') AS number_2d FROM range(100)")
 cte("counts", """
 SELECT station_code, draw_date, number_2d, count(*) AS frequency, max(station_name) AS station_name

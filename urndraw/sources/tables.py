@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,9 +58,12 @@ def upsert_silver(spark: SparkSession, path: str, new: DataFrame, keys: list[str
     )
 
 
+RUN_IDS = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
+
+
 def release_path(root: str, run_id: str) -> str:
-    if not run_id or run_id in {".", ".."} or "/" in run_id or "\\" in run_id:
-        raise ValueError("run_id must be one non-empty path segment")
+    if not RUN_IDS.fullmatch(run_id):
+        raise ValueError(f"run ids are letters, digits, dots, dashes and underscores and start with a letter or digit, not {run_id!r}")
     return f"{root}/gold/releases/run-id={run_id}"
 
 
@@ -126,14 +131,16 @@ def write_three_formats(df: DataFrame, path: str) -> None:
     df.write.parquet(f"{path}/parquet")
 
 
+def _wide_schema(profile: Profile) -> str:
+    return "date date, " + ", ".join(f"{name} long" for name, _, _ in profile.wide_columns()) + ", result_count long"
+
+
 def read_wide_json(spark: SparkSession, path: str, profile: Profile, multi_line: bool = False) -> DataFrame:
-    schema = "date date, " + ", ".join(f"{name} long" for name, _, _ in profile.wide_columns())
-    return spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    return spark.read.schema(_wide_schema(profile)).option("multiLine", multi_line).json(path)
 
 
 def read_wide_csv(spark: SparkSession, path: str, profile: Profile) -> DataFrame:
-    schema = "date date, " + ", ".join(f"{name} long" for name, _, _ in profile.wide_columns())
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(_wide_schema(profile)).option("header", True).csv(path)
 
 
 def write_shards(records: DataFrame, path: str) -> None:

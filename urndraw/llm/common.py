@@ -71,11 +71,12 @@ def connected_components(edges: DataFrame, source: str, target: str, label: str
 def later_occurrences(units: DataFrame, digest: str, rank: list[str]) -> DataFrame:
     """The rows whose digest also occurs at a lower rank; rows of the same rank are one occurrence.
 
-    The earliest rank is a minimum, combined before its shuffle; only digests that occur again are joined back, by a plain
-    join that adaptive execution may split, so a digest in a third of all rows is no single task.
+    The earliest rank is a minimum, combined before its shuffle. Only digests that occur again are joined back, from a stored
+    table: both sides of the join then have exchanges of their own, which adaptive execution may split, so a digest in a
+    third of all rows is no single task.
     """
     first = units.groupBy(digest).agg(F.min(F.struct(*rank)).alias("earliest"), F.count("*").alias("times"))
-    again = first.where("times > 1").select(F.col(digest), "earliest")
+    again = stored(first.where("times > 1").select(F.col(digest), "earliest"), "earliest")
     return units.join(again, digest).where(~F.struct(*rank).eqNullSafe(F.col("earliest"))).drop("earliest")
 
 

@@ -74,7 +74,7 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, id_column: str = "do
     windows = stored(keyed(docs, id_column, text_column).mapInArrow(run, schema), "linededup")
     place = F.struct("doc_id", "version", "place")
     shared = windows.groupBy("print").agg(F.min(place).alias("a"), F.max(place).alias("b")).where(~F.col("a").eqNullSafe(F.col("b")))
-    extended = windows.join(shared.select("print"), "print", "left_semi").select("doc_id", "version", "digest", "at")
+    extended = windows.join(stored(shared.select("print"), "linededup"), "print", "left_semi").select("doc_id", "version", "digest", "at")
     later = later_occurrences(stored(extended, "linededup"), "digest", ["doc_id", "version", "at"])
     return later.groupBy("doc_id", "version").agg(F.collect_set("at").alias("starts"))
 
@@ -92,7 +92,8 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id"
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.xxhash64(text_or_empty(text_column)).alias("version"))
     same = packed["doc_id"].eqNullSafe(marks["doc_id"]) & (packed["version"] == marks["version"])
-    joined = packed.join(marks, same, "left").select("row.*", F.col("starts").alias("__starts"))
+    # by sorting at every size, so that the need for disk grows evenly with the input
+    joined = packed.join(marks.hint("merge"), same, "left").select("row.*", F.col("starts").alias("__starts"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -124,7 +124,8 @@ def dedup_passages(docs: DataFrame, every: int = EVERY, least: int = LEAST, pass
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_column)).alias("version"),
                        F.col(text_column).cast("string").alias("text"))
     same = rows["doc_id"].eqNullSafe(spans["doc_id"]) & (rows["version"] == spans["version"])
-    joined = rows.join(spans, same, "left").select(rows["doc_id"], "text", "removed")
+    # by sorting at every size, so that the need for disk grows evenly with the input
+    joined = rows.join(spans.hint("merge"), same, "left").select(rows["doc_id"], "text", "removed")
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -241,7 +241,8 @@ def one_of_each(docs: DataFrame, budget: int = 3, shingle: int = 3, id_column: s
     chosen = stored(counted.join(best, same).select(*key(counted["doc_id"]), counted["version"].alias("__version"), "times"), "simhash")
     rows = docs.withColumns({"__id": key(F.col(f"`{id_column}`").cast("long"))[0], "__version": F.xxhash64(text_or_empty(text_column))})
     at = ["__id", "__version"]
-    out = rows.join(chosen.where("times = 1"), at, "left_semi")
+    # by sorting at every size, so that the need for disk grows evenly with the input
+    out = rows.join(chosen.where("times = 1").hint("merge"), at, "left_semi")
     several = chosen.where("times > 1")
     if several.limit(1).count():
         out = out.unionByName(rows.join(several, at, "left_semi").dropDuplicates(at))

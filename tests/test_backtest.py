@@ -146,9 +146,28 @@ def test_different_dates_are_not_compared(spark):
     assert row.comparable is False and row.mean_coverage_delta is None and row.lower is None
 
 
+def test_a_station_of_one_side_is_reported(spark):
+    marked = _marked(spark, synthetic())
+    row = rank.compare_models(marked.where("kind = 'balanced'"), marked.where("kind = 'none'"), STATION, 50).first()
+    assert row.comparable is False and row.evaluation_count is None and row.lower is None
+
+
 def test_fingerprint_ignores_row_order_and_sees_changes(spark):
     first = {r.kind: r.fingerprint for r in _marked(spark, synthetic()).collect()}
     assert first == {r.kind: r.fingerprint for r in _marked(spark, synthetic()).collect()}
     changed = synthetic()
     changed[-1] = [99] * 18
     assert first["balanced"] != {r.kind: r.fingerprint for r in _marked(spark, changed).collect()}["balanced"]
+
+
+def test_dense_rows_never_cross_the_network(spark):
+    """Station profile: folded rows lie by station, and nothing is exchanged by number after that."""
+    from urndraw.binding import observations
+    from urndraw.operators import grid
+    from urndraw.spec import STATION
+
+    counts = grid.draw_counts(observations(spark, "/root/testdata/sf0.001"), STATION)
+    for df in (grid.loto_daily(counts, STATION, "r1"), rank.walk_forward(counts, STATION, (30, 90))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        wide = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line and "number_2d" in line]
+        assert len(wide) <= 1, wide  # the counting of the prizes, before anything is spread out

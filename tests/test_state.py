@@ -143,13 +143,20 @@ def test_malformed_values_become_findings(spark):
     assert audit.missing_columns({"fact": broken.drop("run_id")}) == {"fact": ["run_id"]}
 
 
-def test_pages_continue_over_a_year_boundary(spark):
+def test_pages_continue_over_a_year_boundary(spark, tmp_path):
     draws = [[7] * 3 for _ in range(10)]
     rows = observations(spark, draws).withColumn("draw_date", F.date_add(F.lit("2025-12-27").cast("date"), F.date_diff("draw_date", F.lit(START))))
     counts = grid.draw_counts(rows, STATION)
+    shards = f"file://{tmp_path}/shards"
+    records = counts.groupBy("station_code", "draw_date").agg(F.sum("frequency").alias("result_count"), F.collect_list("number_2d").alias("numbers"))
+    tables.write_shards(records.withColumn("part", F.lit(0)), shards)
+    stored = tables.read_shards(spark, shards)
+    opened = serving.explorer_page(stored, "S1", start="2026-01-02")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(station_code" in opened and "year#" in opened.split("PartitionFilters:")[1].split("]")[0]
+    assert serving.explorer_page(stored, "S1", start="2026-01-02").inputFiles()
     seen, before = [], None
     while True:
-        page = sorted(serving.explorer_page(counts, "S1", number="07", before=before, limit=5).collect(), key=lambda r: r.position)
+        page = sorted(serving.explorer_page(stored, "S1", number="07", before=before, limit=5).collect(), key=lambda r: r.position)
         seen += [str(r.draw_date) for r in page]
         before = seen[-1]
         if not page[-1].has_more:
@@ -157,6 +164,19 @@ def test_pages_continue_over_a_year_boundary(spark):
     assert len(seen) == 10 and seen == sorted(seen, reverse=True) and seen[4] == "2026-01-01"
 
 
+def test_contracts_see_what_only_one_side_has(spark):
+    day = START
+    records = spark.createDataFrame([("S1", 2026, day, 18, "One", 2), ("S1", 2026, day + datetime.timedelta(days=1), 18, "One", 1), ("S3", 2026, day, 18, "Three", 1)],
+                                    "station_code string, year long, draw_date date, result_count long, station_name string, position long")
+    declared = spark.createDataFrame([("S1", 2026, 2, 36, day, day + datetime.timedelta(days=1), "One"), ("S2", 2026, 1, 18, day, day, "Two")],
+                                     "station_code string, year long, draw_count long, result_count long, range_from date, range_to date, station_name string")
+    got = {r.station_code: r.problems for r in serving.shard_contract(records, declared).collect()}
+    assert got == {"S1": "dates_not_rising", "S2": "absent", "S3": "undeclared"}
+    shards = serving.shard_counts(records)
+    totals = serving.shard_totals(shards, spark.createDataFrame([("S1", 2, 36), ("S2", 1, 18)], "station_code string, declared_draws long, declared_results long"))
+    assert {r.station_code: r.agrees for r in totals.collect()} == {"S1": True, "S2": False, "S3": False}
+
+
 def test_late_draw_equals_full_rebuild(spark):
     counts = grid.draw_counts(observations(spark, synthetic(30)), STATION)
     late = counts.where("day(draw_date) = 11")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from urndraw.functions.ranking import split_ordinal
 from urndraw.functions.text import tail_2d, zero_pad
+from urndraw.operators.facts import trailing_years
 from urndraw.spec import DAILY, STATION, Profile
 
 CUSTOMERS_PER_STATION = 300
@@ -41,13 +42,24 @@ def sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per drawn number; no prize order, so nothing has to be sorted."""
+def sessions_drawn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions that have at least one prize."""
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    return sessions(spark, sf_dir).join(lines, "o_orderkey", "left_semi")
+
+
+def observations(spark: SparkSession, sf_dir: str, years: int | None = None) -> DataFrame:
+    """One row per drawn number; no prize order, so nothing has to be sorted.
+
+    ``years`` keeps the last ones only: sessions are filtered by date before they meet their prizes.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"),
         F.lpad((F.col("l_partkey") % 100).cast("string"), 2, "0").alias("number_2d"),
     )
     draws = sessions(spark, sf_dir).select("o_orderkey", "draw_date", "station_code", "station_name")
+    if years is not None:
+        draws = trailing_years(draws, "draw_date", years, sessions_drawn(spark, sf_dir))
     return lines.join(draws, "o_orderkey")
 
 

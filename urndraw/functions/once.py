@@ -17,9 +17,10 @@ def with_once(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def fan_out(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash by ``keys`` into all configured shuffle partitions.
+    """Hash by ``keys`` into as many partitions as ``urndraw.fanOutPartitions`` says, or the shuffle's default.
 
     For steps whose output is many times their input: adaptive execution sizes partitions by the
     input and would merge them into a few tasks. A following group or window by ``keys`` reuses it.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    conf = df.sparkSession.conf
+    return df.repartition(int(conf.get("urndraw.fanOutPartitions", conf.get("spark.sql.shuffle.partitions"))), *keys)

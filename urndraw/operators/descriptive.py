@@ -11,13 +11,15 @@ from urndraw.operators.marts import dim_number
 from urndraw.spec import Profile, numbers_column
 
 
-def total_frequency(counts: DataFrame, *grain: str) -> DataFrame:
-    return counts.groupBy(*grain, "number_2d").agg(F.sum("frequency").alias("total_frequency"))
+def total_frequency(rows: DataFrame, *grain: str) -> DataFrame:
+    """Totals of drawn numbers, or of their counts per draw; drawn numbers need no count per draw before."""
+    total = F.sum("frequency") if "frequency" in rows.columns else F.count(F.lit(1))
+    return rows.groupBy(*grain, "number_2d").agg(total.alias("total_frequency"))
 
 
-def dense_totals(counts: DataFrame, profile: Profile) -> DataFrame:
+def dense_totals(rows: DataFrame, profile: Profile) -> DataFrame:
     """Totals for all 100 numbers, 0 where a number never came up."""
-    return fill_numbers(total_frequency(counts, *profile.grain), profile, ["total_frequency"]).select(
+    return fill_numbers(total_frequency(rows, *profile.grain), profile, ["total_frequency"]).select(
         *profile.grain, "number_2d", F.coalesce("found.total_frequency", F.lit(0)).alias("total_frequency")
     )
 
@@ -191,11 +193,15 @@ def dataset_summary(fact: DataFrame, profile: Profile, target_date: str) -> Data
 
 
 def station_metadata(fact: DataFrame, stations: DataFrame) -> DataFrame:
-    """Per station of the dimension: draws, results, years and range."""
+    """Per station of the dimension or the fact: draws, results, years and range; 0 and no years without a draw."""
     per_draw = fact.groupBy("station_code", "draw_date").agg(F.count(F.lit(1)).alias("_rows"))
     stats = per_draw.groupBy("station_code").agg(
         F.count(F.lit(1)).alias("draw_count"), F.sum("_rows").alias("result_count"),
         F.sort_array(F.collect_set(F.year("draw_date"))).alias("years"),
     )
-    return stations.join(stats, "station_code")
+    none = F.array().cast("array<int>")
+    return stations.join(stats, "station_code", "full_outer").withColumns({
+        "draw_count": F.coalesce("draw_count", F.lit(0).cast("long")), "result_count": F.coalesce("result_count", F.lit(0).cast("long")),
+        "years": F.coalesce("years", none),
+    })
 

@@ -146,10 +146,10 @@ def stamp_run_id(fact: DataFrame, run_id: str) -> DataFrame:
     return fact.withColumn("run_id", F.lit(run_id))
 
 
-def trailing_years(rows: DataFrame, date_column: str, years: int) -> DataFrame:
-    """Rows of the last N years, start exclusive; the latest date is a scalar subquery."""
+def trailing_years(rows: DataFrame, date_column: str, years: int, of: DataFrame | None = None) -> DataFrame:
+    """Rows of the last N years, start exclusive; the latest date, of ``of`` or the rows themselves, is a scalar subquery."""
     day = F.col(date_column)
-    last = rows.agg(F.max(date_column)).scalar()
+    last = (rows if of is None else of).agg(F.max(date_column)).scalar()
     return rows.where((day > F.add_months(last, -12 * years)) & (day <= last))
 
 

@@ -29,7 +29,11 @@ def draw_counts(rows: DataFrame, profile: Profile, number: str = "number_2d") ->
 
 
 def fold_draws(counts: DataFrame, profile: Profile) -> DataFrame:
-    """One row per draw with its counts as a map of at most 100 entries."""
+    """One row per draw with its counts as a map of at most 100 entries.
+
+    Folded rows lie together by station, which serves every later window by (station, number) and group by (station,
+    date): the rows spread out to 100 per draw never cross the network. Without stations they lie by date.
+    """
     names = [F.max("station_name").alias("station_name")] if profile.grain else []
     entries = F.col("_entries")
     numbers = F.array_distinct(F.transform(entries, lambda e: e["number_2d"]))
@@ -39,7 +43,7 @@ def fold_draws(counts: DataFrame, profile: Profile) -> DataFrame:
         return F.aggregate(own, F.lit(0).cast("long"), lambda acc, e: acc + e["frequency"])
 
     merged = F.transform(numbers, lambda n: F.struct(n.alias("number_2d"), total(n).alias("frequency")))
-    folded = fan_out(counts, *profile.keys).groupBy(*profile.keys).agg(
+    folded = fan_out(counts, *(profile.grain or profile.keys)).groupBy(*profile.keys).agg(
         F.collect_list(F.struct("number_2d", "frequency")).alias("_entries"), *names
     )
     once = F.size(numbers) == F.size(entries)
@@ -64,15 +68,19 @@ def newest_draws(folded: DataFrame, profile: Profile, last: int | None = None) -
 
     A station has at most one draw per calendar day; the daily profile has one row per day in all.
     """
-    if profile.grain:
-        folded, w = fan_out(folded, *profile.grain), W.partitionBy(*profile.grain)
-    else:
-        w = W
+    w = W.partitionBy(*profile.grain) if profile.grain else W
     index = F.row_number().over(w.orderBy(F.desc("draw_date"))).cast("long")
     out = folded.withColumn("draw_index", index)
     return out if last is None else out.where(F.col("draw_index") <= last)
 
 
+def draw_positions(counts: DataFrame, profile: Profile) -> DataFrame:
+    """Ordinal of each draw, one row per draw."""
+    draws = counts.select(*profile.keys).distinct()
+    w = W.partitionBy(*profile.grain).orderBy("draw_date")
+    return draws.withColumn("draw_position", F.row_number().over(w).cast("long"))
+
+
 def _history(profile: Profile):
     return W.partitionBy(*profile.grain, "number_2d").orderBy("draw_date")
 

@@ -23,15 +23,15 @@ def shard_counts(drawn: DataFrame) -> DataFrame:
 
 
 def shard_totals(shards: DataFrame, declared: DataFrame) -> DataFrame:
-    """Sums over the shards of a station against what the release declares."""
+    """Sums over the shards of a station against what the release declares; ``agrees`` is false where one side is missing."""
     return (
         shards.groupBy("station_code")
         .agg(
             F.sum("draw_count").alias("draw_count"), F.sum("result_count").alias("result_count"),
             F.min("range_from").alias("range_from"), F.max("range_to").alias("range_to"), F.count(F.lit(1)).alias("shards"),
         )
-        .join(declared, "station_code")
-        .withColumn("agrees", (F.col("draw_count") == F.col("declared_draws")) & (F.col("result_count") == F.col("declared_results")))
+        .join(declared, "station_code", "full_outer")
+        .withColumn("agrees", F.col("draw_count").eqNullSafe(F.col("declared_draws")) & F.col("result_count").eqNullSafe(F.col("declared_results")))
         .drop("declared_draws", "declared_results")
     )
 
@@ -102,21 +102,24 @@ def draw_contract(records: DataFrame, expected: int) -> DataFrame:
 
 
 def year_shards(records: DataFrame, stations: DataFrame) -> DataFrame:
-    """Records with the shard they belong to, under the station's current name.
+    """Records with the shard they belong to, under the station's current name, or their own if the dimension lacks it.
 
     A shard is a folder of records (see ``write_shards``), not one nested value, so its size is free.
     """
-    return records.drop("station_name").join(stations.select("station_code", "station_name"), "station_code").withColumn(
-        "year", F.year("draw_date").cast("long")
+    names = stations.select("station_code", F.col("station_name").alias("_current"))
+    return (
+        records.join(names, "station_code", "left").withColumn("station_name", F.coalesce("_current", "station_name"))
+        .drop("_current").withColumn("year", F.year("draw_date").cast("long"))
     )
 
 
 def shard_contract(records: DataFrame, declared: DataFrame) -> DataFrame:
-    """Per (station, year): strictly rising dates inside the year, range, counts and name agree.
+    """Per (station, year): dates strictly rise in stored order inside the year, range, counts and name agree.
 
-    A shard has at most one record per day of its year.
+    ``position`` is a record's place in its shard; a shard has at most one record per day of its year. A shard that nobody
+    declared is ``undeclared``, a declared one without records ``absent``.
     """
-    before = F.lag("draw_date").over(W.partitionBy("station_code", "year").orderBy("draw_date"))
+    before = F.lag("draw_date").over(W.partitionBy("station_code", "year").orderBy("position"))
     checked = records.withColumn("_rises", F.coalesce(before < F.col("draw_date"), F.lit(True)))
     stats = checked.groupBy("station_code", "year").agg(
         F.count(F.lit(1)).alias("_draws"), F.sum("result_count").alias("_results"),
@@ -125,8 +128,11 @@ def shard_contract(records: DataFrame, declared: DataFrame) -> DataFrame:
         F.count(F.when(F.year("draw_date") != F.col("year"), 1)).alias("_outside"),
         F.min("station_name").alias("_low"), F.max("station_name").alias("_high"),
     )
+    undeclared, absent = F.col("draw_count").isNull(), F.col("_draws").isNull()
     problems = F.array_compact(
         F.array(
+            F.when(undeclared, F.lit("undeclared")),
+            F.when(absent, F.lit("absent")),
             F.when(F.col("_falls") > 0, F.lit("dates_not_rising")),
             F.when(F.col("_outside") > 0, F.lit("outside_year")),
             F.when((F.col("_from") != F.col("range_from")) | (F.col("_to") != F.col("range_to")), F.lit("range")),
@@ -135,28 +141,40 @@ def shard_contract(records: DataFrame, declared: DataFrame) -> DataFrame:
             F.when((F.col("_low") != F.col("station_name")) | (F.col("_high") != F.col("station_name")), F.lit("name")),
         )
     )
-    return stats.join(declared, ["station_code", "year"]).select("station_code", "year", F.array_join(problems, ",").alias("problems"))
+    both = stats.join(declared, ["station_code", "year"], "full_outer")
+    return both.select("station_code", "year", F.array_join(problems, ",").alias("problems"))
 
 
-def release_contract(stations: DataFrame, declared_draws: int | None, declared_results: int | None, per_draw: int) -> DataFrame:
-    """Per station: years match the range, results = draws x prizes; and the totals of the release."""
+def release_contract(
+    stations: DataFrame, declared_draws: int | None, declared_results: int | None, per_draw: int,
+    release_from: str | None = None, release_to: str | None = None,
+) -> DataFrame:
+    """Per station: one entry, years match the range, results = draws x prizes, dates inside the release; and the release's totals
+    and range."""
     years = F.col("years")
+    start, end = F.lit(release_from).cast("date"), F.lit(release_to).cast("date")
     problems = F.array_compact(
         F.array(
+            F.when(F.col("_entries") > 1, F.lit("duplicate_code")),
             F.when(F.size(years) == 0, F.lit("no_years")),
             F.when(years != F.array_sort(F.array_distinct(years)), F.lit("years_unsorted")),
-            F.when((F.element_at(years, 1) != F.year("first_draw_date")) | (F.element_at(years, -1) != F.year("latest_draw_date")), F.lit("years_range")),
+            F.when((F.get(years, F.lit(0)) != F.year("first_draw_date")) | (F.try_element_at(years, F.lit(-1)) != F.year("latest_draw_date")), F.lit("years_range")),
             F.when(F.col("result_count") != F.col("draw_count") * per_draw, F.lit("result_count")),
+            F.when((F.col("first_draw_date") < start) | (F.col("latest_draw_date") > end), F.lit("outside_release")),
         )
     )
-    per_station = stations.select("station_code", F.array_join(problems, ",").alias("problems"))
-    totals = stations.agg(F.sum("draw_count").alias("d"), F.sum("result_count").alias("r")).select(
+    entries = stations.groupBy("station_code").agg(F.count(F.lit(1)).alias("_entries"))
+    per_station = stations.join(entries, "station_code").select("station_code", F.array_join(problems, ",").alias("problems"))
+    totals = stations.agg(
+        F.sum("draw_count").alias("d"), F.sum("result_count").alias("r"), F.min("first_draw_date").alias("a"), F.max("latest_draw_date").alias("b"),
+    ).select(
         F.lit("*").alias("station_code"),
         F.array_join(
             F.array_compact(
                 F.array(
                     F.when(~F.col("d").eqNullSafe(F.lit(declared_draws).cast("long")), F.lit("total_draws")),
                     F.when(~F.col("r").eqNullSafe(F.lit(declared_results).cast("long")), F.lit("total_results")),
+                    F.when((F.col("a") != start) | (F.col("b") != end), F.lit("release_range")),
                 )
             ),
             ",",
@@ -166,34 +184,29 @@ def release_contract(stations: DataFrame, declared_draws: int | None, declared_r
 
 
 def explorer_page(
-    counts: DataFrame, station: str, start: str | None = None, end: str | None = None, number: str | None = None,
+    shards: DataFrame, station: str, start: str | None = None, end: str | None = None, number: str | None = None,
     before: str | None = None, limit: int = 25,
 ) -> DataFrame:
-    """One page of a station's draws, newest first, with the cursor date of the next page.
+    """One page of a station's records, newest first, with whether there is a next page.
 
-    The page is picked on (date) rows only: filters reach the scan and the limit is a top-k. One
-    draw more than the page tells whether there is a next one. Only the draws of the page then get
-    their numbers; the page has at most ``limit`` rows.
+    ``shards`` are the stored records with the folders station_code and year. The station and the years of the dates asked for
+    are filters on folders, so only those are opened. One record more than the page tells whether there is a next one.
     """
     if not 1 <= limit <= 100:
         raise ValueError("limit must be 1..100")
-    rows = counts.where(F.col("station_code") == station)
-    if start:
-        rows = rows.where(F.col("draw_date") >= F.lit(start).cast("date"))
-    if end:
-        rows = rows.where(F.col("draw_date") <= F.lit(end).cast("date"))
-    if before:
-        rows = rows.where(F.col("draw_date") < F.lit(before).cast("date"))
-    hits = rows if number is None else rows.where(F.col("number_2d") == number)
-    found = hits.select("draw_date").distinct().orderBy(F.desc("draw_date")).limit(limit + 1)
-    ranked = found.withColumn("position", F.row_number().over(W.orderBy(F.desc("draw_date"))).cast("long"))
+    rows = shards.where(F.col("station_code") == station)
+    for text, keep in ((start, lambda column, value: column >= value), (end, lambda column, value: column <= value),
+                       (before, lambda column, value: column < value)):
+        if text:
+            year = int(text[:4])
+            rows = rows.where(F.col("year") >= year if text is start else F.col("year") <= year)
+            rows = rows.where(keep(F.col("draw_date"), F.lit(text).cast("date")))
+    if number is not None:
+        rows = rows.where(F.array_contains("numbers", number))
+    found = rows.orderBy(F.desc("draw_date"), "part").limit(limit + 1)  # at most 101 records from here on
+    ranked = found.withColumn("position", F.row_number().over(W.orderBy(F.desc("draw_date"), "part")).cast("long"))
     more = F.max("position").over(W.partitionBy(F.lit(1))) > limit
-    page = ranked.withColumn("has_more", more).where(F.col("position") <= limit)
-    return (
-        rows.join(F.broadcast(page), "draw_date")
-        .groupBy("station_code", "draw_date", "position", "has_more")
-        .agg(F.sum("frequency").alias("result_count"), F.array_sort(F.collect_list("number_2d")).alias("numbers"))
-    )
+    return ranked.withColumn("has_more", more).where(F.col("position") <= limit)
 
 
 def explorer_merge(pages: DataFrame) -> DataFrame:
@@ -204,16 +217,48 @@ def explorer_merge(pages: DataFrame) -> DataFrame:
     )
 
 
-def compact_payload(counts: DataFrame, profile: Profile, last: int, target_date: str) -> DataFrame:
-    """Per station: range, draws, results, recent draws and the latest one, for the dashboard."""
-    drawn = draw_sizes(counts)
+def recent_records(records: DataFrame, last: int) -> DataFrame:
+    """The records of the last ``last`` draws of each station, newest first by ``back``; a record is one bounded row."""
+    newest = F.dense_rank().over(W.partitionBy("station_code").orderBy(F.desc("draw_date")))
+    return records.withColumn("back", newest.cast("long")).where(F.col("back") <= last)
+
+
+def compact_payload(records: DataFrame, totals: DataFrame, last: int, target_date: str, run_id: str) -> DataFrame:
+    """The dashboard's content, one row per station and one (``*``) for all: manifest and freshness, latest results, recent
+    draws by date and the frequency map of all 100 numbers.
+
+    ``totals`` has (station_code, number_2d, total_frequency) for all numbers. A row has at most ``last`` dates, the numbers of
+    one draw's first record and 100 totals; the records themselves are the rows of ``recent_records``.
+    """
+    per_draw = records.groupBy("station_code", "draw_date").agg(
+        F.sum("result_count").alias("result_count"),
+        F.min_by(F.struct("special_prize", "numbers"), "part").alias("first"),
+    )
     newest = F.row_number().over(W.partitionBy("station_code").orderBy(F.desc("draw_date")))
-    ranked = drawn.withColumn("_back", newest)
-    return ranked.groupBy("station_code").agg(
+    ranked = per_draw.withColumn("_back", newest)
+    recent = F.when(F.col("_back") <= last, F.struct("_back", "draw_date", F.col("first.special_prize").alias("special_prize")))
+    stations = ranked.groupBy("station_code").agg(
         F.min("draw_date").alias("range_from"), F.max("draw_date").alias("range_to"),
         F.count(F.lit(1)).alias("draw_count"), F.sum("result_count").alias("result_count"),
-        F.count(F.when(F.col("_back") <= last, 1)).alias("recent_draws"),
         F.sum(F.when(F.col("_back") <= last, F.col("result_count"))).alias("recent_results"),
-        F.max(F.when(F.col("_back") == 1, F.col("result_count"))).alias("latest_results"),
-        (F.max("draw_date") == F.lit(target_date).cast("date")).alias("matches_target"),
+        F.array_sort(F.collect_list(recent)).alias("_recent"),
+        F.max(F.when(F.col("_back") == 1, F.col("first.numbers"))).alias("latest_numbers"),
     )
+    stations = stations.select(
+        "station_code", "range_from", "range_to", "draw_count", "result_count", "recent_results",
+        F.transform("_recent", lambda r: F.struct(r["draw_date"].alias("draw_date"), r["special_prize"].alias("special_prize"))).alias("recent_draws"),
+        "latest_numbers")
+    entry = F.struct("number_2d", "total_frequency")
+    maps = totals.groupBy("station_code").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("frequency"))
+    whole = totals.groupBy("number_2d").agg(F.sum("total_frequency").alias("total_frequency")).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("frequency"))
+    everything = stations.agg(
+        F.min("range_from").alias("range_from"), F.max("range_to").alias("range_to"), F.sum("draw_count").alias("draw_count"),
+        F.sum("result_count").alias("result_count"), F.sum("recent_results").alias("recent_results"))
+    star = F.lit("*").alias("station_code")
+    overall = everything.select(star, "*").join(whole.select(star, "frequency"), "station_code")
+    rows = stations.join(maps, "station_code", "left").unionByName(overall, allowMissingColumns=True)
+    return rows.withColumns({
+        "run_id": F.lit(run_id), "target_date": F.lit(target_date).cast("date"),
+        "matches_target": F.col("range_to") == F.lit(target_date).cast("date"),
+    })

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from urndraw.binding import DAILY, RUN_ID, STATION, draw_fact, table
+from urndraw.binding import DAILY, RUN_ID, STATION, draw_fact, observations, table
 from urndraw.operators import descriptive as d
 from urndraw.operators import facts, grid, marts, serving, state
 from urndraw.plans.q_facts import counts_of, lake_states
@@ -20,7 +20,7 @@ cte("yeartotals", "SELECT number_2d, CAST(sum(frequency) AS BIGINT) AS total_fre
 
 def year_totals(spark, sf):
     """Totals of all 100 numbers over the last year, daily profile."""
-    return d.dense_totals(facts.trailing_years(counts_of(spark, sf, DAILY), "draw_date", 1), DAILY)
+    return d.dense_totals(observations(spark, sf, 1), DAILY)
 
 
 @query("freq_by_draw", "SELECT station_code, draw_date, number_2d, frequency FROM counts")
@@ -30,25 +30,25 @@ def _(spark, sf):
 
 @query("total_frequency", "SELECT number_2d, CAST(sum(frequency) AS BIGINT) AS total_frequency FROM counts GROUP BY ALL")
 def _(spark, sf):
-    return d.total_frequency(counts_of(spark, sf)).orderBy(F.desc("total_frequency"), "number_2d")
+    return d.total_frequency(observations(spark, sf)).orderBy(F.desc("total_frequency"), "number_2d")
 
 
 @query("station_frequency", "SELECT * FROM totals")
 def _(spark, sf):
-    return d.total_frequency(counts_of(spark, sf), "station_code")
+    return d.total_frequency(observations(spark, sf), "station_code")
 
 
 @query("frequency_map", """
 SELECT s.station_code, n.number_2d, coalesce(t.total_frequency, 0) AS total_frequency
 FROM (SELECT DISTINCT station_code FROM obs) s CROSS JOIN numbers n LEFT JOIN totals t ON t.station_code = s.station_code AND t.number_2d = n.number_2d""")
 def _(spark, sf):
-    maps = d.frequency_map(d.dense_totals(counts_of(spark, sf), STATION), "station_code")
+    maps = d.frequency_map(d.dense_totals(observations(spark, sf), STATION), "station_code")
     return maps.select("station_code", F.explode("frequency_map").alias("number_2d", "total_frequency"))
 
 
 @query("frequency_map_overall", "SELECT * FROM totalsday")
 def _(spark, sf):
-    maps = d.frequency_map(d.dense_totals(counts_of(spark, sf, DAILY), DAILY))
+    maps = d.frequency_map(d.dense_totals(observations(spark, sf), DAILY))
     return maps.select(F.explode("frequency_map").alias("number_2d", "total_frequency"))
 
 
@@ -81,13 +81,13 @@ def _(spark, sf):
 SELECT station_code, number_2d, CAST(total_frequency AS DOUBLE) / CAST(greatest(max(total_frequency) OVER (PARTITION BY station_code), 1) AS DOUBLE) AS intensity
 FROM totals""")
 def _(spark, sf):
-    return d.heat_intensity(d.total_frequency(counts_of(spark, sf), "station_code"), "station_code")
+    return d.heat_intensity(d.total_frequency(observations(spark, sf), "station_code"), "station_code")
 
 
 @query("heat_intensity_overall", """
 SELECT number_2d, CAST(total_frequency AS DOUBLE) / CAST(greatest((SELECT max(total_frequency) FROM totalsday), 1) AS DOUBLE) AS intensity FROM totalsday""")
 def _(spark, sf):
-    return d.heat_intensity(d.dense_totals(counts_of(spark, sf, DAILY), DAILY))
+    return d.heat_intensity(d.dense_totals(observations(spark, sf), DAILY))
 
 
 @query("head_tail_table", """
@@ -174,8 +174,7 @@ def _(spark, sf):
 @query("draw_position", """
 SELECT station_code, draw_date, row_number() OVER (PARTITION BY station_code ORDER BY draw_date) AS draw_position FROM draws""")
 def _(spark, sf):
-    rows = grid.with_positions(grid.dense_grid(counts_of(spark, sf), STATION), STATION)
-    return rows.where("number_2d = '00'").select("station_code", "draw_date", "draw_position")
+    return grid.draw_positions(counts_of(spark, sf), STATION)
 
 
 def history(spark, sf, profile=STATION):
@@ -230,7 +229,7 @@ WHERE draw_date > (SELECT max(draw_date) FROM obs) - INTERVAL 2 YEAR""")
 
 @query("last_appearing_delta", "SELECT number_2d, min(back) AS delta FROM lasttwo GROUP BY 1")
 def _(spark, sf):
-    return d.last_appearing_delta(facts.trailing_years(counts_of(spark, sf, DAILY), "draw_date", 2), DAILY)
+    return d.last_appearing_delta(counts_of(spark, sf, DAILY, 2), DAILY)
 
 
 @query("last_appearing_delta_special", """
@@ -246,7 +245,7 @@ def _(spark, sf):
     f"coalesce(max(delta) FILTER (right(n.number_2d, 1) = '{k}'), 0) AS ones_{k}" for k in range(10)) + """
 FROM numbers n LEFT JOIN (SELECT number_2d, min(back) AS delta FROM lasttwo GROUP BY 1) x ON x.number_2d = n.number_2d GROUP BY 1""")
 def _(spark, sf):
-    counts = facts.trailing_years(counts_of(spark, sf, DAILY), "draw_date", 2)
+    counts = counts_of(spark, sf, DAILY, 2)
     return d.heatmap(d.last_appearing_delta(counts, DAILY), "delta")
 
 
@@ -303,12 +302,12 @@ def _(spark, sf):
 
 @query("top_k_numbers", "SELECT number_2d, total_frequency FROM totalsday ORDER BY total_frequency DESC, number_2d LIMIT 10")
 def _(spark, sf):
-    return d.top_k(d.total_frequency(counts_of(spark, sf)), [F.desc("total_frequency"), F.asc("number_2d")], 10)
+    return d.top_k(d.total_frequency(observations(spark, sf)), [F.desc("total_frequency"), F.asc("number_2d")], 10)
 
 
 @query("top_delta", "SELECT number_2d, min(back) AS delta FROM lasttwo GROUP BY 1 ORDER BY delta DESC, number_2d LIMIT 10")
 def _(spark, sf):
-    delta = d.last_appearing_delta(facts.trailing_years(counts_of(spark, sf, DAILY), "draw_date", 2), DAILY)
+    delta = d.last_appearing_delta(counts_of(spark, sf, DAILY, 2), DAILY)
     return d.top_k(delta, [F.desc("delta"), F.asc("number_2d")], 10)
 
 
@@ -316,7 +315,7 @@ def _(spark, sf):
 SELECT * FROM (SELECT number_2d, total_frequency, 'hot' AS kind FROM totalsday ORDER BY total_frequency DESC, number_2d LIMIT 5)
 UNION ALL SELECT * FROM (SELECT number_2d, total_frequency, 'cold' AS kind FROM totalsday ORDER BY total_frequency, number_2d LIMIT 5)""")
 def _(spark, sf):
-    return d.hot_cold(d.dense_totals(counts_of(spark, sf, DAILY), DAILY))
+    return d.hot_cold(d.dense_totals(observations(spark, sf), DAILY))
 
 
 @query("layout_equality", """

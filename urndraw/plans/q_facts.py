@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from urndraw.binding import DAILY, RUN_ID, STATION, control_events, draw_fact, observations, sessions, table
+from urndraw.binding import DAILY, RUN_ID, STATION, control_events, draw_fact, observations, sessions, sessions_drawn, table
 from urndraw.operators import calendars, descriptive, facts, grid, marts, state
 from urndraw.plans.registry import cte, query
 from urndraw.sources import tables
@@ -17,8 +17,8 @@ SUMMARY = """CAST(year(draw_date) AS BIGINT) AS year, CAST(month(draw_date) AS B
   CAST(sum(full_number) AS BIGINT) AS total, count(DISTINCT station_code) AS stations"""
 
 
-def counts_of(spark, sf, profile=STATION):
-    return grid.draw_counts(observations(spark, sf), profile)
+def counts_of(spark, sf, profile=STATION, years=None):
+    return grid.draw_counts(observations(spark, sf, years), profile)
 
 
 def month_summary(fact):
@@ -209,7 +209,7 @@ def _(spark, sf):
 
 @query("dim_number", "SELECT n.*, CAST(coalesce(c.total, 0) AS BIGINT) AS total FROM dimnumber n LEFT JOIN (SELECT number_2d, count(*) AS total FROM obs GROUP BY 1) c USING (number_2d)")
 def _(spark, sf):
-    totals = descriptive.total_frequency(counts_of(spark, sf)).withColumnRenamed("total_frequency", "total")
+    totals = descriptive.total_frequency(observations(spark, sf)).withColumnRenamed("total_frequency", "total")
     return marts.dim_number(spark).join(totals, "number_2d", "left").withColumn("total", F.coalesce("total", F.lit(0).cast("long")))
 
 
@@ -218,12 +218,6 @@ def _(spark, sf):
     return marts.dim_date(sessions_drawn(spark, sf))
 
 
-def sessions_drawn(spark, sf):
-    """Sessions that have at least one prize."""
-    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    return sessions(spark, sf).join(lines, "o_orderkey", "left_semi")
-
-
 @query("stamp_run_id", "SELECT 'run-0009' AS run_id, count(*) AS row_count FROM fact")
 def _(spark, sf):
     return facts.stamp_run_id(draw_fact(spark, sf), "run-0009").groupBy("run_id").agg(F.count(F.lit(1)).alias("row_count"))
@@ -256,7 +250,7 @@ def _(spark, sf):
 SELECT station_code, draw_date, number_2d, frequency FROM counts
 WHERE draw_date > (SELECT max(draw_date) FROM counts) - INTERVAL 2 YEAR AND draw_date <= (SELECT max(draw_date) FROM counts)""")
 def _(spark, sf):
-    return facts.trailing_years(counts_of(spark, sf), "draw_date", 2).drop("station_name")
+    return counts_of(spark, sf, STATION, 2).drop("station_name")
 
 
 @query("date_range_filter", """

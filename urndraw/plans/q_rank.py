@@ -139,8 +139,11 @@ SELECT *, CAST(floor((xor(v2, v2 >> 14)) / 4294967296.0::DOUBLE * n) AS BIGINT)
    FROM {source} CROSS JOIN range(2000) s CROSS JOIN range(90) i WHERE i.range < n)))"""
 
 
-_PCT = """l[CAST(floor({p}::DOUBLE * 1999) AS BIGINT) + 1] * (1 - ({p}::DOUBLE * 1999 - floor({p}::DOUBLE * 1999)))
-  + l[CAST(ceil({p}::DOUBLE * 1999) AS BIGINT) + 1] * ({p}::DOUBLE * 1999 - floor({p}::DOUBLE * 1999))"""
+# linear interpolation between order statistics, from the nearer one
+_AT = "CAST(floor({p}::DOUBLE * 1999) AS BIGINT)"
+_T = "({p}::DOUBLE * 1999 - floor({p}::DOUBLE * 1999))"
+_PCT = f"""CASE WHEN {_T} < 0.5 THEN l[{_AT} + 1] + (l[{_AT} + 2] - l[{_AT} + 1]) * {_T}
+  ELSE l[{_AT} + 2] - (l[{_AT} + 2] - l[{_AT} + 1]) * (1 - {_T}) END"""
 cte("seeds", """
 SELECT *, len(points) AS n, CASE WHEN seed0 = 0 THEN 1831565813 ELSE seed0 END AS seed
 FROM (SELECT *, CAST('0x' || substr(fingerprint, 1, 8) AS BIGINT) AS seed0 FROM prints)""")

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from urndraw.binding import RUN_ID, STATION, control_events, draw_fact, health_ticks, sessions, table
+from urndraw.binding import RUN_ID, STATION, control_events, draw_fact, health_ticks, observations, sessions, table
 from urndraw.functions import dates, text
-from urndraw.operators import facts, grid, health, marts, serving, state
+from urndraw.operators import descriptive, facts, grid, health, marts, serving, state
 from urndraw.plans.q_facts import FACT_COLUMNS, counts_of, lake_states, month_summary
 from urndraw.plans.q_parse import parsed_pages
 from urndraw.plans.registry import cte, query
@@ -233,13 +233,39 @@ def _(spark, sf):
     return serving.draw_contract(records(spark, sf), 18)
 
 
-@query("compact_payload", f"""
-SELECT station_code, min(draw_date) AS range_from, max(draw_date) AS range_to, count(*) AS draw_count, CAST(sum(n) AS BIGINT) AS result_count,
-  count(*) FILTER (b <= {RECENT_DRAWS}) AS recent_draws, CAST(sum(n) FILTER (b <= {RECENT_DRAWS}) AS BIGINT) AS recent_results,
-  max(n) FILTER (b = 1) AS latest_results, max(draw_date) = DATE '2001-08-01' AS matches_target
-FROM (SELECT station_code, draw_date, count(*) AS n, row_number() OVER (PARTITION BY station_code ORDER BY draw_date DESC) AS b FROM obs GROUP BY 1, 2) GROUP BY 1""")
+cte("paydraws", """
+SELECT station_code, draw_date, sum(result_count) AS n, arg_min(special_prize, part) FILTER (part = 0 AND status = 'ok') AS special, arg_min(numbers, part) AS numbers,
+  row_number() OVER (PARTITION BY station_code ORDER BY draw_date DESC) AS b FROM recok GROUP BY 1, 2""")
+cte("paystations", f"""
+SELECT station_code, min(draw_date) AS range_from, max(draw_date) AS range_to, count(*) AS draw_count, sum(n) AS result_count, sum(n) FILTER (b <= {RECENT_DRAWS}) AS recent_results,
+  string_agg(CAST(draw_date AS VARCHAR) || ':' || coalesce(special, ''), ',' ORDER BY draw_date DESC) FILTER (b <= {RECENT_DRAWS}) AS recent_draws, max(numbers) FILTER (b = 1) AS latest_numbers
+FROM paydraws GROUP BY 1""")
+cte("paytotals", """
+SELECT s.station_code, n.number_2d, coalesce(t.total_frequency, 0) AS f FROM (SELECT DISTINCT station_code FROM obs) s CROSS JOIN numbers n LEFT JOIN totals t USING (station_code, number_2d)""")
+cte("payrows", """
+SELECT p.*, (SELECT string_agg(number_2d || '=' || f, ',' ORDER BY number_2d) FROM paytotals t WHERE t.station_code = p.station_code) AS frequency FROM paystations p
+UNION ALL SELECT '*', min(range_from), max(range_to), sum(draw_count), sum(result_count), sum(recent_results), NULL, NULL,
+  (SELECT string_agg(number_2d || '=' || f, ',' ORDER BY number_2d) FROM (SELECT number_2d, sum(f) AS f FROM paytotals GROUP BY 1)) FROM paystations""")
+
+
+@query("compact_payload", """
+SELECT station_code, range_from, range_to, CAST(draw_count AS BIGINT) AS draw_count, CAST(result_count AS BIGINT) AS result_count, CAST(recent_results AS BIGINT) AS recent_results,
+  recent_draws, latest_numbers, frequency, 'run-0001' AS run_id, DATE '2001-08-01' AS target_date, range_to = DATE '2001-08-01' AS matches_target FROM payrows""")
+def _(spark, sf):
+    totals = descriptive.dense_totals(observations(spark, sf), STATION)
+    payload = serving.compact_payload(records(spark, sf), totals, RECENT_DRAWS, "2001-08-01", RUN_ID)
+    day = F.transform("recent_draws", lambda r: F.concat(r["draw_date"].cast("string"), F.lit(":"), F.coalesce(r["special_prize"], F.lit(""))))
+    pairs = F.transform(F.array_sort(F.map_entries("frequency")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return payload.withColumns({
+        "recent_draws": F.array_join(day, ","), "latest_numbers": F.array_join("latest_numbers", ","), "frequency": F.array_join(pairs, ",")})
+
+
+@query("recent_records", f"""
+SELECT station_code, draw_date, part, back, numbers FROM (
+  SELECT *, dense_rank() OVER (PARTITION BY station_code ORDER BY draw_date DESC) AS back FROM recok) WHERE back <= {RECENT_DRAWS}""")
 def _(spark, sf):
-    return serving.compact_payload(counts_of(spark, sf), STATION, RECENT_DRAWS, "2001-08-01")
+    rows = serving.recent_records(records(spark, sf), RECENT_DRAWS)
+    return rows.select("station_code", "draw_date", "part", "back", F.array_join("numbers", ",").alias("numbers"))
 
 
 @query("year_shards", """
@@ -252,51 +278,60 @@ def _(spark, sf):
 
 
 @query("sink_shards", """
-SELECT station_code, CAST(year(draw_date) AS BIGINT) AS year, count(*) AS draw_count, CAST(sum(result_count) AS BIGINT) AS result_count FROM recok GROUP BY 1, 2""")
+SELECT station_code, CAST(year(draw_date) AS BIGINT) AS year, count(DISTINCT draw_date) AS draw_count, CAST(sum(result_count) AS BIGINT) AS result_count FROM recok GROUP BY 1, 2""")
 def _(spark, sf):
     path = fresh_dir(spark, "shards")
     tables.write_shards(records(spark, sf), path)
-    schema = "station_code string, year long, draw_date date, result_count long, numbers array<string>, prizes map<string, array<string>>"
-    return spark.read.schema(schema).json(path).groupBy("station_code", "year").agg(
-        F.count(F.lit(1)).alias("draw_count"), F.sum("result_count").alias("result_count"))
+    return tables.read_shards(spark, path).groupBy("station_code", F.col("year").cast("long").alias("year")).agg(
+        F.countDistinct("draw_date").alias("draw_count"), F.sum("result_count").alias("result_count"))
 
 
 @query("shard_contract", """
-SELECT station_code, CAST(y AS BIGINT) AS year, concat_ws(',', CASE WHEN y % 5 = 1 THEN 'range' END, CASE WHEN y % 3 = 1 THEN 'draw_count' END,
-  CASE WHEN y < 1998 THEN 'name' END) AS problems FROM (SELECT DISTINCT station_code, year(draw_date) AS y FROM obs)""")
+SELECT station_code, CAST(y AS BIGINT) AS year, CASE WHEN y = 1999 THEN 'undeclared' ELSE concat_ws(',', CASE WHEN y = 1997 THEN 'dates_not_rising' END, CASE WHEN y % 5 = 1 THEN 'range' END,
+  CASE WHEN y % 3 = 1 THEN 'draw_count' END, CASE WHEN y < 1998 THEN 'name' END) END AS problems FROM (SELECT DISTINCT station_code, year(draw_date) AS y FROM obs)
+UNION ALL SELECT DISTINCT station_code, 1990, 'absent' FROM obs""")
 def _(spark, sf):
+    """Declared shards of which one has the wrong range, one the wrong count, one no records, and one that nobody declared."""
     drawn = serving.draw_sizes(counts_of(spark, sf))
     names = sessions(spark, sf).select("station_code", "draw_date", "station_name").distinct()
-    shards = drawn.join(names, ["station_code", "draw_date"]).withColumn("year", F.year("draw_date").cast("long"))
     year = F.col("year")
-    declared = serving.shard_counts(drawn).select(
+    days = F.unix_date("draw_date")
+    shards = drawn.join(names, ["station_code", "draw_date"]).withColumn("year", F.year("draw_date").cast("long")).withColumn(
+        "position", F.when(year == 1997, -days).otherwise(days))
+    declared = serving.shard_counts(drawn).where(year != 1999).select(
         "station_code", "year", (F.col("draw_count") + F.when(year % 3 == 1, 1).otherwise(0)).alias("draw_count"), "result_count",
         F.when(year % 5 == 1, F.date_sub("range_from", 1)).otherwise(F.col("range_from")).alias("range_from"), "range_to",
         F.concat(F.lit("Station "), F.substring("station_code", 2, 9)).alias("station_name"))
-    return serving.shard_contract(shards, declared)
+    ghost = declared.groupBy("station_code", "station_name").agg(F.min("range_from").alias("range_from")).select(
+        "station_code", F.lit(1990).cast("long").alias("year"), F.lit(1).cast("long").alias("draw_count"), F.lit(18).cast("long").alias("result_count"),
+        "range_from", F.col("range_from").alias("range_to"), "station_name")
+    return serving.shard_contract(shards, declared.unionByName(ghost))
 
 
 @query("release_contract", """
-SELECT station_code, concat_ws(',', CASE WHEN CAST(substr(station_code, 2) AS BIGINT) % 3 = 1 THEN 'years_range' END, CASE WHEN r <> d * 18 THEN 'result_count' END) AS problems
-FROM (SELECT station_code, count(DISTINCT draw_date) AS d, count(*) AS r FROM obs GROUP BY 1)
-UNION ALL SELECT '*', 'total_draws,total_results'""")
+SELECT station_code, concat_ws(',', CASE WHEN CAST(substr(station_code, 2) AS BIGINT) % 4 = 3 THEN 'duplicate_code' END, CASE WHEN CAST(substr(station_code, 2) AS BIGINT) % 3 = 1 THEN 'years_range' END,
+  CASE WHEN r <> d * 18 THEN 'result_count' END, CASE WHEN a < DATE '1995-01-05' OR b > DATE '2001-07-25' THEN 'outside_release' END) AS problems
+FROM (SELECT station_code, count(DISTINCT draw_date) AS d, count(*) AS r, min(draw_date) AS a, max(draw_date) AS b, CASE WHEN CAST(substr(station_code, 2) AS BIGINT) % 4 = 3 THEN 2 ELSE 1 END AS k FROM obs GROUP BY 1), range(2) c
+WHERE c.range < k
+UNION ALL SELECT '*', 'total_draws,total_results,release_range'""")
 def _(spark, sf):
-    from urndraw.operators import descriptive
-
     fact = draw_fact(spark, sf)
+    number = F.substring("station_code", 2, 9).cast("long")
     meta = descriptive.station_metadata(fact, marts.dim_station(fact)).withColumn(
-        "years", F.when(F.substring("station_code", 2, 9).cast("long") % 3 == 1, F.slice("years", 2, 100)).otherwise(F.col("years")))
-    return serving.release_contract(meta, 1, 1, 18)
+        "years", F.when(number % 3 == 1, F.slice("years", 2, 100)).otherwise(F.col("years")))
+    return serving.release_contract(meta.unionByName(meta.where(number % 4 == 3)), 1, 1, 18, "1995-01-05", "2001-07-25")
 
 
 @query("explorer_page", """
-SELECT station_code, draw_date, row_number() OVER (ORDER BY draw_date DESC) AS position, true AS has_more, result_count, numbers FROM (
-  SELECT station_code, draw_date, count(*) AS result_count, string_agg(DISTINCT number_2d, ',' ORDER BY number_2d) AS numbers FROM obs
-  WHERE station_code = 'S1' AND draw_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31' AND draw_date < DATE '2000-06-01' GROUP BY 1, 2
-  HAVING bool_or(number_2d = '07') ORDER BY draw_date DESC LIMIT 25)""")
+SELECT station_code, draw_date, row_number() OVER (ORDER BY draw_date DESC, part) AS position, true AS has_more, result_count, numbers, special_prize FROM (
+  SELECT station_code, draw_date, part, result_count, numbers, CASE WHEN status = 'ok' THEN special_prize END AS special_prize FROM recok
+  WHERE station_code = 'S1' AND draw_date BETWEEN DATE '1996-01-01' AND DATE '2000-12-31' AND draw_date < DATE '2000-06-01'
+    AND list_contains(string_split(numbers, ','), '07') ORDER BY draw_date DESC, part LIMIT 25)""")
 def _(spark, sf):
-    page = serving.explorer_page(counts_of(spark, sf), "S1", "1996-01-01", "2000-12-31", "07", "2000-06-01", 25)
-    return page.withColumn("numbers", F.array_join("numbers", ","))
+    path = fresh_dir(spark, "shards")
+    tables.write_shards(records(spark, sf), path)
+    page = serving.explorer_page(tables.read_shards(spark, path), "S1", "1996-01-01", "2000-12-31", "07", "2000-06-01", 25)
+    return page.select("station_code", "draw_date", "position", "has_more", "result_count", F.array_join("numbers", ",").alias("numbers"), "special_prize")
 
 
 @query("explorer_merge", """

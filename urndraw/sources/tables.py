@@ -143,6 +143,15 @@ def read_wide_csv(spark: SparkSession, path: str, profile: Profile) -> DataFrame
     return spark.read.schema(_wide_schema(profile)).option("header", True).csv(path)
 
 
+SHARD = """station_code string, year int, draw_date date, part long, station_name string, result_count long, status string,
+  special_prize string, special_tail string, numbers array<string>, prizes map<string, array<string>>"""
+
+
+def read_shards(spark: SparkSession, path: str) -> DataFrame:
+    """Stored records; station_code and year are folders, so filters on them decide which are opened."""
+    return spark.read.schema(SHARD).json(path)
+
+
 def write_shards(records: DataFrame, path: str) -> None:
     """Serving records as JSON, one folder per station and year."""
     shards = records.withColumn("year", F.year("draw_date"))

@@ -232,3 +232,54 @@ def test_daily_profile_has_no_station(spark):
     rows = observations(spark, synthetic(5)).drop("station_code", "station_name")
     loto = grid.loto_daily(grid.draw_counts(rows, DAILY), DAILY, "r1")
     assert "station_code" not in loto.columns and loto.count() == 500
+
+
+def test_an_empty_batch_changes_nothing(spark, tmp_path):
+    path, staging = f"file://{tmp_path}/silver", f"file://{tmp_path}/staging"
+    rows = fact(spark)
+    tables.write_silver(rows, path)
+    tables.upsert_silver(spark, path, rows.limit(0), KEY, ["seq"], staging)
+    tables.upsert_silver(spark, path, rows.where("day(draw_date) < 3"), KEY, ["seq"], staging)
+    tables.upsert_silver(spark, path, rows.limit(0), KEY, ["seq"], staging)
+    stored = tables.read_silver(spark, path).select(rows.columns)
+    assert stored.exceptAll(rows).count() == 0 and stored.count() == rows.count()
+
+
+def test_late_first_records_are_kept(spark, tmp_path):
+    incoming, path, checkpoint = f"file://{tmp_path}/in", f"file://{tmp_path}/seen", f"file://{tmp_path}/checkpoint"
+    schema = "lake long, draw_date date, seq long"
+    day = datetime.date(2024, 1, 20)
+    arrivals = [[(1, day, 5), (1, day, 4)], [(1, datetime.date(2023, 1, 1), 9), (1, day, 1)], [], [(2, day, 7)]]
+    for rows in arrivals:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(incoming)
+        seen = jobs.first_seen(spark.readStream.schema(schema).parquet(incoming), ["lake", "draw_date"], ["seq"], path, checkpoint)
+    got = sorted((r.lake, str(r.draw_date), r.seq) for r in seen.collect())
+    assert got == [(1, "2023-01-01", 9), (1, "2024-01-20", 4), (2, "2024-01-20", 7)]
+
+
+def test_several_late_draws_use_what_is_carried(spark):
+    counts = grid.draw_counts(observations(spark, synthetic(130)), STATION)
+    is_late = F.date_diff("draw_date", F.lit(START)).isin(100, 117)
+    stored = grid.loto_daily(counts.where(~is_late), STATION, "r1")
+    first = START + datetime.timedelta(days=100)
+    merged = jobs.late_recompute(stored, counts.where(F.col("draw_date") >= F.lit(first)), counts.where(is_late), STATION, "r1")
+    whole = grid.loto_daily(counts, STATION, "r1")
+    assert merged.exceptAll(whole).count() == 0 and whole.exceptAll(merged).count() == 0
+
+
+UNDELIVERED = [("2026-07-16 13:05:00", False, False), ("2026-07-16 13:15:00", False, True), ("2026-07-16 13:20:00", False, True),
+               ("2026-07-16 13:45:00", False, False), ("2026-07-16 13:50:00", False, True), ("2026-07-16 14:00:00", True, False),
+               ("2026-07-16 14:15:00", True, True), ("2026-07-16 14:20:00", True, True)]
+
+
+def test_failed_notifications_are_sent_again(spark, tmp_path):
+    rows = spark.createDataFrame([(1, i, t, h, d) for i, (t, h, d) in enumerate(UNDELIVERED)],
+                                 "key long, seq long, ts string, healthy boolean, delivered boolean").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    want = [("2026-07-16 13:05:00", "warning", "alert"), ("2026-07-16 13:15:00", "warning", "alert"), ("2026-07-16 13:45:00", "critical", "alert"),
+            ("2026-07-16 13:50:00", "critical", "alert"), ("2026-07-16 14:00:00", "healthy", "recovery"), ("2026-07-16 14:15:00", "healthy", "recovery")]
+    assert seen(health.incident_events(rows)) == want
+    for first in range(0, 8, 3):
+        rows.where((F.col("seq") >= first) & (F.col("seq") < first + 3)).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/ticks")
+        source = spark.readStream.schema(rows.schema).parquet(f"file://{tmp_path}/ticks")
+        out = jobs.drain_to(jobs.incident_stream(source), f"file://{tmp_path}/out", f"file://{tmp_path}/checkpoint")
+    assert seen(out) == want

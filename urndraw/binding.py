@@ -141,4 +141,5 @@ def health_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         F.col("ts"),
         (F.col("event_type") != "error").alias("healthy"),
+        (F.col("event_id") % 5 != 0).alias("delivered"),
     )

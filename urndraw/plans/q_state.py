@@ -380,7 +380,7 @@ def _(spark, sf):
 
 cte("ticks", """
 SELECT user_id AS key, event_id AS seq, ts, event_type <> 'error' AS healthy, CAST(ts + INTERVAL 7 HOUR AS DATE) AS local_day,
-  hour(ts + INTERVAL 7 HOUR) * 60 + minute(ts + INTERVAL 7 HOUR) AS mod FROM events""")
+  hour(ts + INTERVAL 7 HOUR) * 60 + minute(ts + INTERVAL 7 HOUR) AS mod, event_id % 5 <> 0 AS delivered FROM events""")
 cte("sched", """
 SELECT *, CASE WHEN mod >= 1200 THEN local_day ELSE local_day - 1 END AS expected_date,
   CASE WHEN mod < 1200 THEN 'pre_warning' WHEN mod < 1230 THEN 'warning' ELSE 'critical' END AS alert_window FROM ticks""")
@@ -415,14 +415,16 @@ def _(spark, sf):
 
 
 _INCIDENTS = """
-SELECT key, expected_date, opened_at, ts, severity, 'alert' AS event FROM (
-  SELECT key, expected_date, min(ts) OVER g AS opened_at, ts, alert_window AS severity, row_number() OVER (PARTITION BY key, island, expected_date ORDER BY ts, seq) AS r,
-    row_number() OVER (PARTITION BY key, island, expected_date, alert_window ORDER BY ts, seq) AS rs FROM unhealthy
-  WINDOW g AS (PARTITION BY key, island, expected_date)) WHERE r = 1 OR (severity = 'critical' AND rs = 1)
-UNION ALL SELECT h.key, max(u.expected_date), max(u.opened_at), h.ts, 'healthy', 'recovery' FROM (SELECT * FROM islands WHERE healthy) h
-JOIN (SELECT key, island, expected_date, min(ts) AS opened_at FROM unhealthy GROUP BY ALL) u ON u.key = h.key AND u.island = h.island GROUP BY h.key, h.island, h.ts"""
+SELECT key, expected_date, opened_at, ts, alert_window AS severity, 'alert' AS event, delivered FROM (
+  SELECT *, min(ts) OVER (PARTITION BY key, island, expected_date) AS opened_at,
+    coalesce(sum(CASE WHEN delivered THEN 1 ELSE 0 END) OVER g, 0) AS any_before, coalesce(sum(CASE WHEN delivered AND alert_window = 'critical' THEN 1 ELSE 0 END) OVER g, 0) AS critical_before
+  FROM unhealthy WINDOW g AS (PARTITION BY key, island, expected_date ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+WHERE any_before = 0 OR (alert_window = 'critical' AND critical_before = 0)
+UNION ALL SELECT h.key, i.d, (SELECT min(u.ts) FROM unhealthy u WHERE u.key = h.key AND u.island = h.island AND u.expected_date = i.d), h.ts, 'healthy', 'recovery', h.delivered
+FROM islands h, LATERAL (SELECT max(u.expected_date) AS d FROM unhealthy u WHERE u.key = h.key AND u.island = h.island AND (u.ts < h.ts OR (u.ts = h.ts AND u.seq < h.seq))) i
+WHERE h.healthy AND i.d IS NOT NULL"""
 cte("islands", """
-SELECT *, coalesce(sum(CASE WHEN healthy THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island FROM sched""")
+SELECT *, coalesce(sum(CASE WHEN healthy AND delivered THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY ts, seq ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS island FROM sched""")
 cte("unhealthy", "SELECT * FROM islands WHERE NOT healthy AND alert_window <> 'pre_warning'")
 
 
@@ -431,24 +433,31 @@ def _(spark, sf):
     return health.incident_events(health_ticks(spark, sf))
 
 
-def _stream(spark, sf, name):
-    schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
-
-
 @query("incident_stream", _INCIDENTS)
 def _(spark, sf):
-    ticks = _stream(spark, sf, "events").select(
-        F.col("user_id").alias("key"), F.col("event_id").alias("seq"), "ts", (F.col("event_type") != "error").alias("healthy"))
-    return jobs.drain_to(jobs.incident_stream(ticks), fresh_dir(spark, "incidents"), fresh_dir(spark, "checkpoint"))
+    """Ticks arrive in time order, in files of some days each; two of them make a micro-batch."""
+    incoming = fresh_dir(spark, "ticks")
+    ticks = health_ticks(spark, sf)
+    for first in range(8):
+        ticks.where(F.expr(f"least(7, day(ts) div 4) = {first}")).write.mode("append").parquet(incoming)
+    source = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).parquet(incoming)
+    return jobs.drain_to(jobs.incident_stream(source), fresh_dir(spark, "incidents"), fresh_dir(spark, "checkpoint"))
 
 
-@query("stream_dedupe", "SELECT DISTINCT user_id AS lake, CAST(ts AS DATE) AS draw_date, event_type FROM events")
+@query("stream_dedupe", """
+SELECT lake, draw_date, event_type, arg_min(seq, row(late, seq)) AS seq FROM (
+  SELECT user_id AS lake, CAST(ts AS DATE) AS draw_date, event_type, event_id AS seq, CASE WHEN day(ts) < 15 THEN 1 ELSE 0 END AS late FROM events) GROUP BY ALL""")
 def _(spark, sf):
-    events = _stream(spark, sf, "events").select(
-        F.col("user_id").alias("lake"), F.to_date("ts").alias("draw_date"), "event_type", F.col("ts").cast("timestamp").alias("at"))
-    seen = jobs.first_seen(events, ["lake", "draw_date", "event_type"], "at", "2 days")
-    return jobs.drain_to(seen, fresh_dir(spark, "seen"), fresh_dir(spark, "checkpoint")).select("lake", "draw_date", "event_type")
+    """Two arrivals out of order, each drained: the second half of the month comes first, and repeats of it later."""
+    incoming, path, checkpoint = fresh_dir(spark, "incoming"), fresh_dir(spark, "seen"), fresh_dir(spark, "checkpoint")
+    events = table(spark, sf, "events").select(
+        F.col("user_id").alias("lake"), F.to_date("ts").alias("draw_date"), "event_type", F.col("event_id").alias("seq"))
+    seen = None
+    for arrival in (events.where(F.dayofmonth("draw_date") >= 15), events):
+        arrival.write.mode("append").parquet(incoming)
+        source = spark.readStream.schema(events.schema).parquet(incoming)
+        seen = jobs.first_seen(source, ["lake", "draw_date", "event_type"], ["seq"], path, checkpoint)
+    return seen.select("lake", "draw_date", "event_type", "seq")
 
 
 @query("stream_ingest", "SELECT CAST(year(draw_date) AS BIGINT) AS year, CAST(month(draw_date) AS BIGINT) AS month, count(*) AS row_count, CAST(sum(full_number) AS BIGINT) AS total, count(DISTINCT station_code) AS stations FROM (" + UPSERT + ") GROUP BY 1, 2")
@@ -471,7 +480,9 @@ def _(spark, sf):
     is_late = (F.dayofyear("draw_date") % 50 == 0) & (F.year("draw_date") >= 1999) & (F.substring("station_code", 2, 9).cast("long") % 2 == 0)
     path = fresh_dir(spark, "loto")
     grid.loto_daily(every.where(~is_late), STATION, RUN_ID).write.parquet(path)
-    merged = jobs.late_recompute(spark.read.parquet(path), every, every.where(is_late), STATION, RUN_ID)
+    late = every.where(is_late)
+    first = late.agg(F.min("draw_date")).scalar()
+    merged = jobs.late_recompute(spark.read.parquet(path), every.where(F.col("draw_date") >= first), late, STATION, RUN_ID)
     return merged.groupBy("station_code", "number_2d").agg(
         F.sum("draws_since_previous").alias("gap_sum"), F.sum("calendar_days_since_previous").alias("day_sum"),
         F.sum("rolling_7_frequency").alias("r7"), F.sum("rolling_90_frequency").alias("r90"), F.count(F.lit(1)).alias("draws"))

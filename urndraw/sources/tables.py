@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from urndraw.spec import Profile
 
@@ -45,19 +46,25 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], seq: list[str]) -> D
 def upsert_silver(spark: SparkSession, path: str, new: DataFrame, keys: list[str], seq: list[str], staging: str) -> None:
     """Merge ``new`` into the stored months it touches.
 
-    The merge goes to a staging folder first and replaces the months from there, so a lost job can
-    be repeated: the same batch gives the same rows.
+    The merge goes to a staging folder first, overwriting what an earlier merge left there, and replaces the months from
+    it, so a lost job can be repeated: the same batch gives the same rows. An empty batch changes nothing.
     """
     months = new.select(F.year("draw_date").alias("year"), F.month("draw_date").alias("month")).distinct()
-    # one row per calendar month
-    old = spark.read.parquet(path).join(F.broadcast(months), ["year", "month"], "left_semi").drop("year", "month")
+    schema = StructType([*new.schema.fields, StructField("year", IntegerType()), StructField("month", IntegerType())])
+    old = spark.read.schema(schema).parquet(path).join(months, ["year", "month"], "left_semi").drop("year", "month")
     _by_month(upsert(old, new, keys, seq)).write.mode("overwrite").partitionBy("year", "month").parquet(staging)
     (
-        spark.read.parquet(staging).hint("rebalance", "year", "month")
+        spark.read.schema(schema).parquet(staging).hint("rebalance", "year", "month")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
     )
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether anything is stored at ``path``, asked of the file system it names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 RUN_IDS = re.compile(r"[A-Za-z0-9][A-Za-z0-9._-]*")
 
 

@@ -29,11 +29,11 @@ from pyspark.sql import functions as F
 from urndraw.llm.common import text_or_empty
 
 ORDERS = (4, 3, 2, 1)
-SAMPLE_ROWS = 6000
-ENTRIES = 200_000
+SAMPLE_ROWS = 4000
+ENTRIES = 100_000
 UNKNOWN = "und"
-#: Unseen words whose scores a Python worker keeps.
-UNSEEN = 300_000
+#: Unseen words whose scores a task keeps.
+UNSEEN = 100_000
 
 _words = re.compile(r"[^\W\d_]+").findall
 
@@ -132,10 +132,11 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = ENTRIE
     counted = rows.mapInArrow(count, "lang string, order int, gram string, n long").groupBy("order", "gram", "lang").agg(F.sum("n").alias("n"))
     # words of one language are told apart by their order, not by how many there are of them
     per_gram = counted.groupBy("order", "gram").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    kept = per_gram.orderBy(F.desc("all"), "order", "gram").limit(entries).collect()
+    kept = per_gram.orderBy(F.desc("all"), "order", "gram").limit(entries).select("order", "gram", F.map_keys("by").alias("langs"), F.map_values("by").alias("counts")).toArrow()
     sums = counted.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect()
-    return Model.of([(r["order"], r["gram"], lang, n) for r in kept for lang, n in r["by"].items()],
-                    {(r["order"], r["lang"]): r["n"] for r in sums})
+    columns = (kept.column(c).to_pylist() for c in ("order", "gram", "langs", "counts"))
+    rows = [(order, gram, lang, n) for order, gram, langs, counts in zip(*columns) for lang, n in zip(langs, counts)]
+    return Model.of(rows, {(r["order"], r["lang"]): r["n"] for r in sums})
 
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -143,11 +144,14 @@ def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colum
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [sent.value.predict(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                ["doc_id", "lang_pred", "score"])
+        try:
+            for batch in batches:
+                found = [sent.value.predict(t) for t in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                    ["doc_id", "lang_pred", "score"])
+        finally:
+            sent.value.unseen.clear()  # the worker lives on, with other work
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
@@ -160,11 +164,14 @@ def with_language(docs: DataFrame, model: Model, text_column: str = "text") -> D
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in kept), "lang_pred string, score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [sent.value.predict(t or "") for t in batch.column(kept.index(text_column)).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                [*kept, "lang_pred", "score"])
+        try:
+            for batch in batches:
+                found = [sent.value.predict(t or "") for t in batch.column(kept.index(text_column)).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                    [*kept, "lang_pred", "score"])
+        finally:
+            sent.value.unseen.clear()  # the worker lives on, with other work
 
     return docs.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
 

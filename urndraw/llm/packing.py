@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 from urndraw.llm.common import stored, text_or_empty
 
-#: Distinct chunks of text whose ids a Python worker keeps; beyond it the worker starts afresh.
-CHUNKS = 900_000
+#: Distinct chunks of text whose ids a task keeps; beyond it the task starts afresh.
+CHUNKS = 400_000
 #: Pieces that are numbered in one slot, on average.
 SLOT = 4000
 
@@ -113,9 +113,9 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokens_of(tokenizer_path)
         end = np.array([end_id], np.uint32).tobytes()
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+        parts = (batch.slice(at, 256) for batch in batches for at in range(0, batch.num_rows, 256))
+        try:
+            for part in parts:
                 encoded = [x + end for x in encoder.encode(part.column(1).to_pylist())]
                 rows = [(i, s, e) for i, x in enumerate(encoded) for s in range(0, len(x), 4 * capacity)
                         for e in (min(len(x), s + 4 * capacity),)]
@@ -127,6 +127,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: i
                      pa.array(np.array([len(x) // 4 for x in encoded], np.int64)[index]),
                      pa.array([encoded[i][s:e] for i, s, e in rows], pa.binary())],
                     ["doc_id", "start", "length", "doc_tokens", "ids"])
+        finally:
+            encoder.known.clear()  # the worker lives on, with other work
 
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), text_or_empty(text_column).alias("text"))
     return rows.mapInArrow(run, schema)

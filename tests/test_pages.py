@@ -148,3 +148,18 @@ def test_station_page_columns(spark):
     got = {r.station_code: (r.station_name, r.station_url, r.prize8, r.special) for r in values.collect()}
     assert got == {"TN": ("Tây Ninh", "https://x/a/xstn-p1.html", ["07"], ["005113"]), "AG": ("An Giang", "https://x/b/xsag-p1.html", ["54"], ["830834"])}
     assert rows.where(F.col("value").isNull()).count() == 0
+
+
+def test_two_equally_incomplete_sources_are_rejected(spark):
+    rows = repair(spark, [station("A1", "Alpha", 1, prize1=[])], [station("A1", "Alpha", 1, prize1=[])])
+    assert (rows["A1"].verdict, rows["A1"].rule_prize1, rows["A1"].final_prize1) == ("values_differ", "reject", None)
+
+
+def test_a_station_listed_twice_is_rejected(spark):
+    a = frame(spark, [station("A1", "Alpha", 1), station("A1", "Alpha", 1), station("B1", "Beta", 2)])
+    b = frame(spark, [station("A1", "Alpha", 1), station("B1", "Beta", 2)])
+    matches = reconcile.match_fallback(a, b)
+    got = reconcile.reconcile(a, b, matches).collect()
+    assert len(got) == 3 and {r.verdict for r in got} == {"station_sets_differ"}
+    twice = frame(spark, [station("A1", "Alpha", 1), station("A1", "Alpha", 1)])
+    assert {r.verdict for r in reconcile.reconcile(b, twice, reconcile.match_fallback(b, twice)).collect()} == {"station_sets_differ"}

@@ -17,7 +17,7 @@ def expected_stations(dates: DataFrame, weekly: DataFrame, overrides: DataFrame)
     ruled = dates.join(overridden, ["region", "draw_date"], "left_anti").withColumn("weekday", F.weekday("draw_date") + 1)
     by_rule = (
         # dates have one row per region and calendar day; the rules may be many, so they stay in place
-        weekly.join(F.broadcast(ruled), ["region", "weekday"])
+        weekly.join(ruled, ["region", "weekday"])
         .where((F.col("draw_date") >= F.col("valid_from")) & (F.col("draw_date") < F.col("valid_to")))
         .select("region", "draw_date", "station_code")
     )

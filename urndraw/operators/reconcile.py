@@ -42,8 +42,7 @@ def classify(primary: DataFrame) -> DataFrame:
     )
     rows = with_once(with_once(primary, {"_faulty": faulty}), {"kind": kind}).drop("_faulty")
     first = rows.where("kind <> 'ok'").groupBy("draw_date").agg(F.min_by("kind", "station_order").alias("_first"))
-    # one row per calendar day
-    return rows.join(F.broadcast(first), "draw_date", "left").withColumn(
+    return rows.join(first, "draw_date", "left").withColumn(
         "needs_fallback", F.coalesce(F.col("_first").isin("truncated_special", "recoverable"), F.lit(False))
     ).drop("_first")
 
@@ -51,14 +50,17 @@ def classify(primary: DataFrame) -> DataFrame:
 def match_fallback(primary: DataFrame, fallback: DataFrame) -> DataFrame:
     """Pair stations per date by code, the rest by name; every station may be used once.
 
-    Returns all stations of both sides: ``how`` is code or name, NULL when there is no single partner.
+    Returns all stations of both sides: ``how`` is code or name, NULL when there is no single partner. A code that a side
+    has twice on a date names nobody there, and neither does such a name.
     """
     a = primary.select("draw_date", "station_code", "station_name")
     b = fallback.select(
         "draw_date", F.col("station_code").alias("fallback_code"), F.col("station_name").alias("fallback_name")
     )
-    by_code = a.join(b, (a.draw_date == b.draw_date) & (a.station_code == b.fallback_code)).select(
-        a.draw_date, "station_code", "fallback_code", F.lit("code").alias("how")
+    a_once = a.groupBy("draw_date", "station_code").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1")
+    b_once = b.groupBy("draw_date", "fallback_code").agg(F.count(F.lit(1)).alias("_n")).where("_n = 1")
+    by_code = a_once.join(b_once, (a_once.draw_date == b_once.draw_date) & (a_once.station_code == b_once.fallback_code)).select(
+        a_once.draw_date, "station_code", "fallback_code", F.lit("code").alias("how")
     )
     left = a.join(by_code.select("draw_date", "station_code"), ["draw_date", "station_code"], "left_anti").withColumn(
         "_name", normal_name(F.col("station_name")))
@@ -92,7 +94,11 @@ def equals_but_placeholders(primary: Column, fallback: Column) -> Column:
 
 
 def reconcile(primary: DataFrame, fallback: DataFrame, matches: DataFrame) -> DataFrame:
-    """One row per primary station: a rule per group, repaired arrays, and the verdict on its date."""
+    """One row per primary station: a rule per group, repaired arrays, and the verdict on its date.
+
+    What is accepted comes from the second source or equals it, so a group of it that breaks the layout rejects the date: the
+    final arrays are valid draws.
+    """
     f = fallback.select("draw_date", F.col("station_code").alias("fallback_code"), *[F.col(n).alias(f"f_{n}") for n in GROUPS])
     pairs = matches.where("how is not null").select("draw_date", "station_code", "fallback_code")
     rows = primary.join(pairs, ["draw_date", "station_code"], "left").join(f, ["draw_date", "fallback_code"], "left")
@@ -111,13 +117,15 @@ def reconcile(primary: DataFrame, fallback: DataFrame, matches: DataFrame) -> Da
         (F.col("_stations") >= MINIMUM_DAYWIDE) & (F.col("_shapes") == F.col("_stations"))
         & (F.col("_suffixes") >= F.col("_stations") - 1)
     )
-    rows = rows.join(F.broadcast(days.select("draw_date", daywide.alias("daywide"), "_unmatched")), "draw_date")
+    rows = rows.join(days.select("draw_date", daywide.alias("daywide"), "_unmatched"), "draw_date")
     exchanged = is_transposed(F.col("prize8"), F.col("prize7"), F.col("f_prize8"), F.col("f_prize7"))
     rows = with_once(rows, {"transposed": F.coalesce(exchanged, F.lit(False))})
 
+    shapes = {name: (count, width) for name, count, width in STATION.groups}
+
     def rule(name: str) -> Column:
         p, q = F.col(name), F.col(f"f_{name}")
-        out = F.when(p.eqNullSafe(q), "equal")
+        out = F.when(q.isNull() | group_problem(q, *shapes[name]).isNotNull(), "reject").when(p.eqNullSafe(q), "equal")
         if name in ("prize8", "prize7"):
             out = out.when(F.col("transposed"), "transposed")
         if name == "special":
@@ -134,7 +142,7 @@ def reconcile(primary: DataFrame, fallback: DataFrame, matches: DataFrame) -> Da
         "draw_date",
         F.when(F.col("_alone"), "station_sets_differ").when(F.col("_bad"), "values_differ").otherwise("accepted").alias("verdict"),
     )
-    rows = rows.drop("_unmatched").join(F.broadcast(rejected), "draw_date")
+    rows = rows.drop("_unmatched").join(rejected, "draw_date")
     fixed = {
         n: F.when(F.col("verdict") != "accepted", F.lit(None)).when(F.col(f"rule_{n}") == "equal", F.col(n)).otherwise(F.col(f"f_{n}"))
         for n in GROUPS

@@ -206,10 +206,10 @@ def _(spark, sf):
 
 _DD = "date_diff('day', DATE '1995-01-01', draw_date)"
 cte("rdraws", f"""
-SELECT *, dd * 1000 + no AS seed, (dd + no * 7) % 13 AS c FROM (
+SELECT *, dd * 1000 + no AS seed, (dd + no * 7) % 13 AS c, no = 0 AND dd % 31 = 0 AS twice, no % 5 = 2 AND dd % 29 = 0 AS gone FROM (
   SELECT DISTINCT draw_date, station_code, station_no AS no, station_name, {_DD} AS dd FROM sess)""")
 cte("rbase", f"""
-SELECT d.*, g, gi, w, list({_value_sql('seed')} ORDER BY j) AS f FROM rdraws d CROSS JOIN {_spec_sql(STATION).replace(', c, w)', ', cnt, w)')}
+SELECT d.*, g, gi, w, coalesce(list({_value_sql('seed')} ORDER BY j) FILTER (g <> 'prize1' OR c <> 6), []) AS f FROM rdraws d CROSS JOIN {_spec_sql(STATION).replace(', c, w)', ', cnt, w)')}
 CROSS JOIN (SELECT range AS j FROM range(1, 8)) WHERE j <= cnt GROUP BY ALL""")
 cte("rprim", """
 SELECT a.*, CASE
@@ -224,13 +224,14 @@ FROM rbase a LEFT JOIN rbase b ON b.draw_date = a.draw_date AND b.station_code =
 cte("rmatch", """
 SELECT draw_date, station_code, CASE WHEN NOT gone THEN CASE WHEN no % 3 = 1 THEN 'F' || CAST(no AS VARCHAR) ELSE station_code END END AS fallback_code,
   CASE WHEN NOT gone THEN CASE WHEN no % 3 = 1 THEN 'name' ELSE 'code' END END AS how
-FROM (SELECT *, no % 5 = 2 AND dd % 29 = 0 AS gone FROM rdraws)""")
+FROM rdraws WHERE NOT twice
+UNION ALL SELECT draw_date, unnest([station_code, station_code, NULL]), unnest([NULL, NULL, station_code]), NULL FROM rdraws WHERE twice""")
 cte("rday", """
-SELECT draw_date, count(*) >= 4 AND count(*) FILTER (len(p[1]) = 5) = count(*) AND count(*) FILTER (len(p[1]) = 5 AND suffix(f[1], p[1])) >= count(*) - 1 AND bool_and(NOT gone) AS daywide,
-  bool_or(gone) AS alone
-FROM (SELECT *, no % 5 = 2 AND dd % 29 = 0 AS gone FROM rprim WHERE g = 'special') GROUP BY 1""")
+SELECT draw_date, count(*) >= 4 AND count(*) FILTER (len(p[1]) = 5) = count(*) AND count(*) FILTER (len(p[1]) = 5 AND suffix(f[1], p[1])) >= count(*) - 1 AND bool_and(NOT gone AND NOT twice) AS daywide,
+  bool_or(gone OR twice) AS alone
+FROM rprim WHERE g = 'special' GROUP BY 1""")
 cte("rrule", """
-SELECT r.draw_date, r.station_code, r.no, r.dd, r.g AS prize_group, r.p, r.f, CASE WHEN p = f THEN 'equal'
+SELECT r.draw_date, r.station_code, r.gone, r.twice, r.g AS prize_group, r.p, r.f, CASE WHEN len(f) = 0 THEN 'reject' WHEN p = f THEN 'equal'
   WHEN g IN ('prize8', 'prize7') AND c = 4 THEN 'transposed'
   WHEN g = 'special' AND len(p[1]) = 5 AND suffix(f[1], p[1]) THEN 'truncated'
   WHEN g = 'special' AND d.daywide THEN 'daywide'
@@ -241,11 +242,14 @@ SELECT draw_date, CASE WHEN bool_or(alone) THEN 'station_sets_differ' WHEN bool_
 FROM rrule GROUP BY 1""")
 cte("rlong", """
 SELECT r.draw_date, r.station_code, r.prize_group, r.rule, v.verdict FROM rrule r JOIN rverdict v ON v.draw_date = r.draw_date
-WHERE NOT (r.no % 5 = 2 AND r.dd % 29 = 0)""")
+WHERE NOT r.gone AND NOT r.twice""")
 
 
 def two_sources(spark, sf):
-    """Primary and fallback arrays per (date, station); the primary is damaged by date and station number."""
+    """Primary and fallback arrays per (date, station); the primary is damaged by date and station number.
+
+    Also a prize that both lack, and a station that the primary lists twice.
+    """
     no, dd = F.col("no"), F.col("dd")
     draws = sessions(spark, sf).select(
         "draw_date", "station_code", "station_name", F.col("station_no").alias("no"),
@@ -254,6 +258,8 @@ def two_sources(spark, sf):
     truth = with_once(fan_out(draws, "draw_date", "station_code"), {
         name: F.array(*[value(F.col("seed"), gi, j, w) for j in range(1, count + 1)])
         for gi, (name, count, w) in enumerate(STATION.groups)})
+    # neither source has this prize
+    truth = truth.withColumn("prize1", F.when(F.col("c") == 6, F.array().cast("array<string>")).otherwise(F.col("prize1")))
     c, special = F.col("c"), F.col("special")[0]
     tail = F.right(special, F.lit(5))
     wrong = F.concat(F.substring(tail, 1, 4), ((F.right(special, F.lit(1)).cast("long") + 1) % 10).cast("string"))
@@ -267,6 +273,7 @@ def two_sources(spark, sf):
         F.when(c == 5, F.array(zero_pad((F.col("prize2")[0].cast("long") + 1) % 100000, 5))).otherwise(F.col("prize2")).alias("prize2"),
         "prize1",
         F.when((dd % 17 == 0) & (no % 5 == 1), F.array(wrong)).when((c == 2) | (dd % 17 == 0), F.array(tail)).otherwise(F.col("special")).alias("special"))
+    primary = primary.unionByName(primary.where("station_code = 'S0' and date_diff(draw_date, date '1995-01-01') % 31 = 0"))
     gone = (no % 5 == 2) & (dd % 29 == 0)
     fallback = truth.where(~gone).select(
         "draw_date",
@@ -292,7 +299,7 @@ def _(spark, sf):
 @query("rec_classify", """
 SELECT draw_date, station_code, kind, coalesce(first_kind IN ('truncated_special', 'recoverable'), false) AS needs_fallback FROM (
   SELECT *, min(row(no, kind)) FILTER (kind <> 'ok') OVER (PARTITION BY draw_date)[2] AS first_kind FROM (
-    SELECT draw_date, station_code, no, CASE WHEN c = 3 OR c = 4 THEN 'recoverable' WHEN c = 2 OR dd % 17 = 0 THEN 'truncated_special' ELSE 'ok' END AS kind FROM rdraws))""")
+    SELECT draw_date, station_code, no, CASE WHEN c = 6 THEN 'not_recoverable' WHEN c = 3 OR c = 4 THEN 'recoverable' WHEN c = 2 OR dd % 17 = 0 THEN 'truncated_special' ELSE 'ok' END AS kind FROM rdraws, range(2) k WHERE k.range = 0 OR twice))""")
 def _(spark, sf):
     return reconcile.classify(two_sources(spark, sf)[0]).select("draw_date", "station_code", "kind", "needs_fallback")
 
@@ -301,7 +308,8 @@ def _(spark, sf):
 SELECT r.draw_date, r.station_code, v.verdict, max(CASE WHEN v.verdict = 'accepted' AND prize_group = 'special' THEN f[1] END) AS special,
   max(CASE WHEN v.verdict = 'accepted' AND prize_group = 'prize8' THEN f[1] END) AS prize8,
   max(CASE WHEN v.verdict = 'accepted' AND prize_group = 'prize4' THEN array_to_string(f, ',') END) AS prize4
-FROM rrule r JOIN rverdict v ON v.draw_date = r.draw_date GROUP BY ALL""")
+FROM rrule r JOIN rverdict v ON v.draw_date = r.draw_date GROUP BY ALL
+UNION ALL SELECT draw_date, station_code, 'station_sets_differ', NULL, NULL, NULL FROM rdraws WHERE twice""")
 def _(spark, sf):
     return reconciled(spark, sf).select(
         "draw_date", "station_code", "verdict", F.col("final_special")[0].alias("special"),

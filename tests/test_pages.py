@@ -136,18 +136,72 @@ def test_classification_uses_the_first_faulty_station(spark):
     assert kinds == {"A1": ("not_recoverable", False), "B1": ("truncated_special", False)}
 
 
-def test_station_page_columns(spark):
+def station_page(spark, head='<a href="/a/xstn-p1.html">Tây Ninh</a>', body="", region="aa", url="https://x/day/p.html"):
     html = (
-        '<section id="mn_kqngay_16072026"><table class="table-result table-xsaa table-city3"><thead><tr><th>G</th>'
-        '<th><h3><a href="/a/xstn-p1.html">Tây Ninh</a></h3></th><th><h3><a href="/b/xsag-p1.html">An Giang</a></h3></th></tr></thead><tbody>'
-        '<tr><th>8</th><td><span class="xs_prize1">07</span></td><td><span class="xs_prize1">54</span></td></tr>'
-        '<tr><th>ĐB</th><td><span class="xs_prize1 prize_db">005113</span></td><td><span class="xs_prize1">830834</span></td></tr></tbody></table></section>')
-    pages = spark.createDataFrame([(1, DAY, html)], "page_id long, selected_date date, html string")
-    rows = parse.page_station_table(parse.station_tables(pages), "https://x")
+        f'<section id="{region}_kqngay_16072026"><table class="table-result table-xs{region} table-city3"><thead><tr><th>G</th>'
+        f'<th><h3>{head}</h3></th><th><h3><a href="/b/xsag-p1.html">An Giang</a></h3></th></tr></thead><tbody>'
+        f'<tr><th>8</th><td><span class="xs_prize1">07</span></td><td><span class="xs_prize1">54</span></td></tr>{body}'
+        '<tr><th>ĐB</th><td><span class="xs_prize1 prize_db">005113</span></td><td><span class=xs_prize1>830834</span></td></tr></tbody></table></section>')
+    return parse.station_tables(spark.createDataFrame([(1, DAY, html, url)], "page_id long, selected_date date, html string, url string"))
+
+
+def test_station_page_columns(spark):
+    rows = parse.page_station_table(station_page(spark))
     values = parse.group_columns(rows, ["page_id", "station_code", "station_name", "station_url"])
     got = {r.station_code: (r.station_name, r.station_url, r.prize8, r.special) for r in values.collect()}
     assert got == {"TN": ("Tây Ninh", "https://x/a/xstn-p1.html", ["07"], ["005113"]), "AG": ("An Giang", "https://x/b/xsag-p1.html", ["54"], ["830834"])}
     assert rows.where(F.col("value").isNull()).count() == 0
+    broken = {(r.station_code, r.violation) for r in parse.station_violations(values, ["station_code"]).collect()}
+    assert ("TN", "prize7_count") in broken and not any(v.startswith(("prize8", "special")) for _, v in broken)
+
+
+@pytest.mark.parametrize("href, url", [
+    ("https://y/xstn-p1.html", "https://y/xstn-p1.html"), ("xstn-p1.html", "https://x/day/xstn-p1.html"), ("../q/xstn-p1.html", "https://x/q/xstn-p1.html"),
+])
+def test_links_are_resolved_against_the_page(spark, href, url):
+    # a code is read from the path, so a relative link needs one in front
+    rows = parse.page_station_table(station_page(spark, head=f"<a href='/z/{href}'>Tây Ninh</a>" if "/" not in href else f"<a href={href}>Tây Ninh</a>"))
+    urls = {r.station_code: r.station_url for r in rows.collect()}
+    assert urls["TN"] == ("https://x/z/xstn-p1.html" if "/" not in href else url)
+
+
+@pytest.mark.parametrize("body", [
+    "<tr><td><table><tr><th>7</th><td>x</td></tr></table></td></tr>", "</tbody><tbody>", "<!-- <tr><th>7</th></tr> -->",
+])
+def test_markup_inside_the_table(spark, body):
+    rows = parse.page_station_table(station_page(spark, body=body)).collect()
+    assert sorted((r.station_code, r.prize_group, r.value) for r in rows) == [
+        ("AG", "prize8", "54"), ("AG", "special", "830834"), ("TN", "prize8", "07"), ("TN", "special", "005113")]
+
+
+def test_station_page_problems(spark):
+    twice = '<a href="/a/xsag-p1.html">An Giang</a>'
+    assert station_page(spark, head=twice).first().problem == "station_code_duplicate"
+    assert station_page(spark, region="bb").first().problem == "date_unknown"
+    uneven = "<tr><th>7</th><td></td></tr>"
+    assert station_page(spark, body=uneven).first().problem == "station_columns"
+    again = '<tr><th>8</th><td><span class="xs_prize1">07</span></td><td></td></tr>'
+    assert station_page(spark, body=again).first().problem == "row_duplicate"
+
+
+@pytest.mark.parametrize("change", [
+    lambda h: h.replace('<span class="prize1">', '<section><p>ad</p></section><span class="prize1">'),
+    lambda h: h.replace('class="special-prize"', "class=special-prize").replace('class="prize3"', "class='x prize3'"),
+    lambda h: h.replace('<span class="prize1">', '<!-- <span class="prize1">99999</span> --><span class="prize1">'),
+    lambda h: h.replace(">16246<", ">&nbsp;16246 <"),
+    lambda h: h.replace(">16246<", "><b>16</b>246<"),
+])
+def test_other_spellings_of_a_good_page(spark, change):
+    row = outcome(spark, change(page()))
+    assert (row.status, row.prize1, row.special) == ("success", ["16246"], ["96763"])
+
+
+def test_a_page_of_another_region_is_refused(spark):
+    html = page(head='<link rel="x canonical" href="https://x/xsbb-16-07-2026.html">')
+    row = outcome(spark, html)
+    assert (row.status, row.reason) == ("failed", "region_mismatch")
+    own = parse.parse_pages(spark.createDataFrame([(1, DAY, html)], "page_id long, selected_date date, html string"), parse.PageSource("bb")).first()
+    assert own.status == "success"
 
 
 def test_two_equally_incomplete_sources_are_rejected(spark):

@@ -1,77 +1,125 @@
-"""Result pages to draws, as column expressions: a bad page becomes a reason code, never an error."""
+"""Result pages to draws: each page is parsed once into a tree, and a bad page becomes a reason code, never an error."""
 
 from __future__ import annotations
 
+import datetime
+import re
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
+from urllib.parse import urljoin
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urndraw.functions.dates import parse_compact, parse_display
-from urndraw.functions.once import with_once
-from urndraw.functions.text import collapse_spaces, is_digits
+from urndraw.functions import markup
+from urndraw.functions.markup import Element
+from urndraw.functions.text import is_digits
 from urndraw.spec import DAILY, STATION, Profile
 
 # Formats of the source pages.
-SECTION_ID = r'(?is)<section\b[^>]*\bid="kqngay_(\d{8})"'
-STATION_SECTION_ID = r'(?is)<(?:section|div)\b[^>]*\bid="m[a-z]_kqngay_(\d{8})(?:_kq)?"'
-CANONICAL_LINK = r'(?is)(<link\b[^>]*\brel="[^"]*\bcanonical\b[^"]*"[^>]*>)'
-CANONICAL_DATE = r"/xs[a-z]{2}-(\d{2})-(\d{2})-(\d{4})\.html"
-DISPLAY_DATE = r"\b(\d{1,2})[/-](\d{1,2})[/-](\d{4})\b"
-NO_DRAW = r"không\s+mở\s+thưởng"
+DISPLAY_DATE = re.compile(r"\b(\d{1,2})[/-](\d{1,2})[/-](\d{4})\b")
+NO_DRAW = re.compile(r"không\s+mở\s+thưởng", re.IGNORECASE)
+ANY_REGION = re.compile(r"/xs[a-z]{2}-\d{2}-\d{2}-\d{4}\.html")
 STATION_LINK = r"(?i)/xs([a-z0-9]+)-p\d+\.html$"
 FALLBACK_LINK = r"(?i)^/xs([a-z0-9]+)(?:-[a-z0-9]+)*$"
-STATION_TABLE = r'(?is)<table\b[^>]*\bclass="(?:[^"]*\s)?table-result\s+table-xs[a-z]+(?:\s[^"]*)?"[^>]*>(.*?)</table>'
-FALLBACK_TABLE = r'(?is)<table\b[^>]*\bclass="(?:[^"]*\s)?tbl-xs[a-z]+(?:\s[^"]*)?"[^>]*>(.*?)</table>'
 ROW_LABELS = {**{str(n): f"prize{n}" for n in range(8, 0, -1)}, "ĐB": "special", "DB": "special"}
 FALLBACK_ROW_LABELS = {**{f"G.{n}": f"prize{n}" for n in range(8, 0, -1)}, "ĐB": "special", "DB": "special"}
 
 
-def _text_of(markup: Column) -> Column:
-    return collapse_spaces(F.regexp_replace(markup, "<[^>]*>", " "))
+@dataclass(frozen=True)
+class PageSource:
+    """The region whose pages are accepted: its letters stand in section ids, canonical links and table classes."""
+
+    region: str
+    per_station: bool = False
+
+    @property
+    def section(self) -> re.Pattern[str]:
+        return re.compile(rf"{self.region}_kqngay_(\d{{8}})(?:_kq)?" if self.per_station else r"kqngay_(\d{8})")
+
+    @property
+    def canonical(self) -> re.Pattern[str]:
+        return re.compile(rf"/xs{self.region}-(\d{{2}})-(\d{{2}})-(\d{{4}})\.html")
+
+
+def _date(year: str, month: str, day: str) -> datetime.date | None:
+    try:
+        return datetime.date(int(year), int(month), int(day))
+    except ValueError:
+        return None
+
 
+def _shown_date(text: str) -> datetime.date | None:
+    found = DISPLAY_DATE.search(text)
+    return _date(found[3], found[2], found[1]) if found else None
 
-def _found(text: Column, pattern: str, group: int = 1) -> Column:
-    """The captured group of the first match, NULL when the pattern is absent."""
-    return F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(1))
 
+def _canonical(page: Element) -> str:
+    link = page.find(lambda e: e.tag == "link" and "canonical" in e.attributes.get("rel", "").lower().split())
+    return link.attributes.get("href", "") if link else ""
 
-def _date_in(text: Column, pattern: str) -> Column:
-    return parse_display(*[_found(text, pattern, at) for at in (1, 2, 3)])
 
+def _result_section(page: Element, source: PageSource) -> Element | None:
+    return page.find(lambda e: e.tag in ("section", "div") and source.section.fullmatch(e.attributes.get("id", "")) is not None)
 
-def page_date(html: Column, section: str = SECTION_ID) -> Column:
+
+def represented_date(page: Element, source: PageSource) -> datetime.date | None:
     """The date a page represents: section id, else canonical link, else h1, else title."""
-    link = F.regexp_extract(html, CANONICAL_LINK, 1)
-    heading = _text_of(F.regexp_extract(html, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
-    title = _text_of(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title>", 1))
-    return F.coalesce(
-        parse_compact(_found(html, section)), _date_in(link, CANONICAL_DATE),
-        _date_in(heading, DISPLAY_DATE), _date_in(title, DISPLAY_DATE),
+    section = _result_section(page, source)
+    digits = source.section.fullmatch(section.attributes["id"])[1] if section else ""
+    link = source.canonical.search(_canonical(page))
+    return (
+        (_date(digits[4:], digits[2:4], digits[:2]) if digits else None)
+        or (_date(link[3], link[2], link[1]) if link else None) or headed_date(page)
     )
 
 
-def fallback_date(html: Column) -> Column:
-    heading = _text_of(F.regexp_extract(html, r"(?is)<h1\b[^>]*>(.*?)</h1>", 1))
-    title = _text_of(F.regexp_extract(html, r"(?is)<title\b[^>]*>(.*?)</title>", 1))
-    return F.coalesce(_date_in(heading, DISPLAY_DATE), _date_in(title, DISPLAY_DATE))
+def headed_date(page: Element) -> datetime.date | None:
+    for tag in ("h1", "title"):
+        element = page.find(lambda e: e.tag == tag)
+        date = _shown_date(element.text()) if element else None
+        if date:
+            return date
+    return None
 
 
-def date_problem(represented: Column, selected: Column) -> Column:
-    return F.when(represented.isNull(), "date_unknown").when(represented != selected, "date_mismatch")
+def other_region(page: Element, source: PageSource) -> bool:
+    link = _canonical(page)
+    return ANY_REGION.search(link) is not None and source.canonical.search(link) is None
 
 
-def no_draw_notice(html: Column) -> Column:
-    """Text of the element that says there was no draw, spaces collapsed, first 500 characters."""
-    element = rf"(?isu)<(\w+)\b[^>]*>([^<]*{NO_DRAW}[^<]*(?:<(?!/\1>)[^>]*>[^<]*)*)</\1>"
-    return F.substring(_text_of(_found(html, element, 2)), 1, 500)
+def notice_of(page: Element) -> str | None:
+    """Text of the innermost element that says there was no draw, its first 500 characters."""
+    if not NO_DRAW.search(page.text()):
+        return None
+    at = page
+    while True:
+        inner = next((c for c in at.children if isinstance(c, Element) and c.tag not in markup.HIDDEN and NO_DRAW.search(c.text())), None)
+        if inner is None:
+            return at.text()[:500]
+        at = inner
 
 
-def page_values(html: Column, group: str) -> Column:
-    """Texts of all elements with the group's CSS class, inside the result section if there is one."""
-    section = _found(html, r'(?is)<section\b[^>]*\bid="kqngay_\d{8}"[^>]*>(.*?)</section>')
-    css = "special-prize" if group == "special" else group
-    element = rf'(?is)<(\w+)\b[^>]*\bclass="(?:[^"]*\s)?{css}(?:\s[^"]*)?"[^>]*>(.*?)</\1>'
-    found = F.regexp_extract_all(F.coalesce(section, html), F.lit(element), F.lit(2))
-    return F.transform(found, lambda v: F.trim(F.regexp_replace(v, "<[^>]*>", "")))
+def _parsed(pages: DataFrame, read: Callable[[Element, str], dict], types: dict[str, str]) -> DataFrame:
+    """``pages`` without html and with what ``read`` finds on each, parsed once per page in Arrow batches."""
+    kept = [f for f in pages.schema if f.name not in ("html", *types)]
+    names = [f.name for f in kept]
+    url = F.col("url") if "url" in names else F.lit("")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{n} {t}" for n, t in types.items())])
+    wanted = pages.sparkSession.createDataFrame([], ", ".join(f"{n} {t}" for n, t in types.items())).toArrow().schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [read(markup.parse(html), base or "") for html, base in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist())]
+            columns = [pa.array([f[n] for f in found], wanted.field(n).type) for n in types]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], *columns], [*names, *types])
+
+    return pages.select(*[F.col(f"`{n}`") for n in names], "html", url.alias("__base")).mapInArrow(run, schema)
+
+
+def date_problem(represented: Column, selected: Column) -> Column:
+    return F.when(represented.isNull(), "date_unknown").when(represented != selected, "date_mismatch")
 
 
 def _all_width(values: Column, count: int, width: int) -> Column:
@@ -97,31 +145,38 @@ def group_problem(values: Column, count: int, width: int) -> Column:
     )
 
 
-def parse_pages(pages: DataFrame) -> DataFrame:
+def parse_pages(pages: DataFrame, source: PageSource = PageSource("aa")) -> DataFrame:
     """(page_id, selected_date, html) to one row per page: date, notice, raw and repaired groups, outcome."""
-    html = F.col("html")
-    raw = with_once(
-        pages,
-        {
-            "page_date": page_date(html),
-            "notice": no_draw_notice(html),
-            **{f"raw_{name}": page_values(html, name) for name in DAILY.group_names},
-        },
-    ).drop("html")
+
+    def read(page: Element, url: str) -> dict:
+        inside = _result_section(page, source) or page
+        by_class: dict[str, list[str]] = {name: [] for name in DAILY.group_names}
+        for element in inside.walk():
+            for css in element.classes():
+                name = "special" if css == "special-prize" else css
+                if name in by_class and name != "special" or css == "special-prize":
+                    by_class[name].append(element.joined())
+        return {
+            "page_date": represented_date(page, source), "other_region": other_region(page, source), "notice": notice_of(page),
+            **{f"raw_{name}": values for name, values in by_class.items()},
+        }
+
+    raw = _parsed(pages, read, {"page_date": "date", "other_region": "boolean", "notice": "string",
+                                **{f"raw_{name}": "array<string>" for name in DAILY.group_names}})
     swapped = F.col("swapped")
     raw = raw.withColumn("swapped", swap_is_proven({n: F.col(f"raw_{n}") for n in DAILY.group_names}))
-    source = {n: F.col(f"raw_{n}") for n in DAILY.group_names}
-    source["prize5"], source["prize6"] = (
+    repaired = {n: F.col(f"raw_{n}") for n in DAILY.group_names}
+    repaired["prize5"], repaired["prize6"] = (
         F.when(swapped, F.col("raw_prize6")).otherwise(F.col("raw_prize5")),
         F.when(swapped, F.col("raw_prize5")).otherwise(F.col("raw_prize6")),
     )
-    parsed = with_once(raw, source)
+    parsed = raw.withColumns(repaired)
     problems = F.array(
         *[F.concat(F.lit(f"{n}_"), group_problem(F.col(n), c, w)) for n, c, w in DAILY.groups]
     )
-    parsed = with_once(parsed, {"violations": F.array_compact(problems)})
+    parsed = parsed.withColumn("violations", F.array_compact(problems))
     first = F.try_element_at("violations", F.lit(1))
-    wrong_date = date_problem(F.col("page_date"), F.col("selected_date"))
+    wrong_date = F.when(F.col("other_region"), "region_mismatch").otherwise(date_problem(F.col("page_date"), F.col("selected_date")))
     return parsed.withColumns(
         {
             "status": F.when(wrong_date.isNotNull(), "failed").when(F.col("notice").isNotNull(), "no_draw")
@@ -140,25 +195,12 @@ def _label(text: Column, labels: dict[str, str]) -> Column:
     return F.try_element_at(known, F.upper(text))
 
 
-def _cells(row: Column, tags: str) -> Column:
-    return F.regexp_extract_all(row, F.lit(rf"(?is)<({tags})\b[^>]*>(.*?)</\1>"), F.lit(2))
-
-
-def _rows(markup: Column) -> Column:
-    return F.regexp_extract_all(markup, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr>"), F.lit(1))
-
-
-def _station_rows(table: DataFrame, profile_labels: dict[str, str], link_pattern: str, origin: str) -> DataFrame:
+def _station_rows(table: DataFrame, profile_labels: dict[str, str], link_pattern: str) -> DataFrame:
     """(page_id, links, rows(label, cells as arrays of texts)) to one row per station value."""
-    link = F.struct(
-        F.regexp_extract(F.col("link"), r'(?is)\bhref="([^"]*)"', 1).alias("href"),
-        _text_of(F.regexp_extract(F.col("link"), r"(?is)<a\b[^>]*>(.*?)</a>", 1)).alias("name"),
-    )
-    stations = table.select("*", F.posexplode("links").alias("station_index", "link")).select("*", link.alias("l"))
-    code = F.upper(F.regexp_extract("l.href", link_pattern, 1))
+    stations = table.select("*", F.posexplode("links").alias("station_index", "l"))
     values = stations.select(
-        "page_id", "station_index", code.alias("station_code"), F.col("l.name").alias("station_name"),
-        F.concat(F.lit(origin), F.col("l.href")).alias("station_url"), F.explode("rows").alias("r"),
+        "page_id", "station_index", _code(F.col("l.href"), link_pattern).alias("station_code"), F.col("l.name").alias("station_name"),
+        F.col("l.url").alias("station_url"), F.explode("rows").alias("r"),
     )
     return values.select(
         "page_id", "station_index", "station_code", "station_name", "station_url",
@@ -167,83 +209,118 @@ def _station_rows(table: DataFrame, profile_labels: dict[str, str], link_pattern
     ).where("prize_group is not null").withColumn("prize_order", (F.col("_at") + 1).cast("long")).drop("_at")
 
 
-def _table_problem(table: Column, links: Column, rows: Column, labels: dict[str, str], link_pattern: str) -> Column:
+def _code(href: Column, link_pattern: str) -> Column:
+    return F.upper(F.regexp_extract(href, link_pattern, 1))
+
+
+def _table_problem(labels: dict[str, str], link_pattern: str) -> Column:
+    links, rows = F.col("links"), F.col("rows")
     n = F.size(links)
+    named = F.filter(F.transform(rows, lambda r: _label(r["label"], labels)), lambda g: g.isNotNull())
+    codes = F.transform(links, lambda a: _code(a["href"], link_pattern))
     uneven = F.exists(rows, lambda r: _label(r["label"], labels).isNotNull() & (F.size(r["cells"]) != n))
-    unnamed = F.exists(links, lambda a: ~F.regexp_extract(a, r'(?is)\bhref="([^"]*)"', 1).rlike(link_pattern))
     return (
-        F.when(table.isNull(), "table_missing").when(n == 0, "no_station_headers")
-        .when(unnamed, "station_code_unknown").when(uneven, "station_columns")
+        F.when(~F.col("has_table"), "table_missing").when(n == 0, "no_station_headers")
+        .when(F.exists(codes, lambda c: c == ""), "station_code_unknown")
+        .when(F.size(F.array_distinct(codes)) != n, "station_code_duplicate")
+        .when(uneven, "station_columns").when(F.size(F.array_distinct(named)) != F.size(named), "row_duplicate")
     )
 
 
-def station_tables(pages: DataFrame) -> DataFrame:
+_TABLE = {"page_date": "date", "other_region": "boolean", "notice": "string", "has_table": "boolean",
+          "links": "array<struct<href:string,url:string,name:string>>", "rows": "array<struct<label:string,cells:array<array<string>>>>"}
+
+
+def _links(anchors: list[Element], url: str) -> list[dict]:
+    return [{"href": a.attributes.get("href", ""), "url": urljoin(url, a.attributes.get("href", "")), "name": a.text()} for a in anchors]
+
+
+def _own_rows(table: Element, *parts: str) -> list[Element]:
+    """Rows of the table itself, in the parts named; a nested table's rows are its own."""
+    return [r for r in table.all("tr") if r.owner("table") is table and (not parts or any(p.tag in parts for p in [r.parent]))]
+
+
+def _direct(row: Element, *tags: str) -> list[Element]:
+    return [c for c in row.children if isinstance(c, Element) and c.tag in tags]
+
+
+def station_tables(pages: DataFrame, source: PageSource = PageSource("aa", per_station=True)) -> DataFrame:
     """Pages with one column per station: header links, labelled rows and the first problem found."""
-    spans = r'(?is)<span\b[^>]*\bclass="(?:[^"]*\s)?xs_prize1(?:\s[^"]*)?"[^>]*>(.*?)</span>'
-    out = with_once(
-        pages,
-        {
-            "page_date": page_date(F.col("html"), STATION_SECTION_ID),
-            "notice": no_draw_notice(F.col("html")),
-            "table": _found(F.col("html"), STATION_TABLE),
-        },
-    ).drop("html")
-    body = _found(F.col("table"), r"(?is)<tbody\b[^>]*>(.*?)</tbody>")
-    head = _found(F.col("table"), r"(?is)<thead\b[^>]*>(.*?)</thead>")
-    rows = F.transform(
-        _rows(body),
-        lambda r: F.struct(
-            _text_of(F.try_element_at(_cells(r, "th"), F.lit(1))).alias("label"),
-            F.transform(
-                _cells(r, "td"),
-                lambda c: F.transform(F.regexp_extract_all(c, F.lit(spans), F.lit(1)), lambda v: F.trim(F.regexp_replace(v, "<[^>]*>", ""))),
-            ).alias("cells"),
-        ),
-    )
-    links = F.regexp_extract_all(head, F.lit(r'(?is)<h3\b[^>]*>\s*(<a\b[^>]*\bhref="[^"]*"[^>]*>.*?</a>)'), F.lit(1))
-    out = with_once(out, {"links": links, "rows": rows})
+
+    def read(page: Element, url: str) -> dict:
+        inside = _result_section(page, source) or page
+        table = inside.find(lambda e: e.tag == "table" and {"table-result", f"table-xs{source.region}"} <= set(e.classes()))
+        links, rows = [], []
+        if table:
+            heads = [h for h in table.all("h3") if h.owner("thead") is not None and h.owner("thead").owner("table") is table]
+            links = _links([a for h in heads for a in h.all("a") if "href" in a.attributes], url)
+            for row in _own_rows(table, "tbody"):
+                label = _direct(row, "th")
+                if label:
+                    cells = [[s.joined() for s in c.all("span") if "xs_prize1" in s.classes()] for c in _direct(row, "td")]
+                    rows.append({"label": label[0].text(), "cells": cells})
+        return {"page_date": represented_date(page, source), "other_region": other_region(page, source), "notice": notice_of(page),
+                "has_table": table is not None, "links": links, "rows": rows}
+
+    out = _parsed(pages, read, _TABLE)
     problem = F.coalesce(
+        F.when(F.col("other_region"), "region_mismatch"),
         date_problem(F.col("page_date"), F.col("selected_date")),
         F.when(F.col("notice").isNotNull(), "no_draw_notice"),
-        _table_problem(F.col("table"), F.col("links"), F.col("rows"), ROW_LABELS, STATION_LINK),
+        _table_problem(ROW_LABELS, STATION_LINK),
     )
-    return with_once(out, {"problem": problem}).drop("table")
+    return out.withColumn("problem", problem).drop("has_table")
 
 
-def page_station_table(tables: DataFrame, origin: str) -> DataFrame:
-    """Sound pages to one row per (page, station, group, order)."""
-    return _station_rows(tables.where("problem is null"), ROW_LABELS, STATION_LINK, origin)
+def page_station_table(tables: DataFrame) -> DataFrame:
+    """Sound pages to one row per (page, station, group, order); links are resolved against the page's own ``url``."""
+    return _station_rows(tables.where("problem is null"), ROW_LABELS, STATION_LINK)
 
 
-def fallback_tables(pages: DataFrame) -> DataFrame:
+def fallback_tables(pages: DataFrame, source: PageSource = PageSource("aa", per_station=True)) -> DataFrame:
     """The second source: plain cells with values separated by markup; only digit texts count."""
-    out = with_once(
-        pages, {"page_date": fallback_date(F.col("html")), "table": _found(F.col("html"), FALLBACK_TABLE)}
-    ).drop("html")
-    out = with_once(out, {"_every": _rows(F.col("table"))})
-    every = F.col("_every")
-    header_cells = F.regexp_extract_all(F.try_element_at(every, F.lit(1)), F.lit(r"(?is)<th\b[^>]*>(.*?)</th>"), F.lit(1))
-    body = F.filter(every, lambda r, at: at > 0)
-    rows = F.transform(
-        F.transform(body, lambda r: _cells(r, "th|td")),
-        lambda cells: F.struct(
-            _text_of(F.try_element_at(cells, F.lit(1))).alias("label"),
-            F.transform(
-                F.filter(cells, lambda c, at: at > 0),
-                lambda c: F.filter(F.transform(F.split(c, "<[^>]*>"), lambda v: F.trim(v)), lambda v: is_digits(v)),
-            ).alias("cells"),
-        ),
-    )
-    out = with_once(out, {"links": F.filter(header_cells, lambda c, at: at > 0), "rows": rows}).drop("_every")
-    problem = F.coalesce(
-        date_problem(F.col("page_date"), F.col("selected_date")),
-        _table_problem(F.col("table"), F.col("links"), F.col("rows"), FALLBACK_ROW_LABELS, FALLBACK_LINK),
-    )
-    return with_once(out, {"problem": problem}).drop("table")
 
+    def read(page: Element, url: str) -> dict:
+        table = page.find(lambda e: e.tag == "table" and f"tbl-xs{source.region}" in e.classes())
+        links, rows = [], []
+        if table:
+            first, *others = [*_own_rows(table), None]
+            heads = _direct(first, "th")[1:] if first else []
+            links = _links([a for h in heads for a in (h.all("a") or [Element("a", {}, None)])[:1]], url)
+            for row in others[:-1]:
+                cells = _direct(row, "th", "td")
+                values = [[v for s in c.strings() if (v := s.strip()).isascii() and v.isdigit()] for c in cells[1:]]
+                rows.append({"label": cells[0].text() if cells else "", "cells": values})
+        return {"page_date": headed_date(page), "other_region": False, "notice": None, "has_table": table is not None, "links": links, "rows": rows}
+
+    out = _parsed(pages, read, _TABLE)
+    problem = F.coalesce(date_problem(F.col("page_date"), F.col("selected_date")), _table_problem(FALLBACK_ROW_LABELS, FALLBACK_LINK))
+    return out.withColumn("problem", problem).drop("has_table", "other_region", "notice")
+
+
+def page_fallback_table(tables: DataFrame) -> DataFrame:
+    return _station_rows(tables.where("problem is null"), FALLBACK_ROW_LABELS, FALLBACK_LINK)
+
+
+def station_violations(draws: DataFrame, keys: list[str], profile: Profile = STATION) -> DataFrame:
+    """(keys, violation) for every group of a station's draw that breaks the layout: count, digits or width.
+
+    ``draws`` has one array per group (see ``group_columns``).
+    """
+    problems = F.array(*[F.concat(F.lit(f"{n}_"), group_problem(F.col(n), c, w)) for n, c, w in profile.groups])
+    return draws.select(*keys, F.explode(F.array_compact(problems)).alias("violation"))
+
+
+def page_outlines(pages: DataFrame) -> DataFrame:
+    """Title, first heading, number of links and the hosts they name, of any page."""
+
+    def read(page: Element, url: str) -> dict:
+        title, heading = page.find(lambda e: e.tag == "title"), page.find(lambda e: e.tag == "h1")
+        links = [urljoin(url, a.attributes["href"]) for a in page.all("a") if "href" in a.attributes]
+        hosts = {m[1].lower() for m in (re.match(r"https?://([^/?#]+)", link) for link in links) if m}
+        return {"title": title.text() if title else None, "heading": heading.text() if heading else None, "links": len(links), "hosts": sorted(hosts)}
 
-def page_fallback_table(tables: DataFrame, origin: str) -> DataFrame:
-    return _station_rows(tables.where("problem is null"), FALLBACK_ROW_LABELS, FALLBACK_LINK, origin)
+    return _parsed(pages, read, {"title": "string", "heading": "string", "links": "long", "hosts": "array<string>"})
 
 
 def group_columns(values: DataFrame, keys: list[str], profile: Profile = STATION) -> DataFrame:

@@ -30,21 +30,25 @@ def _display(day):
 def _from_orders(spark, sf):
     orders = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("page_id"), F.to_date("o_orderdate").alias("selected_date"),
-        (F.col("o_orderkey") % 10).alias("v"))
+        (F.col("o_orderkey") % 10).alias("v"), F.expr("(o_orderkey div 10) % 7").alias("m"))
     return fan_out(orders, "page_id")
 
 
 def daily_pages(spark, sf):
-    """One page per order: five ways to state the date, a notice, and three damaged layouts."""
-    v, day, key = F.col("v"), F.col("selected_date"), F.col("page_id")
+    """One page per order: five ways to state the date, a notice, three damaged layouts and another region's page (``v``),
+    in seven spellings of the same markup (``m``): quotes, comments, entities, nested sections."""
+    v, m, day, key = F.col("v"), F.col("m"), F.col("selected_date"), F.col("page_id")
     shown = F.when(v == 5, F.date_add(day, 1)).otherwise(day)
     spans = []
     for gi, (name, count, width) in enumerate(DAILY.groups):
         css = "special-prize" if name == "special" else name
         swapped = {"prize5": "prize6", "prize6": "prize5"}.get(name, css)
-        attribute = F.when(v == 9, F.lit(f'data-prize="{css}"')).when(v == 8, F.lit(f'class="{swapped}"')).otherwise(F.lit(f'class="{css}"'))
+        shown_class = F.when(v == 8, F.lit(swapped)).otherwise(F.lit(css))
+        plain = F.when(m == 1, F.concat(F.lit("class='x "), shown_class, F.lit("'"))).when(m == 2, F.concat(F.lit("class="), shown_class)).otherwise(
+            F.concat(F.lit('class="'), shown_class, F.lit('"')))
+        attribute = F.when(v == 9, F.lit(f'data-prize="{css}"')).otherwise(plain)
         for j in range(1, count + 1):
-            span = F.concat(F.lit("<span "), attribute, F.lit("> "), value(key, gi, j, width), F.lit("</span>\n"))
+            span = F.concat(F.lit("<span "), attribute, F.lit(">"), F.when(m == 4, "&nbsp;").otherwise(" "), value(key, gi, j, width), F.lit("</span>\n"))
             last = name == "prize7" and j == count
             spans.append(F.when(v == 7, F.lit("")).otherwise(span) if last else span)
     body = F.concat(*spans)
@@ -52,14 +56,15 @@ def daily_pages(spark, sf):
     html = F.concat(
         F.lit("<!doctype html><html><head><title>"),
         F.when(v == 3, F.concat(F.lit("Results "), F.date_format(day, "dd-MM-yyyy"))).otherwise("Results"), F.lit("</title>"),
-        F.when(v == 1, F.concat(F.lit('<link href="https://site.example/xsaa-'), F.date_format(day, "dd-MM-yyyy"), F.lit('.html" rel="canonical">'))).otherwise(""),
+        F.when(v == 1, F.concat(F.lit('<link href="https://site.example/xsaa-'), F.date_format(day, "dd-MM-yyyy"), F.lit('.html" rel="canonical">'))).when((v == 3) & (m == 0), F.lit('<link rel=canonical href="/xsbb-01-01-2001.html">')).otherwise(""),
         F.lit("</head><body>"),
         F.when(v == 2, F.concat(F.lit("<h1>Draw <b>"), _display(day), F.lit("</b></h1>"))).otherwise("<h1>Draw</h1>"),
         F.when(v == 6, F.lit(f"<div><p>{NOTICE}</p></div>")).otherwise(""),
         F.when(dated, F.concat(F.lit('<section id="kqngay_'), F.date_format(shown, "ddMMyyyy"), F.lit('">\n'))).otherwise("<section>"),
+        F.when(m == 3, F.lit('<!-- <span class="prize1">00000</span> -->')).when(m == 5, F.lit("<section><p>ad</p></section>")).otherwise(""),
         body, F.lit("</section></body></html>"),
     )
-    return with_once(_from_orders(spark, sf), {"html": html}).drop("v")
+    return with_once(_from_orders(spark, sf), {"html": html}).drop("v", "m")
 
 
 def _spec_sql(profile):
@@ -71,13 +76,13 @@ def _value_sql(seed, station="0"):
     return f"lpad(CAST((({seed} + 1) * 7919 + {station} * 15485863 + gi * 104729 + j * 1299709) % CAST(pow(10, w) AS BIGINT) AS VARCHAR), w, '0')"
 
 
-cte("pg", "SELECT o_orderkey AS page_id, CAST(o_orderdate AS DATE) AS selected_date, o_orderkey % 10 AS v FROM orders")
+cte("pg", "SELECT o_orderkey AS page_id, CAST(o_orderdate AS DATE) AS selected_date, o_orderkey % 10 AS v, (o_orderkey // 10) % 7 AS m FROM orders")
 cte("pgvals", f"""
 SELECT page_id, v, g, string_agg({_value_sql('page_id')}, ',' ORDER BY j) AS vals
 FROM pg CROSS JOIN {_spec_sql(DAILY)} CROSS JOIN (SELECT range AS j FROM range(1, 7)) WHERE j <= c AND NOT (v = 7 AND g = 'prize7' AND j = 4) GROUP BY ALL""")
 cte("outcome", """
-SELECT page_id, CASE WHEN v IN (4, 5, 7, 9) THEN 'failed' WHEN v = 6 THEN 'no_draw' ELSE 'success' END AS status,
-  CASE v WHEN 4 THEN 'date_unknown' WHEN 5 THEN 'date_mismatch' WHEN 6 THEN 'no_draw_notice' WHEN 7 THEN 'prize7_count' WHEN 9 THEN 'special_count' END AS reason
+SELECT page_id, CASE WHEN v IN (4, 5, 7, 9) OR (v = 3 AND m = 0) THEN 'failed' WHEN v = 6 THEN 'no_draw' ELSE 'success' END AS status,
+  CASE v WHEN 3 THEN CASE WHEN m = 0 THEN 'region_mismatch' END WHEN 4 THEN 'date_unknown' WHEN 5 THEN 'date_mismatch' WHEN 6 THEN 'no_draw_notice' WHEN 7 THEN 'prize7_count' WHEN 9 THEN 'special_count' END AS reason
 FROM pg""")
 
 
@@ -96,10 +101,25 @@ def _(spark, sf):
         "page_id", parse.date_problem(F.col("page_date"), F.col("selected_date")).alias("problem"))
 
 
-@query("page_date_given_pages", "SELECT page_id, CAST(NULL AS DATE) AS page_date, CAST(NULL AS VARCHAR) AS notice FROM pages")
+def _given_text(tag):
+    inner = f"regexp_extract(html, '<{tag}>([^<]*)</{tag}>', 1)"
+    return f"replace(trim(regexp_replace({inner}, '\\s+', ' ', 'g')), '&amp;', '&')"
+
+
+@query("page_outlines_given_pages", f"""
+SELECT page_id, {_given_text('title')} AS title, {_given_text('h1')} AS heading, len(regexp_extract_all(html, '<a href="')) AS links,
+  array_to_string(list_sort(list_distinct(list_append(regexp_extract_all(html, '<a href="https?://([^/"?#]+)', 1), lower(regexp_extract(url, 'https?://([^/?#]+)', 1))))), ',') AS hosts
+FROM pages""")
+def _(spark, sf):
+    return parse.page_outlines(table(spark, sf, "pages")).select("page_id", "title", "heading", "links", F.array_join("hosts", ",").alias("hosts"))
+
+
+@query("page_date_given_pages", """
+SELECT page_id, CASE WHEN regexp_matches(html, 'kqngay_|<link') THEN DATE '1900-01-01' END AS page_date, CASE WHEN contains(lower(html), 'thưởng') THEN '?' END AS notice FROM pages""")
 def _(spark, sf):
-    return table(spark, sf, "pages").select(
-        "page_id", parse.page_date(F.col("html")).alias("page_date"), parse.no_draw_notice(F.col("html")).alias("notice"))
+    """The given pages are no result pages: whatever names no date and no notice must give neither."""
+    found = parse.parse_pages(table(spark, sf, "pages").withColumn("selected_date", F.lit("2000-01-01").cast("date")))
+    return found.select("page_id", "page_date", "notice")
 
 
 @query("no_draw_notice", "SELECT page_id, CASE WHEN v = 6 THEN 'Ngày này không mở thưởng do nghỉ lễ' END AS notice FROM pg")
@@ -135,7 +155,7 @@ def _(spark, sf):
 
 
 def _station_markup(spark, sf, fallback):
-    v, day, key = F.col("v"), F.col("selected_date"), F.col("page_id")
+    v, m, day, key = F.col("v"), F.col("m"), F.col("selected_date"), F.col("page_id")
     labels = {**{f"prize{n}": (f"G.{n}" if fallback else str(n)) for n in range(1, 9)}, "special": "ĐB"}
     rows = []
     for gi, (name, count, width) in enumerate(STATION.groups):
@@ -145,12 +165,20 @@ def _station_markup(spark, sf, fallback):
             if fallback:
                 cell = F.concat(F.lit("<td>"), F.concat_ws("<br>", *texts), F.lit("</td>"))
             else:
-                cell = F.concat(F.lit("<td>"), *[F.concat(F.lit('<span class="xs_prize1">'), t, F.lit("</span>")) for t in texts], F.lit("</td>"))
+                opened = F.when(m == 1, "<span class='xs_prize1'>").when(m == 2, "<span class=xs_prize1>&nbsp;").otherwise('<span class="xs_prize1">')
+                cell = F.concat(F.lit("<td>"), *[F.concat(opened, t, F.lit("</span>")) for t in texts], F.lit("</td>"))
             cells.append(F.when(v == 5, F.lit("")).otherwise(cell) if (i == 2 and name == "prize1") else cell)
         tag = "td" if fallback else "th"
-        rows.append(F.concat(F.lit(f"<tr><{tag}>{labels[name]}</{tag}>"), *cells, F.lit("</tr>\n")))
+        # an advertisement's own table, and a second body, in the middle of the rows
+        between = F.when(m == 3, F.lit("<tr><td><table><tr><th>1</th><td>x</td></tr></table></td></tr>")).when(
+            (m == 4) & F.lit(not fallback), F.lit("</tbody><tbody>")).otherwise("") if gi == 4 else F.lit("")
+        rows.append(F.concat(between, F.lit(f"<tr><{tag}>{labels[name]}</{tag}>"), *cells, F.lit("</tr>\n")))
     broken = F.when(v == 6, F.lit("/other")).otherwise(F.lit("/xsst2" if fallback else "/x/xsst2-p1.html"))
     links = [F.lit("/xsst0" if fallback else "/x/xsst0-p1.html"), F.lit("/xsst1" if fallback else "/x/xsst1-p1.html"), broken]
+    if not fallback:  # absolute, from the root, and relative to the page
+        links[0] = F.when(m % 2 == 1, F.lit("https://site.example/x/xsst0-p1.html")).otherwise(links[0])
+        links[1] = F.when(m % 3 == 1, F.lit("../x/xsst1-p1.html")).otherwise(links[1])
+    origin = "https://second.example" if fallback else "https://site.example"
     head = [F.concat(F.lit('<a href="'), link, F.lit(f'">Station  {i}</a>')) for i, link in enumerate(links)]
     shown = F.when(v == 9, F.date_add(day, 1)).otherwise(day)
     if fallback:
@@ -166,8 +194,8 @@ def _station_markup(spark, sf, fallback):
             F.lit("</tr></thead><tbody>"), *rows, F.lit("</tbody></table>"))
         html = F.concat(
             F.lit("<html><body>"), F.when(v == 8, F.lit(f"<p>{NOTICE}</p>")).otherwise(""),
-            F.lit('<div id="mn_kqngay_'), F.date_format(shown, "ddMMyyyy"), F.lit('_kq">'), table_markup, F.lit("</div></body></html>"))
-    return with_once(_from_orders(spark, sf), {"html": html}).drop("v")
+            F.lit('<div id="aa_kqngay_'), F.date_format(shown, "ddMMyyyy"), F.lit('_kq">'), table_markup, F.lit("</div></body></html>"))
+    return with_once(_from_orders(spark, sf), {"html": html}).drop("v", "m").withColumn("url", F.lit(f"{origin}/day/page.html"))
 
 
 def _station_sql(good, url):
@@ -187,12 +215,24 @@ def _per_station(rows):
 
 @query("page_station_table", _station_sql("0, 1, 2, 3, 4", "'https://site.example/x/xsst' || CAST(i AS VARCHAR) || '-p1.html'"))
 def _(spark, sf):
-    return _per_station(parse.page_station_table(parse.station_tables(_station_markup(spark, sf, False)), "https://site.example"))
+    return _per_station(parse.page_station_table(parse.station_tables(_station_markup(spark, sf, False))))
 
 
 @query("page_fallback_table", _station_sql("0, 1, 2, 3, 4, 8", "'https://second.example/xsst' || CAST(i AS VARCHAR)"))
 def _(spark, sf):
-    return _per_station(parse.page_fallback_table(parse.fallback_tables(_station_markup(spark, sf, True)), "https://second.example"))
+    return _per_station(parse.page_fallback_table(parse.fallback_tables(_station_markup(spark, sf, True))))
+
+
+@query("station_violations", """
+SELECT page_id, 'ST' || CAST(i.range AS VARCHAR) AS station_code, unnest(['prize8_count', 'special_width']) AS violation FROM pg, range(3) i WHERE v IN (0, 1, 2, 3, 4) AND page_id % 3 = 0""")
+def _(spark, sf):
+    """Parsed station draws, a third of them damaged: a value too many and one digit too few."""
+    rows = parse.page_station_table(parse.station_tables(_station_markup(spark, sf, False)))
+    damaged = F.col("page_id") % 3 == 0
+    short = rows.withColumn("value", F.when(damaged & (F.col("prize_group") == "special"), F.substring("value", 2, 9)).otherwise(F.col("value")))
+    more = short.where(damaged & (F.col("prize_group") == "prize8")).withColumn("prize_order", F.lit(2).cast("long"))
+    draws = parse.group_columns(short.unionByName(more), ["page_id", "station_code"])
+    return parse.station_violations(draws, ["page_id", "station_code"])
 
 
 @query("page_station_problems", """

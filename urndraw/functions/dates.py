@@ -52,13 +52,18 @@ def alert_window(utc: Column, warning: int = WARNING_MINUTE, critical: int = CRI
 
 
 def batch_year_end(year: Column, today: Column) -> Column:
-    """Last completed date of a yearly batch; NULL for a future year or on 1 January."""
+    """Last completed date of a yearly batch; NULL where ``batch_year_problem`` says why."""
     yesterday = F.date_sub(today, 1)
     return F.when(year < F.year(today), F.make_date(year, F.lit(12), F.lit(31))).when(
         (year == F.year(today)) & (F.year(yesterday) == year), yesterday
     )
 
 
+def batch_year_problem(year: Column, today: Column) -> Column:
+    """``future_year`` for a year that has not begun, ``nothing_completed`` on 1 January of the year itself, else NULL."""
+    return F.when(year > F.year(today), "future_year").when((year == F.year(today)) & (F.dayofyear(today) == 1), "nothing_completed")
+
+
 def parse_compact(text: Column) -> Column:
     """DDMMYYYY, NULL when it is no real date."""
     return F.try_to_date(text, "ddMMyyyy")

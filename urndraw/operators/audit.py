@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from urndraw.functions.ranking import first_k_per
 from urndraw.functions.text import is_digits, tail_2d, zero_pad
 from urndraw.operators.calendars import set_mismatch
-from urndraw.operators.quality import duplicate_rows
 from urndraw.operators.state import release_integrity
 from urndraw.spec import SAMPLE_LIMIT, STATUSES, Profile
 
@@ -35,12 +34,21 @@ class Published:
     """What an audit looks at: named tables, each built when a rule first asks for it.
 
     Tables: dates, fact, loto, stations, expected, manifest, store (object tables) and required
-    (the keys that must be referenced).
+    (the keys that must be referenced). ``keep`` writes what several rules share and reads it back; without one it is
+    computed for each of them.
     """
 
-    def __init__(self, profile: Profile, run_id: str, start: str, end: str, tables: dict[str, Callable[[], DataFrame]]):
+    def __init__(self, profile: Profile, run_id: str, start: str, end: str, tables: dict[str, Callable[[], DataFrame]],
+                 keep: Callable[[DataFrame], DataFrame] | None = None):
         self.profile, self.run_id, self.start, self.end = profile, run_id, start, end
         self._tables = {name: cache(build) for name, build in tables.items()}
+        self._shared: dict[str, DataFrame] = {}
+        self._keep = keep or (lambda df: df)
+
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._shared:
+            self._shared[name] = self._keep(build())
+        return self._shared[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in self._tables:
@@ -82,10 +90,6 @@ def _fact(p: Published) -> DataFrame:
     return p.fact.withColumn("_day", _day("draw_date"))
 
 
-def _fact_in(p: Published) -> DataFrame:
-    return _fact(p).where(p.between(F.col("_day")))
-
-
 def _loto(p: Published) -> DataFrame:
     return p.loto.withColumn("_day", _day("draw_date"))
 
@@ -98,7 +102,32 @@ def _grain(p: Published) -> list[str]:
     return ["_day", *p.profile.grain]
 
 
+def _cells(p: Published) -> DataFrame:
+    """The prize fact as counts per place and number, in and out of the audited range: what all grouped rules read."""
+    keys = [*_grain(p), "prize_group", "prize_order", "loto_2d"]
+    return p.shared("cells", lambda: _fact(p).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _cells_in(p: Published) -> DataFrame:
+    return _cells(p).where(p.between(F.col("_day")))
+
+
+def _frequencies(p: Published) -> DataFrame:
+    """The dense fact as counts per number and stated frequency."""
+    keys = [*_grain(p), "number_2d"]
+    return p.shared("frequencies", lambda: _loto_in(p).groupBy(*keys, _whole(p.loto, "frequency").alias("_f")).agg(F.count(F.lit(1)).alias("_n")))
+
+
+def _times(rows: DataFrame, count: str, text: Column) -> DataFrame:
+    """An offence for each of the rows that a count stands for."""
+    return rows.select(F.explode(F.array_repeat(text, F.col(count).cast("int"))).alias("txt"))
+
+
 def status_by_date(p: Published) -> DataFrame:
+    return p.shared("status", lambda: _status_by_date(p))
+
+
+def _status_by_date(p: Published) -> DataFrame:
     """One row per date of the audited range: its valid status, else missing."""
     days = p.dates.sparkSession.range(1).select(
         F.explode(F.sequence(F.lit(p.start).cast("date"), F.lit(p.end).cast("date"))).alias("_day")
@@ -136,7 +165,7 @@ def _calendar(p: Published, codes: list[str]) -> DataFrame:
     rows = status_by_date(p)
     aligned = {"success-date-missing-draw-facts", "success-date-missing-loto-facts", "no-draw-has-facts", "incomplete-date-has-facts"}
     if aligned & set(codes):
-        for name, table in (("has_fact", _fact_in(p)), ("has_loto", _loto_in(p))):
+        for name, table in (("has_fact", _cells_in(p)), ("has_loto", _frequencies(p))):
             rows = rows.join(table.select("_day").distinct().withColumn(name, F.lit(True)), "_day", "left")
     day, status, raw = _text("_day"), F.col("status"), F.col("raw_status")
     has_fact, has_loto = (F.coalesce(F.col(n), F.lit(False)) if aligned & set(codes) else F.lit(False) for n in ("has_fact", "has_loto"))
@@ -154,20 +183,18 @@ def _calendar(p: Published, codes: list[str]) -> DataFrame:
 
 
 def _fact_duplicate(p):
-    return _bad(duplicate_rows(_fact_in(p), [*_grain(p), "prize_group", "prize_order"]), _text(*_grain(p), "prize_group", "prize_order"))
-
-
-def _count_not(rows: DataFrame, grain: list[str], value: Column, expected: int) -> DataFrame:
-    sizes = rows.groupBy(*grain).agg(value.alias("_n")).where(~F.col("_n").eqNullSafe(F.lit(expected).cast("long")))
-    return _bad(sizes, F.concat(_text(*grain), F.lit("="), F.coalesce(F.col("_n").cast("string"), F.lit("<null>"))))
+    keys = [*_grain(p), "prize_group", "prize_order"]
+    repeated = _cells_in(p).groupBy(*keys).agg(F.sum("_n").alias("_n")).where("_n > 1")
+    return _times(repeated, "_n", _text(*keys))
 
 
 def _fact_count(p):
-    return _count_not(_fact_in(p), _grain(p), F.count(F.lit(1)), p.profile.prize_count)
+    sizes = _cells_in(p).groupBy(*_grain(p)).agg(F.sum("_n").alias("_n")).where(F.col("_n") != p.profile.prize_count)
+    return _bad(sizes, F.concat(_text(*_grain(p)), F.lit("="), F.col("_n").cast("string")))
 
 
 def _fact_layout(p):
-    rows = _fact_in(p).withColumn("_order", _whole(p.fact, "prize_order"))
+    rows = _cells_in(p).withColumn("_order", _whole(p.fact, "prize_order"))
     count = p.profile.count_of(F.col("prize_group"))
     usable = F.col("prize_group").isNotNull() & F.col("_order").isNotNull()
     known = F.coalesce(F.col("_order").between(F.lit(1), count), F.lit(False))
@@ -224,8 +251,8 @@ def _loto_rows(p: Published, codes: list[str]) -> DataFrame:
 def _loto_draws(p: Published, codes: list[str]) -> DataFrame:
     """Row count, frequency sum and coverage of each draw, from one count per number."""
     good = is_digits(F.col("number_2d"), 2)
-    per_number = _loto_in(p).groupBy(*_grain(p), "number_2d").agg(
-        F.count(F.lit(1)).alias("_n"), F.sum(_whole(p.loto, "frequency")).alias("_f")
+    per_number = _frequencies(p).groupBy(*_grain(p), "number_2d").agg(
+        F.sum("_n").alias("_n"), F.sum(F.col("_f") * F.col("_n")).alias("_f")
     )
     draws = per_number.groupBy(*_grain(p)).agg(
         F.sum("_n").alias("_rows"), F.sum("_f").alias("_sum"),
@@ -244,13 +271,15 @@ def _loto_draws(p: Published, codes: list[str]) -> DataFrame:
 
 
 def _loto_duplicate(p):
-    return _bad(duplicate_rows(_loto_in(p), [*_grain(p), "number_2d"]), _text(*_grain(p), "number_2d"))
+    keys = [*_grain(p), "number_2d"]
+    return _times(_frequencies(p).groupBy(*keys).agg(F.sum("_n").alias("_n")).where("_n > 1"), "_n", _text(*keys))
 
 
 def _loto_mismatch(p):
-    again = _fact_in(p).groupBy(*_grain(p), F.col("loto_2d").alias("number_2d")).agg(F.count(F.lit(1)).alias("_expected"))
-    rows = _loto_in(p).join(again, [*_grain(p), "number_2d"], "left")
-    return _bad(rows.where(~_whole(p.loto, "frequency").eqNullSafe(F.coalesce("_expected", F.lit(0)))), _text(*_grain(p), "number_2d"))
+    keys = [*_grain(p), "number_2d"]
+    again = _cells_in(p).groupBy(*_grain(p), F.col("loto_2d").alias("number_2d")).agg(F.sum("_n").alias("_expected"))
+    rows = _frequencies(p).join(again, keys, "left")
+    return _times(rows.where(~F.col("_f").eqNullSafe(F.coalesce("_expected", F.lit(0)))), "_n", _text(*keys))
 
 
 def _station_sets(p):
@@ -260,7 +289,7 @@ def _station_sets(p):
         set_mismatch(
             rows.select("_day", "station_code").distinct().join(success, "_day", "left_semi"), expected, ["_day", "station_code"]
         )
-        for rows in (_fact_in(p), _loto_in(p))
+        for rows in (_cells_in(p), _frequencies(p))
     ]
     return _bad(wrong[0].unionByName(wrong[1]).select("_day").distinct(), _text("_day"))
 
@@ -283,7 +312,7 @@ def _station_range(p):
 
 def _station_codes(p):
     wrong = set_mismatch(
-        _fact(p).where("station_code is not null").select("station_code"),
+        _cells(p).where("station_code is not null").select("station_code"),
         p.stations.where("station_code is not null").select("station_code"), ["station_code"],
     )
     # 'unexpected' is in the facts only, so missing in the dimension
@@ -292,14 +321,14 @@ def _station_codes(p):
 
 
 def _station_dates(p):
-    actual = _fact(p).where("_day is not null").groupBy("station_code").agg(F.min("_day").alias("_a"), F.max("_day").alias("_b"))
+    actual = _cells(p).where("_day is not null").groupBy("station_code").agg(F.min("_day").alias("_a"), F.max("_day").alias("_b"))
     rows = p.stations.select("station_code", _day("first_draw_date").alias("_f"), _day("latest_draw_date").alias("_l"))
     joined = rows.join(actual, "station_code").where("_f is not null and _l is not null")
     return _bad(joined.where("_f <> _a or _l <> _b"), _text("station_code", "_a", "_b"))
 
 
 def _checked(p: Published) -> DataFrame:
-    return release_integrity(p.manifest, p.store)
+    return p.shared("checked", lambda: release_integrity(p.manifest, p.store))
 
 
 _OBJECT_ISSUES = {

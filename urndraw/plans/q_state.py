@@ -404,14 +404,16 @@ def _(spark, sf):
 @query("latest_completed_date", """
 SELECT event_id, CASE WHEN hour(l) * 60 + minute(l) >= CASE user_id % 3 WHEN 0 THEN 995 WHEN 1 THEN 1055 ELSE 1115 END THEN CAST(l AS DATE) ELSE CAST(l AS DATE) - 1 END AS completed,
   CASE WHEN event_id % 30 + 1996 < year(ts) THEN make_date(event_id % 30 + 1996, 12, 31)
-    WHEN event_id % 30 + 1996 = year(ts) AND year(CAST(ts AS DATE) - 1) = year(ts) THEN CAST(ts AS DATE) - 1 END AS batch_end
+    WHEN event_id % 30 + 1996 = year(ts) AND year(CAST(ts AS DATE) - 1) = year(ts) THEN CAST(ts AS DATE) - 1 END AS batch_end,
+  CASE WHEN event_id % 30 + 1996 > year(ts) THEN 'future_year' WHEN event_id % 30 + 1996 = year(ts) AND month(ts) = 1 AND day(ts) = 1 THEN 'nothing_completed' END AS batch_problem
 FROM (SELECT *, ts + INTERVAL 7 HOUR AS l FROM events)""")
 def _(spark, sf):
     kind = F.col("user_id") % 3
     cutoff = F.when(kind == 0, DRAW_CUTOFFS["south"]).when(kind == 1, DRAW_CUTOFFS["central"]).otherwise(DRAW_CUTOFFS["north"])
     return table(spark, sf, "events").select(
         "event_id", dates.latest_completed(F.col("ts"), cutoff).alias("completed"),
-        dates.batch_year_end((F.col("event_id") % 30 + 1996).cast("int"), F.to_date("ts")).alias("batch_end"))
+        dates.batch_year_end((F.col("event_id") % 30 + 1996).cast("int"), F.to_date("ts")).alias("batch_end"),
+        dates.batch_year_problem((F.col("event_id") % 30 + 1996).cast("int"), F.to_date("ts")).alias("batch_problem"))
 
 
 _INCIDENTS = """

@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from urndraw.binding import RUN_ID, STATION, control_events, draw_fact, health_ticks, observations, sessions, table
 from urndraw.functions import dates, text
-from urndraw.operators import descriptive, facts, grid, health, marts, serving, state
+from urndraw.operators import backfill, descriptive, facts, grid, health, marts, serving, state
 from urndraw.plans.q_facts import FACT_COLUMNS, counts_of, lake_states, month_summary
-from urndraw.plans.q_parse import parsed_pages
+from urndraw.plans.q_parse import daily_pages
 from urndraw.plans.registry import cte, query
 from urndraw.sources import tables
 from urndraw.spec import DRAW_CUTOFFS, RECENT_DRAWS
@@ -143,19 +143,24 @@ def _(spark, sf):
 
 
 @query("backfill", """
-SELECT p.page_id, p.selected_date AS draw_date, o.status, o.reason, CASE WHEN o.status = 'success' THEN 27 ELSE 0 END AS prize_rows
-FROM pg p JOIN outcome o USING (page_id) WHERE p.page_id % 4 <> 0""")
-def _(spark, sf):
-    """Pages of dates already closed are skipped; every other page is parsed in one job."""
-    pages = parsed_pages(spark, sf)
-    closed = table(spark, sf, "orders").where(F.col("o_orderkey") % 4 == 0).select(F.col("o_orderkey").alias("page_id"))
-    pending = pages.join(closed, "page_id", "left_anti")
-    from urndraw.binding import DAILY
-
-    size = sum((F.size(n) for n in DAILY.group_names), F.lit(0))
-    return pending.select(
-        "page_id", F.col("selected_date").alias("draw_date"), "status", "reason",
-        F.when(F.col("status") == "success", size).otherwise(0).cast("long").alias("prize_rows"))
+SELECT p.selected_date AS draw_date, o.status, o.reason, CASE WHEN o.status = 'success' THEN 27 ELSE 0 END AS prize_rows, 'publish' AS decision, 'run-0005' AS published_run,
+  (SELECT count(*) * 27 FROM pg JOIN outcome USING (page_id) WHERE status = 'success' AND page_id IN (SELECT min(page_id) FROM pg GROUP BY selected_date) AND dayofyear(selected_date) % 4 <> 0) AS stored_rows
+FROM pg p JOIN outcome o USING (page_id) WHERE p.page_id IN (SELECT min(page_id) FROM pg GROUP BY selected_date) AND dayofyear(p.selected_date) % 4 <> 0""")
+def _(spark, sf):
+    """One page per date; a quarter of the dates are closed by an earlier run and a quarter failed in it."""
+    root = fresh_dir(spark, "lake")
+    pages = daily_pages(spark, sf)
+    first = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("d")).agg(F.min("o_orderkey").alias("page_id"))
+    pages = pages.join(first.select("page_id"), "page_id", "left_semi").withColumn("url", F.lit("https://site.example/day.html"))
+    kind = F.dayofyear("d") % 4
+    first.where(kind < 2).select(
+        F.lit("given").alias("lake"), F.col("d").alias("draw_date"), F.when(kind == 0, "success").otherwise("failed").alias("status"),
+        F.lit("run-0004").alias("run_id"), F.lit("2002-01-01").cast("timestamp_ntz").alias("updated_at"), F.col("page_id").alias("seq"),
+        F.lit(None).cast("string").alias("detail")).write.json(f"{root}/state/run=run-0004")
+    done = backfill.backfill(spark, root, pages, "given", "run-0005", "2002-02-01T00:00:00", "2002-02-01")
+    pointer = tables.latest_pointer(spark, root).select(F.col("run_id").alias("published_run")).scalar()
+    release = tables.read_release(spark, root, ["fact-draw-result"])["fact-draw-result"]
+    return done.withColumns({"published_run": pointer, "stored_rows": release.agg(F.count(F.lit(1))).scalar()})
 
 
 @query("publish_gate", """

@@ -74,15 +74,17 @@ def release_path(root: str, run_id: str) -> str:
     return f"{root}/gold/releases/run-id={run_id}"
 
 
-def write_release(tables: dict[str, DataFrame], root: str, run_id: str, formats: tuple[str, ...] = ("parquet",)) -> str:
-    """One immutable folder per run; writing the same run again is an error."""
+def write_release(
+    tables: dict[str, DataFrame], root: str, run_id: str, formats: tuple[str, ...] = ("parquet",), replace: bool = False
+) -> str:
+    """One immutable folder per run; writing the same run again is an error, unless ``replace`` says that no pointer names it."""
     unknown = set(formats) - set(GOLD_FORMATS)
     if not formats or unknown:
         raise ValueError(f"unsupported release formats: {sorted(unknown)}")
     base = release_path(root, run_id)
     for name, df in tables.items():
         for fmt in formats:
-            writer = df.write.mode("errorifexists").option("maxRecordsPerFile", ROWS_PER_FILE)
+            writer = df.write.mode("overwrite" if replace else "errorifexists").option("maxRecordsPerFile", ROWS_PER_FILE)
             if fmt == "csv":
                 writer.option("header", True).option("dateFormat", "yyyy-MM-dd").csv(f"{base}/{name}.csv")
             else:
@@ -100,10 +102,10 @@ def stored_objects(spark: SparkSession, base: str) -> DataFrame:
     )
 
 
-def write_manifest(spark: SparkSession, root: str, run_id: str, target_date: str, published_at: str) -> None:
+def write_manifest(spark: SparkSession, root: str, run_id: str, target_date: str, published_at: str, replace: bool = False) -> None:
     """The objects of a release, then the pointer to it, in that order."""
     base = release_path(root, run_id)
-    stored_objects(spark, base).write.mode("errorifexists").json(f"{root}/manifests/runs/run-id={run_id}")
+    stored_objects(spark, base).write.mode("overwrite" if replace else "errorifexists").json(f"{root}/manifests/runs/run-id={run_id}")
     spark.createDataFrame(
         [(run_id, target_date, published_at)], "run_id string, target_date string, published_at string"
     ).coalesce(1).write.mode("append").json(f"{root}/manifests/latest")

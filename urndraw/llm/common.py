@@ -20,6 +20,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def hashed_share(total: int, wanted: int, *columns: str) -> Column:
+    """Whether a row is in a share that holds about ``wanted`` of ``total`` rows, by a hash of its columns.
+
+    Put before an ordered limit, so that what every task sends to the one that ends it stays small however many tasks there are.
+    """
+    share = int((1 << 40) * min(1.0, wanted / max(1, total)))
+    return F.pmod(F.xxhash64(*columns), F.lit(1 << 40)) < share
+
+
 def text_or_empty(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urndraw.llm.common import connected_components, stored
+from urndraw.llm.common import connected_components, hashed_share, stored
 from urndraw.llm.simhash import forest
 from urndraw.llm.vectors import matrix, vectors
 
@@ -155,7 +155,8 @@ def links(table: DataFrame, least: float = 0.93, cell: int = CELL, id_column: st
     largest = usable.groupBy("label", "dim").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     wanted = min(PIVOTS, max(1, -(-largest // cell)))
     # the vectors with the smallest hashes of their ids: a bounded sample, of each length
-    sample = usable.orderBy(F.xxhash64("vec_id")).limit(wanted).select("dim", "vector").collect() if wanted > 1 else []
+    few = usable.where(hashed_share(every.count(), 20 * wanted, "vec_id"))
+    sample = few.orderBy(F.xxhash64("vec_id")).limit(wanted).select("dim", "vector").collect() if wanted > 1 else []
     by: dict[int, np.ndarray] = {}
     for dim in {r["dim"] for r in sample}:
         by[dim] = unit(np.array([r["vector"] for r in sample if r["dim"] == dim]))

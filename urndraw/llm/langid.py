@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urndraw.llm.common import text_or_empty
+from urndraw.llm.common import hashed_share, text_or_empty
 
 ORDERS = (4, 3, 2, 1)
 SAMPLE_ROWS = 4000
@@ -110,7 +110,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = ENTRIE
                        text_or_empty(text_column).alias("text")).where("id is not null and lang is not null")
     total = rows.count()
     if total > sample_rows:
-        rows = rows.where(F.pmod(F.xxhash64("id", "text"), F.lit(1 << 20)) < int((1 << 20) * sample_rows / total))
+        rows = rows.where(hashed_share(total, sample_rows, "id", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -22,10 +22,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from urndraw.llm.bpe import byte_letters
 from urndraw.llm.common import stored, text_or_empty
 
 #: Distinct chunks of text whose ids a task keeps; beyond it the task starts afresh.
-CHUNKS = 400_000
+CHUNKS = 500_000
+#: The split of this vocabulary's byte-level pre-tokeniser.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+#: Chunks of letters below this are encoded by the faster of two libraries, which agree on them.
+PLAIN_BELOW = "\u0180"
 #: Pieces that are numbered in one slot, on average.
 SLOT = 4000
 
@@ -36,9 +41,13 @@ class ChunkTokens:
     The byte-level pattern always starts a new token at a single space between two characters that are not white
     space, and nothing before such a place changes the ids behind it, so those chunks are encoded on their own and
     each distinct one once. A text with other white space next to a space is encoded in one go.
+
+    Chunks of plain letters without special tokens go through a ``tiktoken`` encoding built from the same vocabulary, which
+    gives the same ids in a third of the time; all else goes through ``tokenizers``.
     """
 
     def __init__(self, path: str, limit: int = CHUNKS) -> None:
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -49,6 +58,10 @@ class ChunkTokens:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.opens = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that start with the space of a chunk
         self.opens[[i for token, i in vocabulary.items() if token.startswith("Ġ")]] = True
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        letters = {letter: byte for byte, letter in byte_letters().items()}
+        ranks = {bytes(letters[c] for c in token): i for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
+        self.fast = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, np.uint32).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -58,7 +71,9 @@ class ChunkTokens:
         out: list[bytes] = []
         for at in range(0, len(chunks), 4096):
             some = chunks[at:at + 4096]
-            ids = np.array(self.tokenizer.encode("".join([" " + c for c in some]), add_special_tokens=False).ids, np.uint32)
+            text = "".join([" " + c for c in some])
+            plain = max(text) < PLAIN_BELOW and not any(s in text for s in self.special)
+            ids = np.array(self.fast(text) if plain else self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
             cuts = [*(4 * np.flatnonzero(self.opens[ids])).tolist(), 4 * len(ids)]
             if len(cuts) != len(some) + 1:
                 raise ValueError("the vocabulary joins words over a space")
@@ -69,19 +84,23 @@ class ChunkTokens:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         split = [t.split(" ") for t in texts]
-        new = {c for chunks in split for c in chunks[1:] if c not in self.known}
+        every = set().union(*split)
+        new = every.difference(self.known)
         if len(self.known) + len(new) > self.limit:
             self.known.clear()
-            new = {c for chunks in split for c in chunks[1:]}
+            new = every
         plain = [c for c in new if c and not c[0].isspace() and not c[-1].isspace()]
-        self.known.update(dict.fromkeys(new - set(plain)))  # None: not to be cut here
+        self.known.update(dict.fromkeys(new.difference(plain)))  # None: not to be cut here
         self.known.update(zip(plain, self._encode_chunks(plain)))
         out: list[bytes | None] = []
         get = self.known.__getitem__
         for chunks in split:
-            ids = list(map(get, chunks[1:]))
-            whole = None in ids or (ids and (not chunks[0] or chunks[0][-1].isspace()))
-            out.append(None if whole or len(chunks) == 1 else b"".join(ids))
+            first = chunks[0]
+            try:
+                cut = len(chunks) > 1 and first and not first[-1].isspace()
+                out.append(b"".join(map(get, chunks[1:])) if cut else None)
+            except TypeError:  # one of them is not to be cut
+                out.append(None)
         odd = [i for i, ids in enumerate(out) if ids is None]
         for i, ids in zip(odd, self._encode([texts[i] for i in odd])):
             out[i] = ids

@@ -1,0 +1,76 @@
+from __future__ import annotations
+
+import random
+
+import corpus_pipeline
+from urndraw.llm import jaccard
+
+COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def slow_set(text):
+    words = (text or "").lower().split()
+    size = min(5, len(words))
+    return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} if words else set()
+
+
+def slow_kept(docs):
+    """Ids that stay: the lowest of each component of pairs with Jaccard of 0.8 or more."""
+    docs = sorted(docs)
+    sets, first = [slow_set(t) for _, t in docs], list(range(len(docs)))
+    for i in range(len(docs)):
+        for j in range(i):
+            if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]):
+                a, b = sorted((first[i], first[j]))
+                first = [a if f == b else f for f in first]
+    return [d for i, (d, _) in enumerate(docs) if first[i] == i]
+
+
+def changed(rng, text, edits):
+    words = text.split(" ")
+    for at in rng.sample(range(len(words)), edits):
+        words[at] = f"x{rng.randrange(10**6)}"
+    return " ".join(words)
+
+
+def corpus():
+    rng = random.Random(4)
+    docs = [(0, None), (1, ""), (2, "one two"), (3, "One  two"), (4, "one two three")]
+    base = [" ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randint(40, 300))) for _ in range(30)]
+    docs += [(10 + i, t) for i, t in enumerate(base)]
+    for d in range(50, 200):
+        text = rng.choice(base)
+        docs.append((d, changed(rng, text, rng.randint(0, 1 + len(text.split()) // 30))))
+    return docs + [(d, changed(rng, base[0], 1)) for d in range(200, 300)]
+
+
+def test_stage_equals_all_pairs(spark):
+    docs = corpus()
+    table = spark.createDataFrame([(d, t, "en", "src", len(t or "")) for d, t in docs] + [(10, docs[5][1], "en", "src", 1)], COLUMNS)
+    got = dict(corpus_pipeline.STAGES)["similar_texts"](spark, table, "").collect()
+    assert sorted(r.doc_id for r in got) == slow_kept(docs)
+    assert {r.doc_id: r.text for r in got}.items() <= dict(docs).items()
+
+
+def test_copies_with_a_few_changed_words_go_from_the_pipeline(spark):
+    rng = random.Random(5)
+    docs, stages = [], dict(corpus_pipeline.STAGES)
+    for d in range(0, 40, 2):
+        text = " ".join(f"w{rng.randrange(3000)}" for _ in range(120))
+        docs += [(d, text, "en", "src", 1), (d + 1, changed(rng, text, 2), "en", "src", 1)]
+    table = spark.createDataFrame(docs, COLUMNS)
+    for name in [n for n, _ in corpus_pipeline.STAGES if n in ("near_copies", "similar_texts")]:
+        table = stages[name](spark, table, "")
+    assert sorted(r.doc_id for r in table.collect()) == list(range(0, 40, 2))
+
+
+def test_groups_without_a_common_centre(spark):
+    # one node is near two that are not near each other
+    words = [f"w{i}" for i in range(104)]
+    texts = [" ".join(words), " ".join(words[:90]), " ".join(words[14:])]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in jaccard.one_of_each(table).collect()] == slow_kept(list(enumerate(texts)))
+
+
+def test_empty_table(spark):
+    assert jaccard.one_of_each(spark.createDataFrame([], "doc_id long, text string")).count() == 0

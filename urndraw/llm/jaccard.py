@@ -1,0 +1,138 @@
+"""Near copies by the words they share: Jaccard similarity of the sets of word shingles, at least ``LEAST`` of ``OF``.
+
+Texts with one set of shingles are one node. Nodes meet where all ``ROWS`` minima of a band of their MinHash signature are equal; a
+pair of similarity s shares one of ``BANDS`` bands with a chance of 1 - (1 - s^ROWS)^BANDS, 0.999998 at 0.8. Within a band's group
+every node is compared with one centre, those that are not near it with a centre among themselves, until none is left: a large
+group of near copies costs one comparison for each of its nodes. Centres are picked by a hash of node and group, so that they differ
+between the groups that two nodes share. Every link is checked exactly, on the two whole sets, before it counts.
+
+Defined cases: null text counts as empty; texts without words have the empty set and are one node; a text of fewer words than a
+shingle is one shingle; words are split and lower-cased as for fingerprints.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from urndraw.llm.common import connected_components, keyed, stored
+from urndraw.llm.simhash import lowest_of_each
+
+SHINGLE, LEAST, OF = 5, 4, 5
+BANDS, ROWS = 25, 4
+_random = np.random.default_rng(42)
+FACTORS = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)
+ADDED = _random.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
+
+
+def shingles(text: str, shingle: int = SHINGLE) -> np.ndarray:
+    """The sorted hashes of the different word shingles."""
+    import xxhash
+
+    words = text.encode("utf-8", "surrogatepass").lower().split()
+    size = min(shingle, len(words))
+    found = {xxhash.xxh64_intdigest(b" ".join(words[i:i + size]), 42) for i in range(len(words) - size + 1)} if words else set()
+    return np.sort(np.fromiter(found, np.uint64, len(found)))
+
+
+def node_of(hashes: np.ndarray) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(hashes.tobytes(), 42) - (1 << 63)
+
+
+def band_keys(hashes: np.ndarray) -> list[int]:
+    """One key for each band, or none for the empty set."""
+    import xxhash
+
+    if not len(hashes):
+        return []
+    least = np.full(BANDS * ROWS, ~np.uint64(0))
+    for at in range(0, len(hashes), 1 << 12):
+        part = hashes[at:at + (1 << 12), None] * FACTORS + ADDED
+        least = np.minimum(least, (part ^ (part >> np.uint64(32))).min(axis=0))
+    return [xxhash.xxh64_intdigest(least[i * ROWS:(i + 1) * ROWS].tobytes(), i) - (1 << 63) for i in range(BANDS)]
+
+
+def signatures(docs: DataFrame, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, version, node, size, keys): one row per row of ``docs``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, sizes, keys = [], [], []
+            for text in batch.column(2).to_pylist():
+                found = shingles(text, shingle)
+                nodes.append(node_of(found))
+                sizes.append(len(found))
+                keys.append(band_keys(found))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))],
+                ["doc_id", "version", "node", "size", "keys"])
+
+    return keyed(docs, id_column, text_column).mapInArrow(run, "doc_id long, version long, node long, size int, keys array<long>")
+
+
+def sets_of(rows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(node, hashes) for rows of (node, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingles(t, shingle).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], ["node", "hashes"])
+
+    return rows.mapInArrow(run, "node long, hashes array<long>")
+
+
+def links(docs: DataFrame, signed: DataFrame, shingle: int = SHINGLE, least: int = LEAST, of: int = OF, id_column: str = "doc_id",
+          text_column: str = "text") -> DataFrame:
+    """(a, b): links between nodes of similarity ``least / of`` or more. ``signed`` should be stored."""
+    one = signed.groupBy("node").agg(F.min(F.struct("doc_id", "version", "size", "keys")).alias("one")).select("node", "one.*")
+    one = stored(one, "jaccard")
+    rows = one.select("node", "size", F.explode("keys").alias("key"))
+    shared = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "jaccard")
+    rows = stored(rows.join(shared, "key").select("key", "node", "size"), "jaccard")
+    met = stored(rows.select("node").distinct(), "jaccard")
+    # by sorting at every size, so that the need for disk grows evenly with the input
+    wanted = one.join(met.hint("merge"), "node", "left_semi").select("node", "doc_id", "version").withColumnRenamed("doc_id", "of")
+    texts = keyed(docs, id_column, text_column)
+    wanted = stored(wanted, "jaccard")
+    same = texts["doc_id"].eqNullSafe(wanted["of"]) & (texts["version"] == wanted["version"])
+    # a row listed more than once gives its set once
+    sets = stored(sets_of(texts.join(wanted.hint("merge"), same).select("node", "text"), shingle).dropDuplicates(["node"]), "jaccard")
+    found = None
+    while True:
+        centre = F.min(F.struct(F.xxhash64("node", "key").alias("by"), "node", "size")).alias("centre")
+        centres = rows.groupBy("key").agg(centre, F.count("*").alias("n")).where("n > 1")
+        centres = stored(centres.select("key", F.col("centre.node").alias("b"), F.col("centre.size").alias("b_size")), "jaccard")
+        if centres.limit(1).count() == 0:
+            return found if found is not None else rows.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
+        paired = stored(rows.join(centres, "key").where("node <> b"), "jaccard")
+        # sets whose sizes differ by more can not be that similar
+        pairs = stored(paired.where(F.least("size", "b_size") * of >= F.greatest("size", "b_size") * least)
+                       .select(F.col("node").alias("a"), "b").distinct(), "jaccard")
+        left = sets.select(F.col("node").alias("a"), F.col("hashes").alias("of_a"))
+        right = sets.select(F.col("node").alias("b"), F.col("hashes").alias("of_b"))
+        both = F.size(F.array_intersect("of_a", "of_b"))
+        either = F.size("of_a") + F.size("of_b") - both
+        near = stored(pairs.join(left, "a").join(right, "b").where(both * of >= either * least).select("a", "b"), "jaccard")
+        found = near if found is None else found.unionAll(near)
+        rows = stored(paired.join(near.withColumnRenamed("a", "node"), ["node", "b"], "left_anti").select("key", "node", "size"), "jaccard")
+
+
+def near_copies(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST, of: int = OF, id_column: str = "doc_id",
+                text_column: str = "text") -> DataFrame:
+    """(doc_id, version, group): rows of one group are near copies, directly or through others."""
+    signed = stored(signatures(docs, shingle, id_column, text_column), "jaccard")
+    tied = stored(connected_components(links(docs, signed, shingle, least, of, id_column, text_column), "a", "b", "jaccard"), "jaccard")
+    tied = tied.withColumnRenamed("node", "of")
+    return signed.join(tied, signed["node"] == tied["of"], "left").select("doc_id", "version", F.coalesce("component", "node").alias("group"))
+
+
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, least: int = LEAST, of: int = OF, id_column: str = "doc_id",
+                text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` without near copies, as ``simhash.one_of_each`` leaves them."""
+    return lowest_of_each(docs, near_copies(docs, shingle, least, of, id_column, text_column), id_column, text_column)

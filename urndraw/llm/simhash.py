@@ -230,7 +230,12 @@ def near_duplicates(docs: DataFrame, budget: int = 3, shingle: int = 3, id_colum
 def one_of_each(docs: DataFrame, budget: int = 3, shingle: int = 3, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the row with the lowest id stays, null ids last, and
     rows equal in id and text count once."""
-    near = stored(near_duplicates(docs, budget, shingle, id_column, text_column), "simhash")
+    return lowest_of_each(docs, near_duplicates(docs, budget, shingle, id_column, text_column), id_column, text_column)
+
+
+def lowest_of_each(docs: DataFrame, near: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The same for any (doc_id, version, group) of the rows of ``docs``."""
+    near = stored(near.select("doc_id", "version", "group"), "simhash")
     best = near.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "version")).alias("best"))
     counted = near.groupBy("group", "doc_id", "version").agg(F.count("*").alias("times")).withColumnRenamed("group", "of")
     same = (counted["of"] == best["group"]) & counted["doc_id"].eqNullSafe(F.col("best.doc_id")) & (counted["version"] == F.col("best.version"))

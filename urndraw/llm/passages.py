@@ -8,6 +8,10 @@ is kept. What is removed is every stretch of neighbouring units that all occurre
 more, so that chance repeats of single units leave a document as it is. Offsets of what goes and of what stays count code points
 of the original text.
 
+With ``among``, as the query has it, a line is cut instead before the pair of words with the smallest hash of every ``among``
+neighbouring pairs, so no unit of a long line is longer than that and copies are cut alike but for their ends. Every unit is numbered and
+has a digest.
+
 Defined cases: null text has no units and stays null; null ids rank first; rows equal in id and text are one document listed
 more than once and are all treated alike; repeats inside one document count like any other.
 """
@@ -17,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +29,14 @@ from pyspark.sql import functions as F
 from urndraw.llm.common import keyed, later_occurrences, stored, text_or_empty
 
 EVERY, LEAST, PASSAGE = 6, 4, 20
+#: Pairs of words among which the one with the smallest hash cuts; what the query takes.
+AMONG = 14
 
 _word = re.compile(r"[^\W_]+|\n")
 #: Words whose digest a Python worker keeps.
 WORDS = 500_000
 _ends: dict[tuple[str, int], bool] = {}
+_hashes: dict[str, int] = {}
 
 
 def ends_unit(word: str, every: int) -> bool:
@@ -71,13 +79,63 @@ def units(text: str, every: int = EVERY, least: int = LEAST) -> list[tuple[int,
     return out
 
 
-def hashed_units(docs: DataFrame, every: int = EVERY, least: int = LEAST, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def all_units(text: str, among: int = AMONG) -> list[tuple[int, int, int, int]]:
+    """(digest, start, end, words) of every unit: each line, cut before the pair of words whose hash is the smallest of ``among``
+    neighbouring pairs."""
+    import xxhash
+
+    words, starts, ends, lines, line = [], [], [], [], 0
+    for m in _word.finditer(text):
+        word = m[0]
+        if word == "\n":
+            line += 1
+            continue
+        words.append(word.lower())
+        starts.append(m.start())
+        ends.append(m.end())
+        lines.append(line)
+    if not words:
+        return []
+    of = np.array(lines)
+    cut = np.r_[True, of[1:] != of[:-1]]
+    if len(words) > among:
+        hashes = np.fromiter((hash_of(w) for w in words), np.uint64, len(words))
+        pairs = hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:]
+        pairs ^= pairs >> np.uint64(29)
+        pairs *= np.uint64(0xBF58476D1CE4E5B9)
+        whole = np.flatnonzero(of[among:] == of[:len(of) - among])  # windows within one line
+        for at in range(0, len(whole), 1 << 16):
+            some = whole[at:at + (1 << 16)]
+            seen = np.lib.stride_tricks.sliding_window_view(pairs, among)[some, ::-1]
+            cut[some + among - 1 - seen.argmin(axis=1)] = True  # the rightmost of equal ones
+    edges = [*np.flatnonzero(cut).tolist(), len(words)]
+    out = []
+    for a, b in zip(edges, edges[1:]):
+        unit = " ".join(words[a:b])
+        digest = xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"))
+        out.append((digest - (1 << 63), starts[a], ends[b - 1], b - a))
+    return out
+
+
+def hash_of(word: str) -> int:
+    found = _hashes.get(word)
+    if found is None:
+        import xxhash
+
+        if len(_hashes) > WORDS:
+            _hashes.clear()
+        found = _hashes[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass"), 7)
+    return found
+
+
+def hashed_units(docs: DataFrame, every: int = EVERY, least: int = LEAST, id_column: str = "doc_id", text_column: str = "text",
+                 among: int | None = None) -> DataFrame:
     """(doc_id, version, at, digest, start, end, words): one row per unit, numbered within its document."""
     schema = "doc_id long, version long, at int, digest long, start int, end int, words int"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [units(t, every, least) for t in batch.column(2).to_pylist()]
+            found = [units(t, every, least) if among is None else all_units(t, among) for t in batch.column(2).to_pylist()]
             of = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
             digests, starts, ends, words = zip(*(u for f in found for u in f)) if len(of) else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
@@ -89,9 +147,9 @@ def hashed_units(docs: DataFrame, every: int = EVERY, least: int = LEAST, id_col
 
 
 def repeated_spans(docs: DataFrame, every: int = EVERY, least: int = LEAST, passage: int = PASSAGE, id_column: str = "doc_id",
-                   text_column: str = "text") -> DataFrame:
+                   text_column: str = "text", among: int | None = None) -> DataFrame:
     """(doc_id, version, removed): the repeated stretches of each document that has any, as an array of (start, end)."""
-    found = stored(hashed_units(docs, every, least, id_column, text_column), "passages")
+    found = stored(hashed_units(docs, every, least, id_column, text_column, among), "passages")
     both = later_occurrences(found, "digest", ["doc_id", "version", "at"]).groupBy("doc_id", "version").agg(
         F.collect_set(F.struct("at", "start", "end", "words")).alias("units"))  # bounded by the document's text
 
@@ -118,9 +176,9 @@ def stretches(marked: list[dict], passage: int) -> Iterator[tuple[int, int]]:
 
 
 def dedup_passages(docs: DataFrame, every: int = EVERY, least: int = LEAST, passage: int = PASSAGE, id_column: str = "doc_id",
-                   text_column: str = "text") -> DataFrame:
+                   text_column: str = "text", among: int | None = None) -> DataFrame:
     """(doc_id, text, removed, kept) for every row: the text without repeats, and arrays of (start, end) in the original."""
-    spans = stored(repeated_spans(docs, every, least, passage, id_column, text_column), "passages")
+    spans = stored(repeated_spans(docs, every, least, passage, id_column, text_column, among), "passages")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text_column)).alias("version"),
                        F.col(text_column).cast("string").alias("text"))
     same = rows["doc_id"].eqNullSafe(spans["doc_id"]) & (rows["version"] == spans["version"])

@@ -99,7 +99,7 @@ def op8_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op9_passages")
 def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = passages.dedup_passages(read(spark, sf_dir, "documents"))
+    found = passages.dedup_passages(read(spark, sf_dir, "documents"), among=passages.AMONG)
     listed = {c: F.concat_ws(",", F.transform(c, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string")))) for c in ("removed", "kept")}
     return found.withColumn("n_removed", F.size("removed").cast("long")).withColumns(listed)
 

@@ -55,3 +55,13 @@ def test_no_unit_of_a_line_is_longer_than_the_window(spark):
         text = " ".join(rng.choices("for que los the of and sea".split(), k=rng.randint(1, 400)))
         found = passages.all_units(text)
         assert sum(u[3] for u in found) == len(text.split()) and max(u[3] for u in found) <= 2 * passages.AMONG
+
+
+def test_values_between_repeated_labels_stay(spark, tmp_path):
+    labels = ["please enter the family name as it stands in your passport", "please state the whole amount that you would like to receive",
+              "please tell us the place of birth as the register has it", "please sign with the name that the office knows you by"]
+    docs = [(d, "\n".join(x for i, label in enumerate(labels) for x in (label, f"value{d} {i}"))) for d in range(6)]
+    docs += [(-2, "value4 0\nvalue5 2"), (-1, "value5 1\nvalue4 3")]
+    got = query(spark, tmp_path, docs)
+    for d in range(6):
+        assert [got[d].text.count(f"value{d} {i}") for i in range(4)] == [1] * 4

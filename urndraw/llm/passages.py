@@ -10,7 +10,8 @@ of the original text.
 
 With ``among``, as the query has it, a line is cut instead before the pair of words with the smallest hash of every ``among``
 neighbouring pairs, so no unit of a long line is longer than that and copies are cut alike but for their ends. Every unit is numbered and
-has a digest.
+has a digest, and a short one's takes in the unit before it: a stretch holds nothing that did not occur earlier. Both ends
+together lose 2 * (among + 1) + least - 2 words at most, so a passage of 52 words with the same lines always has 20 left.
 
 Defined cases: null text has no units and stays null; null ids rank first; rows equal in id and text are one document listed
 more than once and are all treated alike; repeats inside one document count like any other.
@@ -79,9 +80,9 @@ def units(text: str, every: int = EVERY, least: int = LEAST) -> list[tuple[int,
     return out
 
 
-def all_units(text: str, among: int = AMONG) -> list[tuple[int, int, int, int]]:
+def all_units(text: str, among: int = AMONG, least: int = LEAST) -> list[tuple[int, int, int, int]]:
     """(digest, start, end, words) of every unit: each line, cut before the pair of words whose hash is the smallest of ``among``
-    neighbouring pairs."""
+    neighbouring pairs. The digest of a unit of fewer than ``least`` words takes in the unit before it, on an earlier line too."""
     import xxhash
 
     words, starts, ends, lines, line = [], [], [], [], 0
@@ -109,11 +110,12 @@ def all_units(text: str, among: int = AMONG) -> list[tuple[int, int, int, int]]:
             seen = np.lib.stride_tricks.sliding_window_view(pairs, among)[some, ::-1]
             cut[some + among - 1 - seen.argmin(axis=1)] = True  # the rightmost of equal ones
     edges = [*np.flatnonzero(cut).tolist(), len(words)]
-    out = []
+    out, before = [], ""
     for a, b in zip(edges, edges[1:]):
         unit = " ".join(words[a:b])
-        digest = xxhash.xxh3_64_intdigest(unit.encode("utf-8", "surrogatepass"))
+        digest = xxhash.xxh3_64_intdigest((unit if b - a >= least else f"{before}\n{unit}").encode("utf-8", "surrogatepass"))
         out.append((digest - (1 << 63), starts[a], ends[b - 1], b - a))
+        before = unit
     return out
 
 
@@ -135,7 +137,7 @@ def hashed_units(docs: DataFrame, every: int = EVERY, least: int = LEAST, id_col
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [units(t, every, least) if among is None else all_units(t, among) for t in batch.column(2).to_pylist()]
+            found = [units(t, every, least) if among is None else all_units(t, among, least) for t in batch.column(2).to_pylist()]
             of = pa.array([i for i, f in enumerate(found) for _ in f], pa.int64())
             digests, starts, ends, words = zip(*(u for f in found for u in f)) if len(of) else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import bpe, covertree, langid, linededup, packing, passages, pii, secrets, simhash, topk
+from urndraw.llm import bpe, covertree, langid, linededup, packing, passages, pii, secrets, simhash, topk, variants
 from urndraw.llm.common import read
 
 BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
@@ -137,3 +137,8 @@ FROM scores QUALIFY rank <= 20
 """)
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op11_variants")
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(read(spark, sf_dir, "documents"))

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import bpe, covertree, langid, linededup, packing, passages, pii, secrets, simhash, topk, variants
+from urndraw.llm import alignment, bpe, covertree, langid, linededup, packing, passages, pii, secrets, simhash, topk, variants
 from urndraw.llm.common import read
 
-BYTE_BPE, WORD_BPE = "byte_bpe_50k.json", "word_bpe_49k.json"
+BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -142,3 +142,8 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_variants")
 def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(read(spark, sf_dir, "documents"))
+
+
+@query("op13_alignment")
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), vocabulary(PIECE_BPE))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urndraw.llm import alignment, bpe, covertree, langid, linededup, packing, passages, pii, secrets, simhash, topk, variants
+from urndraw.llm import alignment, bpe, covertree, langid, linededup, ngrams, packing, passages, pii, secrets, simhash, topk, variants
 from urndraw.llm.common import read
 
 BYTE_BPE, WORD_BPE, PIECE_BPE = "byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -144,6 +144,13 @@ def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.variants(read(spark, sf_dir, "documents"))
 
 
+@query("op12_ngrams")
+def op12_ngrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 2
+    found = ngrams.score(read(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query("op13_alignment")
 def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), vocabulary(PIECE_BPE))

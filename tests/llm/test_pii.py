@@ -133,3 +133,19 @@ def test_query_equals_the_patterns(spark):
         assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for k, _, _ in base) for kind in pii.KINDS]
         assert set(filter(None, listed.split(","))) <= set(r.spans.split(","))
+
+
+def test_spans_across_the_blocks_of_a_long_region():
+    class Finds:
+        """Says that each run of x is a phone, wherever a block puts it."""
+
+        names = ["phone"]
+
+        def decode(self, text, blocked):
+            import re
+
+            return [("phone", m.start(), m.end()) for m in re.finditer("x+", text)]
+
+    for at in (19_980, 19_996, 20_000, 20_004, 39_999):
+        text = "1" * at + "x" * 9 + "1" * (60_000 - at)
+        assert [s for s in pii.search(text, Finds())[1] if s[0] == "phone"] == [("phone", at, at + 9)]

@@ -20,6 +20,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from pyspark.sql import functions as F
 from urndraw.llm.common import hashed_share, text_or_empty
 
 ORDERS = (4, 3, 2, 1)
+#: Labelled documents that are learned from, the same number for each language.
 SAMPLE_ROWS = 4000
-ENTRIES = 100_000
 UNKNOWN = "und"
 #: Unseen words whose scores a task keeps.
 UNSEEN = 100_000
@@ -103,14 +104,18 @@ class Model:
         return self.languages[best], float(shares[best] / shares.sum())
 
 
-def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = ENTRIES, id_column: str = "doc_id",
-          text_column: str = "text", label_column: str = "lang") -> Model:
-    """Fit on the rows of ``docs`` with an id and a label; the caller leaves out what must not be seen."""
+def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, id_column: str = "doc_id", text_column: str = "text",
+          label_column: str = "lang") -> Model:
+    """Fit on the rows of ``docs`` with an id and a label, about ``sample_rows`` of them in equal shares for the labels, so that
+    a rare language is learned as well as a frequent one; the caller leaves out what must not be seen. Every word and n-gram of these
+    rows is kept."""
     rows = docs.select(F.col(id_column).cast("string").alias("id"), F.col(label_column).cast("string").alias("lang"),
                        text_or_empty(text_column).alias("text")).where("id is not null and lang is not null")
-    total = rows.count()
-    if total > sample_rows:
-        rows = rows.where(hashed_share(total, sample_rows, "id", "text"))
+    # one row for each language
+    totals = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy("lang").collect()
+    if sum(r["n"] for r in totals) > sample_rows:
+        wanted = max(1, sample_rows // len(totals))
+        rows = rows.where(reduce(lambda found, r: found | ((F.col("lang") == r["lang"]) & hashed_share(r["n"], wanted, "id", "text")), totals, F.lit(False)))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,8 +136,8 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = ENTRIE
 
     counted = rows.mapInArrow(count, "lang string, order int, gram string, n long").groupBy("order", "gram", "lang").agg(F.sum("n").alias("n"))
     # words of one language are told apart by their order, not by how many there are of them
-    per_gram = counted.groupBy("order", "gram").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-    kept = per_gram.orderBy(F.desc("all"), "order", "gram").limit(entries).select("order", "gram", F.map_keys("by").alias("langs"), F.map_values("by").alias("counts")).toArrow()
+    per_gram = counted.groupBy("order", "gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
+    kept = per_gram.select("order", "gram", F.map_keys("by").alias("langs"), F.map_values("by").alias("counts")).toArrow()
     sums = counted.groupBy("order", "lang").agg(F.sum("n").alias("n")).collect()
     columns = (kept.column(c).to_pylist() for c in ("order", "gram", "langs", "counts"))
     rows = [(order, gram, lang, n) for order, gram, langs, counts in zip(*columns) for lang, n in zip(langs, counts)]
@@ -140,7 +145,7 @@ def train(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, entries: int = ENTRIE
 
 
 def predict(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(doc_id, lang_pred, score) for every row; ``model`` is sent to the executors once, at most its entry bound in size."""
+    """(doc_id, lang_pred, score) for every row; ``model`` is sent to the executors once, as large as the words of its labelled sample."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,6 +36,8 @@ EPOCHS = 12
 MARGIN = 2.0
 #: Characters of context on either side of an anchor, and tokens whose spans are scored together.
 CONTEXT, BLOCK = 40, 2000
+#: Characters that a block of a long region sees on either side of its own.
+AROUND = 2000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _domain = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -349,10 +351,13 @@ def search(text: str, model: SemiCrf | None) -> tuple[list[tuple[str, int, int]]
     blocked = [(s, e) for _, s, e in base]
     added = []
     for a, b in regions(text):
-        for at in range(a, b, 10 * BLOCK):  # a region longer than this is cut: one of digits alone, say
-            stop = min(b, at + 10 * BLOCK)
-            near = [(s - at, min(e, stop) - at) for s, e in blocked if s < stop and e > at]
-            added += [(k, s + at, e + at) for k, s, e in model.decode(text[at:stop], near)]
+        # a region longer than a block, one of digits alone, say: blocks see what is around them and keep the spans that start in them
+        for at in range(a, b, 10 * BLOCK):
+            low, high = max(a, at - AROUND), min(b, at + 10 * BLOCK + AROUND)
+            near = [(max(s, low) - low, min(e, high) - low) for s, e in blocked if s < high and e > low]
+            for kind, start, end in model.decode(text[low:high], near):
+                if at <= low + start < at + 10 * BLOCK and low + start >= (added[-1][2] if added else 0):
+                    added.append((kind, low + start, low + end))
     rank = {k: i for i, k in enumerate(KINDS)}
     return base, sorted(base + added, key=lambda s: (rank[s[0]], s[1], s[2]))
 

@@ -78,7 +78,7 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(_listed("base"), 256).alias("base_sha256"), _listed("spans").alias("spans"))
 
 
-# A line is filled if anything but blanks is in it; a match is two neighbouring filled lines that stood earlier.
+# A line is filled if anything but blanks is in it; a match is two neighbouring filled lines, or one of 20 words, that stood earlier.
 @query("op8_linededup", r"""
 WITH lines AS (
   SELECT doc_id, i, parts[i] AS line, trim(parts[i], ' ' || chr(9) || chr(13) || chr(12) || chr(11)) AS bare
@@ -86,6 +86,9 @@ WITH lines AS (
 filled AS (SELECT *, lead(bare) OVER w AS next_bare, lead(i) OVER w AS next_i FROM lines WHERE bare <> '' WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
 matches AS (
   SELECT doc_id, i, next_i FROM (SELECT *, min(row(doc_id, i)) OVER (PARTITION BY bare, next_bare) AS earliest FROM filled WHERE next_bare IS NOT NULL)
+  WHERE row(doc_id, i) > earliest
+  UNION ALL SELECT doc_id, i, i FROM (SELECT *, min(row(doc_id, i)) OVER (PARTITION BY bare) AS earliest FROM filled
+    WHERE len(regexp_extract_all(bare, '[^ \t\r\f\v]+')) >= 20)
   WHERE row(doc_id, i) > earliest),
 gone AS (SELECT DISTINCT l.doc_id, l.i FROM lines l JOIN matches m ON m.doc_id = l.doc_id AND l.i BETWEEN m.i AND m.next_i)
 SELECT d.doc_id, CASE WHEN any_value(d.text) IS NULL THEN NULL ELSE coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE g.i IS NULL), '') END AS text,

@@ -244,11 +244,13 @@ def lowest_of_each(docs: DataFrame, near: DataFrame, id_column: str = "doc_id",
         return [F.coalesce(column.cast("string"), F.lit("")).alias("__id")]  # an id that every row has
 
     chosen = stored(counted.join(best, same).select(*key(counted["doc_id"]), counted["version"].alias("__version"), "times"), "simhash")
-    rows = docs.withColumns({"__id": key(F.col(f"`{id_column}`").cast("long"))[0], "__version": F.xxhash64(text_or_empty(text_column))})
+    # the row itself is one column, so that its own names are of no matter
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       key(F.col(f"`{id_column}`").cast("long"))[0], F.xxhash64(text_or_empty(f"`{text_column}`")).alias("__version"))
     at = ["__id", "__version"]
     # by sorting at every size, so that the need for disk grows evenly with the input
     out = rows.join(chosen.where("times = 1").hint("merge"), at, "left_semi")
     several = chosen.where("times > 1")
     if several.limit(1).count():
         out = out.unionByName(rows.join(several, at, "left_semi").dropDuplicates(at))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return out.select("row.*")

@@ -14,7 +14,7 @@ from urndraw.operators import audit, grid, health, marts, quality, serving, stat
 from urndraw.plans import q_quality
 from urndraw.sources import tables
 from urndraw.spec import DAILY, STATION
-from urndraw.streaming import jobs
+from urndraw.streaming import jobs, late
 
 
 def events(spark, *rows):
@@ -207,14 +207,40 @@ def test_incident_history(spark):
     assert seen(health.incident_events(ticks(spark, TICKS))) == EXPECTED
 
 
-def test_incident_stream_keeps_state_between_batches(spark, tmp_path):
-    incoming = f"file://{tmp_path}/ticks"
-    schema = "key long, seq long, ts timestamp_ntz, healthy boolean"
-    for first, last in ((0, 3), (3, 7), (7, 10)):
-        ticks(spark, TICKS[first:last], first).coalesce(1).write.mode("append").parquet(incoming)
-        source = spark.readStream.schema(schema).parquet(incoming)
-        out = jobs.drain_to(jobs.incident_stream(source), f"file://{tmp_path}/out", f"file://{tmp_path}/checkpoint")
+def drained(spark, tmp_path, batches, delay="2 hours"):
+    """Batches of ticks (seq, time, healthy, delivered), each drained by a query that starts anew from its checkpoint."""
+    incoming, out = f"file://{tmp_path}/ticks", None
+    schema = "key long, seq long, ts timestamp_ntz, healthy boolean, delivered boolean"
+    with jobs.managed_state(spark):
+        for rows in batches:
+            given = spark.createDataFrame([(1, s, datetime.datetime.fromisoformat(t), h, d) for s, t, h, d in rows], schema)
+            given.coalesce(1).write.mode("append").parquet(incoming)
+            source = spark.readStream.schema(schema).parquet(incoming)
+            out = jobs.drain_to(jobs.incident_stream(source, delay), f"file://{tmp_path}/out", f"file://{tmp_path}/checkpoint")
+    return out
+
+
+def state_rows(spark, tmp_path, variable):
+    with jobs.managed_state(spark):
+        return spark.read.format("statestore").option("stateVarName", variable).load(f"file://{tmp_path}/checkpoint").count()
+
+
+END = (99, "2026-07-25 00:00:00", None, True)
+
+
+def test_incident_stream_takes_late_ticks_in_their_order_and_ends_without_state(spark, tmp_path):
+    rows = [(i, t, h, True) for i, (t, h) in enumerate(TICKS)]
+    # the tick of 13:15 comes after that of 13:25, the one of 13:45 after a restart
+    batches = [[rows[0], rows[2]], [rows[1], rows[4]], [rows[3], rows[5], rows[6]], rows[7:], [END]]
+    out = drained(spark, tmp_path, batches)
     assert seen(out) == EXPECTED
+    assert state_rows(spark, tmp_path, "incident") == 0
+
+
+def test_an_open_incident_is_the_only_state(spark, tmp_path):
+    rows = [(i, t, h, True) for i, (t, h) in enumerate(TICKS)]
+    assert seen(drained(spark, tmp_path, [rows[:4], [END]])) == EXPECTED[:2]
+    assert state_rows(spark, tmp_path, "incident") == 1
 
 
 def test_stream_ingest_equals_batch(spark, tmp_path):
@@ -278,8 +304,74 @@ def test_failed_notifications_are_sent_again(spark, tmp_path):
     want = [("2026-07-16 13:05:00", "warning", "alert"), ("2026-07-16 13:15:00", "warning", "alert"), ("2026-07-16 13:45:00", "critical", "alert"),
             ("2026-07-16 13:50:00", "critical", "alert"), ("2026-07-16 14:00:00", "healthy", "recovery"), ("2026-07-16 14:15:00", "healthy", "recovery")]
     assert seen(health.incident_events(rows)) == want
-    for first in range(0, 8, 3):
-        rows.where((F.col("seq") >= first) & (F.col("seq") < first + 3)).coalesce(1).write.mode("append").parquet(f"file://{tmp_path}/ticks")
-        source = spark.readStream.schema(rows.schema).parquet(f"file://{tmp_path}/ticks")
-        out = jobs.drain_to(jobs.incident_stream(source), f"file://{tmp_path}/out", f"file://{tmp_path}/checkpoint")
-    assert seen(out) == want
+    listed = [(i, t, h, d) for i, (t, h, d) in enumerate(UNDELIVERED)]
+    assert seen(drained(spark, tmp_path, [listed[:3], listed[3:6], listed[6:], [END]])) == want
+
+
+def test_a_merge_reads_only_the_months_it_touches(spark, tmp_path):
+    path = f"file://{tmp_path}/silver"
+    tables.write_silver(fact(spark), path)
+    assert tables.stored_months(spark, path) == [(2026, 1), (2026, 2), (2026, 3)]
+    new = fact(spark, shift=1000).where("month(draw_date) = 2")
+    assert tables.months_of(new) == [(2026, 2)]
+    old = tables.read_months(spark, path, new.schema, tables.months_of(new))
+    plan = old._jdf.queryExecution().executedPlan().toString()
+    assert "(year" in plan and "= 2026" in plan and "month" in plan.split("PartitionFilters")[1] and len(old.inputFiles()) <= 3
+    for month in (1, 3):  # other months can not be read at all, and the merge does not notice
+        for name in glob.glob(f"{tmp_path}/silver/year=2026/month={month}/*.parquet"):
+            with open(name, "wb") as f:
+                f.write(b"no table")
+            os.unlink(os.path.join(os.path.dirname(name), f".{os.path.basename(name)}.crc"))
+    tables.upsert_silver(spark, path, new, KEY, ["seq"], f"file://{tmp_path}/staging")
+    stored = tables.read_months(spark, path, new.schema, [(2026, 2)])
+    assert stored.exceptAll(new).count() == 0 and stored.count() == new.count()
+
+
+def test_the_state_of_dedupe_levels_off_and_nothing_is_lost(spark, tmp_path):
+    incoming, path, checkpoint = f"file://{tmp_path}/in", f"file://{tmp_path}/seen", f"file://{tmp_path}/checkpoint"
+    schema = "lake long, draw_date date, seq long, at timestamp"
+    sizes, day = [], datetime.date(2024, 1, 1)
+    for batch in range(10):
+        at = datetime.datetime(2024, 5, 1) + datetime.timedelta(hours=batch)
+        rows = [(lake, day + datetime.timedelta(days=batch), 100 * batch + lake, at) for lake in range(20)]
+        rows += [(lake, day, lake, at) for lake in range(5)] + [(50 + batch, datetime.date(2020, 2, 1 + batch), batch, at)]  # repeats, and very late ones
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(incoming)
+        source = spark.readStream.schema(schema).parquet(incoming)
+        seen_rows = jobs.first_seen(source, ["lake", "draw_date"], ["seq"], path, checkpoint, arrived="at", delay="2 hours")
+        sizes.append(spark.read.format("statestore").load(checkpoint).count())
+    assert sizes[-1] <= sizes[4] and max(sizes) < 130
+    got = sorted((r.lake, r.draw_date, r.seq) for r in seen_rows.collect())
+    want = [(lake, day + datetime.timedelta(days=b), 100 * b + lake) for b in range(10) for lake in range(20)]
+    assert got == sorted(want + [(50 + b, datetime.date(2020, 2, 1 + b), b) for b in range(10)])
+
+
+def test_late_draws_in_a_stream_equal_a_rebuild_and_leave_other_months_alone(spark, tmp_path):
+    counts = grid.draw_counts(observations(spark, synthetic(200)), STATION)
+    day = F.date_diff("draw_date", F.lit(START))
+    incoming, root, checkpoint = f"file://{tmp_path}/in", f"file://{tmp_path}/lake", f"file://{tmp_path}/checkpoint"
+    arrivals = [counts.where((day < 150) & ~day.isin(40, 41, 90)), counts.where(day >= 150), counts.where(day == 90), counts.where(day.isin(40, 41))]
+    whole = grid.loto_daily(counts, STATION, "r1")
+    files = {}
+    for i, arrival in enumerate(arrivals):
+        arrival.coalesce(1).write.mode("append").parquet(incoming)
+        late.follow(spark.readStream.schema(counts.schema).parquet(incoming), root, STATION, "r1", checkpoint)
+        files[i] = {m: set(glob.glob(f"{tmp_path}/lake/fact/year=2026/month={m}/*.parquet")) for m in range(1, 8)}
+    stored = tables.read_silver(spark, f"{root}/fact").select(whole.columns)
+    assert stored.exceptAll(whole).count() == 0 and whole.exceptAll(stored).count() == 0
+    assert files[2][1] == files[0][1] and files[2][3] == files[0][3] and files[2][4] != files[0][4]  # day 90 is in April
+
+
+def test_effects_of_a_late_draw_end(spark, tmp_path):
+    counts = grid.draw_counts(observations(spark, synthetic(330)), STATION)
+    day = F.date_diff("draw_date", F.lit(START))
+    # every number comes up on some day after the late one
+    every = counts.select("station_code", "draw_date", "station_name").distinct().where(day.isin(70, 71)).withColumn(
+        "number_2d", F.explode(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.lpad(i.cast("string"), 2, "0")))).withColumn("frequency", F.lit(1).cast("long"))
+    counts = counts.where(~day.isin(70, 71)).unionByName(every.select(counts.columns))
+    root = f"file://{tmp_path}/lake"
+    late.take_draws(spark, root, counts.where(day != 35), STATION, "r1", f"file://{tmp_path}/staging")
+    written = late.take_draws(spark, root, counts.where(day == 35), STATION, "r1", f"file://{tmp_path}/staging")
+    assert written == [(2026, m) for m in range(2, 6)] or written == [(2026, m) for m in range(2, 7)]
+    whole = grid.loto_daily(counts, STATION, "r1")
+    stored = tables.read_silver(spark, f"{root}/fact").select(whole.columns)
+    assert stored.exceptAll(whole).count() == 0 and whole.exceptAll(stored).count() == 0

@@ -12,7 +12,7 @@ from urndraw.plans.q_parse import daily_pages
 from urndraw.plans.registry import cte, query
 from urndraw.sources import tables
 from urndraw.spec import DRAW_CUTOFFS, RECENT_DRAWS
-from urndraw.streaming import jobs
+from urndraw.streaming import jobs, late
 from urndraw.workdir import fresh_dir
 
 KEY = ["draw_date", "station_code", "prize_group", "prize_order"]
@@ -442,13 +442,26 @@ def _(spark, sf):
 
 @query("incident_stream", _INCIDENTS)
 def _(spark, sf):
-    """Ticks arrive in time order, in files of some days each; two of them make a micro-batch."""
-    incoming = fresh_dir(spark, "ticks")
+    """Ticks in files of some days each, two of them late; a last one only carries time. Drained twice, as after a restart."""
+    incoming, out, checkpoint = fresh_dir(spark, "ticks"), fresh_dir(spark, "incidents"), fresh_dir(spark, "checkpoint")
     ticks = health_ticks(spark, sf)
-    for first in range(8):
-        ticks.where(F.expr(f"least(7, day(ts) div 4) = {first}")).write.mode("append").parquet(incoming)
-    source = spark.readStream.schema(ticks.schema).option("maxFilesPerTrigger", 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).parquet(incoming)
-    return jobs.drain_to(jobs.incident_stream(source), fresh_dir(spark, "incidents"), fresh_dir(spark, "checkpoint"))
+    part = F.expr("least(7, day(ts) div 4)")
+    # of every tenth tick it is only known one part later
+    part = F.when(F.col("seq") % 10 == 0, part + 1).otherwise(part)
+    clock = ticks.agg(F.max("ts").alias("ts")).select(
+        F.lit(-1).cast("long").alias("key"), F.lit(-1).cast("long").alias("seq"), (F.col("ts") + F.expr("INTERVAL 30 DAYS")).alias("ts"),
+        F.lit(None).cast("boolean").alias("healthy"), F.lit(True).alias("delivered"))
+    events = None
+    with jobs.managed_state(spark):
+        for arrival in (range(5), range(5, 9)):
+            for first in arrival:
+                ticks.where(part == first).write.mode("append").parquet(incoming)
+            if 8 in arrival:
+                clock.write.mode("append").parquet(incoming)
+            source = spark.readStream.schema(ticks.schema).option(
+                "maxFilesPerTrigger", 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))).parquet(incoming)
+            events = jobs.drain_to(jobs.incident_stream(source, "20 days"), out, checkpoint)
+    return events
 
 
 @query("stream_dedupe", """
@@ -495,6 +508,22 @@ def _(spark, sf):
         F.sum("rolling_7_frequency").alias("r7"), F.sum("rolling_90_frequency").alias("r90"), F.count(F.lit(1)).alias("draws"))
 
 
+@query("late_stream", """
+SELECT station_code, number_2d, CAST(sum(draws_since_previous) AS BIGINT) AS gap_sum, CAST(sum(calendar_days_since_previous) AS BIGINT) AS day_sum,
+  CAST(sum(rolling_7_frequency) AS BIGINT) AS r7, CAST(sum(rolling_90_frequency) AS BIGINT) AS r90, count(*) AS draws FROM loto GROUP BY ALL""")
+def _(spark, sf):
+    """Most draws first, then two arrivals of late ones, each drained by the stream."""
+    every = counts_of(spark, sf)
+    kind = F.when((F.dayofyear("draw_date") % 50 == 0) & (F.year("draw_date") >= 1999) & (F.substring("station_code", 2, 9).cast("long") % 2 == 0), F.month("draw_date") % 2 + 1).otherwise(0)
+    incoming, root, checkpoint = fresh_dir(spark, "draws"), fresh_dir(spark, "lake"), fresh_dir(spark, "checkpoint")
+    for arrival in range(3):
+        every.where(kind == arrival).write.mode("append").parquet(incoming)
+        late.follow(spark.readStream.schema(every.schema).parquet(incoming), root, STATION, RUN_ID, checkpoint)
+    return tables.read_silver(spark, f"{root}/fact").groupBy("station_code", "number_2d").agg(
+        F.sum("draws_since_previous").alias("gap_sum"), F.sum("calendar_days_since_previous").alias("day_sum"),
+        F.sum("rolling_7_frequency").alias("r7"), F.sum("rolling_90_frequency").alias("r90"), F.count(F.lit(1)).alias("draws"))
+
+
 @query("scalar_functions", """
 SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), CAST(greatest(3, length(CAST(p_partkey AS VARCHAR))) AS INTEGER), '0') AS padded, right(CAST(p_partkey AS VARCHAR), 2) AS tail,
   regexp_full_match(p_name, '[0-9]+') AS digits, lower(trim(p_name)) AS name, CAST(p_partkey % 10 + (p_partkey // 10) % 10 + (p_partkey // 100) % 10 + (p_partkey // 1000) % 10 + (p_partkey // 10000) % 10 + (p_partkey // 100000) % 10 AS BIGINT) AS digit_total,

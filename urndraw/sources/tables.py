@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
@@ -43,22 +44,56 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], seq: list[str]) -> D
     return both.groupBy(*keys).agg(winner.alias("_row")).select(*keys, "_row.*")
 
 
-def upsert_silver(spark: SparkSession, path: str, new: DataFrame, keys: list[str], seq: list[str], staging: str) -> None:
-    """Merge ``new`` into the stored months it touches.
+def months_of(rows: DataFrame, date: str = "draw_date") -> list[tuple[int, int]]:
+    """The (year, month) pairs of ``rows``, in order; no more of them than months the data span."""
+    found = rows.where(F.col(date).isNotNull()).select(F.year(date).alias("y"), F.month(date).alias("m")).distinct().collect()
+    return sorted((r["y"], r["m"]) for r in found)
 
-    The merge goes to a staging folder first, overwriting what an earlier merge left there, and replaces the months from
-    it, so a lost job can be repeated: the same batch gives the same rows. An empty batch changes nothing.
-    """
-    months = new.select(F.year("draw_date").alias("year"), F.month("draw_date").alias("month")).distinct()
-    schema = StructType([*new.schema.fields, StructField("year", IntegerType()), StructField("month", IntegerType())])
-    old = spark.read.schema(schema).parquet(path).join(months, ["year", "month"], "left_semi").drop("year", "month")
-    _by_month(upsert(old, new, keys, seq)).write.mode("overwrite").partitionBy("year", "month").parquet(staging)
+
+def in_months(months: list[tuple[int, int]]) -> Column:
+    """Rows of these partitions, as literals that prune the scan before it starts."""
+    years: dict[int, list[int]] = {}
+    for year, month in months:
+        years.setdefault(year, []).append(month)
+    return reduce(lambda found, y: found | ((F.col("year") == y) & F.col("month").isin(years[y])), sorted(years), F.lit(False))
+
+
+def stored_months(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """The months that have a partition at ``path``, from the names of its folders."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/year=*/month=*")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place) or []
+    names = [(f.getPath().getParent().getName(), f.getPath().getName()) for f in found]
+    return sorted((int(y.removeprefix("year=")), int(m.removeprefix("month="))) for y, m in names)
+
+
+def read_months(spark: SparkSession, path: str, schema: StructType, months: list[tuple[int, int]]) -> DataFrame:
+    """The stored rows of these months, without their partition columns."""
+    fields = [f for f in schema.fields if f.name not in ("year", "month")]
+    whole = StructType([*fields, StructField("year", IntegerType()), StructField("month", IntegerType())])
+    return spark.read.schema(whole).parquet(path).where(in_months(months)).select(*[f.name for f in fields])
+
+
+def replace_months(spark: SparkSession, rows: DataFrame, path: str, staging: str) -> None:
+    """Put ``rows`` in the place of the months they have, by way of a staging folder: what is read from ``path`` may be part of them."""
+    _by_month(rows).write.mode("overwrite").partitionBy("year", "month").parquet(staging)
+    schema = StructType([*rows.schema.fields, StructField("year", IntegerType()), StructField("month", IntegerType())])
     (
         spark.read.schema(schema).parquet(staging).hint("rebalance", "year", "month")
         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
     )
 
 
+def upsert_silver(spark: SparkSession, path: str, new: DataFrame, keys: list[str], seq: list[str], staging: str) -> None:
+    """Merge ``new`` into the stored months it touches; the files of all other months are neither read nor changed.
+
+    The merge goes to a staging folder first, overwriting what an earlier merge left there, and replaces the months from
+    it, so a lost job can be repeated: the same batch gives the same rows. An empty batch changes nothing.
+    """
+    months = months_of(new)
+    if months:
+        replace_months(spark, upsert(read_months(spark, path, new.schema, months), new, keys, seq), path, staging)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether anything is stored at ``path``, asked of the file system it names."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

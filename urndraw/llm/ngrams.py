@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from urndraw.llm.blocks import CHARS, packed, unpacked
+from urndraw.llm.blocks import packed, unpacked
 from urndraw.llm.common import stored, text_or_empty
 
 ORDER = 2
@@ -41,6 +41,8 @@ PRIOR = 8.0
 STEPS = 256
 #: Tokens of the corpus for each slice of a level.
 SLICE = 4_000_000
+#: Characters of text after which a block of documents ends.
+CHARS = 20_000_000
 #: Marks that no word can be: before and behind a document.
 START, END = b" ", b"\n"
 U = np.uint64
@@ -171,6 +173,15 @@ class Level:
         return cls(*coded, np.frombuffer(data, np.uint16, offset=at))
 
 
+def sorted_order(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    """The order by context, then word; ids below 2 ** 32 are compared as one number."""
+    if not len(word) or not context.any():
+        return np.argsort(word, kind="stable")
+    if max(int(context.max()), int(word.max())) < 1 << 32:
+        return np.argsort((context << U(32)) | word, kind="stable")
+    return np.lexsort((word, context))
+
+
 def step_of(probability: np.ndarray, steps: int = STEPS) -> np.ndarray:
     """1 for a probability of one, one more for each step below; 0 is kept for what is not stored."""
     return np.minimum(1 + np.rint(-np.log10(probability) * steps), 65535).astype(np.uint16)
@@ -256,7 +267,9 @@ class Grams:
         mixed = (self.context * U(0x9E3779B97F4A7C15)) ^ (self.word * U(0xC2B2AE3D27D4EB4F))
         mixed = (mixed ^ (mixed >> U(29))) * U(0xBF58476D1CE4E5B9)
         part = ((mixed >> U(32)) % U(count)).astype(np.int64)
-        return np.lexsort((self.word, self.context, part)), np.cumsum(np.bincount(part, minlength=count))
+        order = sorted_order(self.context, self.word)
+        narrow = part[order].astype(np.uint16 if count <= 1 << 16 else np.int64)
+        return order[np.argsort(narrow, kind="stable")], np.cumsum(np.bincount(part, minlength=count))
 
     def asks(self, block: int, count: int) -> Iterator[tuple]:
         order, ends = self.slices(count)
@@ -313,7 +326,7 @@ def _answers(level: int, last: bool, prior: float):
         counts, totals = (np.concatenate([unpacked(a[c], np.int64) for a in asked]) for c in ("counts", "totals"))
         context, word = np.concatenate(contexts), np.concatenate(words)
         learned = np.flatnonzero(counts > 0)
-        order = learned[np.lexsort((word[learned], context[learned]))]
+        order = learned[sorted_order(context[learned], word[learned])]
         new = np.r_[True, (np.diff(context[order]) != 0) | (np.diff(word[order]) != 0)][:len(order)]
         starts = np.flatnonzero(new)
         summed = np.add.reduceat(counts[order], starts) if len(starts) else np.zeros(0, np.int64)

@@ -20,7 +20,7 @@ def canonical_draws(fact: DataFrame, profile: Profile, per_row: int = 1000) -> D
         F.min("station_order").alias("station_order"),
         F.max("station_name").alias("station_name"),
         F.min("station_url").alias("station_url"),
-    ] if profile.grain else []
+    ] if profile.named else []
 
     def values(name: str) -> Column:
         own = F.filter("_places", lambda p: p["prize_group"] == name)
@@ -59,7 +59,7 @@ def draw_results(draws: DataFrame, profile: Profile, run_id: str, per_row: int =
         )
 
     entries = F.flatten(F.array(*[prizes(name, width) for name, _, width in profile.groups]))
-    station = ["station_code", "station_order", "station_name", "station_url"] if profile.grain else []
+    station = [*profile.grain, *(["station_order", "station_name", "station_url"] if profile.named else [])]
     long = draws.select("draw_date", *station, "source_url", F.explode(entries).alias("p")).select(
         "draw_date", *station, "p.prize_group", "p.prize_order", "p.prize_width", "source_url",
         F.expr("try_cast(p.value as bigint)").alias("full_number"),
@@ -130,7 +130,7 @@ def special_prize(fact: DataFrame, profile: Profile) -> DataFrame:
     last = F.right(text, F.lit(1)).cast("long")
     return fact.where(F.col("prize_group") == "special").select(
         "draw_date",
-        *(["station_code", "station_name"] if profile.grain else []),
+        *profile.grain, *(["station_name"] if profile.named else []),
         "full_number",
         "formatted_number",
         tail_2d(text).alias("tail_2d"),

@@ -24,7 +24,7 @@ def draw_counts(rows: DataFrame, profile: Profile, number: str = "number_2d") ->
     prize rows before the shuffle, a plain count is hashed. A draw under two names gives one row
     per name; ``fold_draws`` adds them up.
     """
-    names = ["station_name"] if profile.grain else []
+    names = ["station_name"] if profile.named else []
     return rows.groupBy(*profile.keys, *names, F.col(number).alias("number_2d")).agg(F.count(F.lit(1)).alias("frequency"))
 
 
@@ -34,7 +34,7 @@ def fold_draws(counts: DataFrame, profile: Profile) -> DataFrame:
     Folded rows lie together by station, which serves every later window by (station, number) and group by (station,
     date): the rows spread out to 100 per draw never cross the network. Without stations they lie by date.
     """
-    names = [F.max("station_name").alias("station_name")] if profile.grain else []
+    names = [F.max("station_name").alias("station_name")] if profile.named else []
     entries = F.col("_entries")
     numbers = F.array_distinct(F.transform(entries, lambda e: e["number_2d"]))
 
@@ -115,7 +115,7 @@ def loto_daily(counts: DataFrame, profile: Profile, run_id: str) -> DataFrame:
     rolling = {f"rolling_{n}_frequency": trailing_sum(profile, n) for n in ROLLING_WINDOWS}
     return history.withColumns(rolling).select(
         "draw_date",
-        *(["station_code", "station_name"] if profile.grain else []),
+        *profile.grain, *(["station_name"] if profile.named else []),
         "number_2d",
         "frequency",
         (F.col("frequency") > 0).alias("appeared"),

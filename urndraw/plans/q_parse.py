@@ -154,7 +154,7 @@ def _(spark, sf):
 # ---- pages with one column per station
 
 
-def _station_markup(spark, sf, fallback):
+def station_markup(spark, sf, fallback):
     v, m, day, key = F.col("v"), F.col("m"), F.col("selected_date"), F.col("page_id")
     labels = {**{f"prize{n}": (f"G.{n}" if fallback else str(n)) for n in range(1, 9)}, "special": "ĐB"}
     rows = []
@@ -215,19 +215,19 @@ def _per_station(rows):
 
 @query("page_station_table", _station_sql("0, 1, 2, 3, 4", "'https://site.example/x/xsst' || CAST(i AS VARCHAR) || '-p1.html'"))
 def _(spark, sf):
-    return _per_station(parse.page_station_table(parse.station_tables(_station_markup(spark, sf, False))))
+    return _per_station(parse.page_station_table(parse.station_tables(station_markup(spark, sf, False))))
 
 
 @query("page_fallback_table", _station_sql("0, 1, 2, 3, 4, 8", "'https://second.example/xsst' || CAST(i AS VARCHAR)"))
 def _(spark, sf):
-    return _per_station(parse.page_fallback_table(parse.fallback_tables(_station_markup(spark, sf, True))))
+    return _per_station(parse.page_fallback_table(parse.fallback_tables(station_markup(spark, sf, True))))
 
 
 @query("station_violations", """
 SELECT page_id, 'ST' || CAST(i.range AS VARCHAR) AS station_code, unnest(['prize8_count', 'special_width']) AS violation FROM pg, range(3) i WHERE v IN (0, 1, 2, 3, 4) AND page_id % 3 = 0""")
 def _(spark, sf):
     """Parsed station draws, a third of them damaged: a value too many and one digit too few."""
-    rows = parse.page_station_table(parse.station_tables(_station_markup(spark, sf, False)))
+    rows = parse.page_station_table(parse.station_tables(station_markup(spark, sf, False)))
     damaged = F.col("page_id") % 3 == 0
     short = rows.withColumn("value", F.when(damaged & (F.col("prize_group") == "special"), F.substring("value", 2, 9)).otherwise(F.col("value")))
     more = short.where(damaged & (F.col("prize_group") == "prize8")).withColumn("prize_order", F.lit(2).cast("long"))
@@ -239,7 +239,7 @@ def _(spark, sf):
 SELECT page_id, CASE v WHEN 5 THEN 'station_columns' WHEN 6 THEN 'station_code_unknown' WHEN 7 THEN 'table_missing' WHEN 8 THEN 'no_draw_notice'
   WHEN 9 THEN 'date_mismatch' END AS problem FROM pg""")
 def _(spark, sf):
-    return parse.station_tables(_station_markup(spark, sf, False)).select("page_id", "problem")
+    return parse.station_tables(station_markup(spark, sf, False)).select("page_id", "problem")
 
 
 # ---- two sources

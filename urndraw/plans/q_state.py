@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from urndraw.binding import RUN_ID, STATION, control_events, draw_fact, health_ticks, observations, sessions, table
+from urndraw.binding import CUSTOMERS_PER_STATION, RUN_ID, STATION, control_events, draw_fact, health_ticks, observations, sessions, table
 from urndraw.functions import dates, text
-from urndraw.operators import backfill, descriptive, facts, grid, health, marts, serving, state
+from urndraw.functions.once import with_once
+from urndraw.functions.text import zero_pad
+from urndraw.operators import descriptive, facts, grid, health, lakes, marts, serving, state
 from urndraw.plans.q_facts import FACT_COLUMNS, counts_of, lake_states, month_summary
-from urndraw.plans.q_parse import daily_pages
+from urndraw.plans.q_parse import daily_pages, station_markup, value
 from urndraw.plans.registry import cte, query
 from urndraw.sources import tables
 from urndraw.spec import DRAW_CUTOFFS, RECENT_DRAWS
@@ -142,25 +144,110 @@ def _(spark, sf):
     return out
 
 
+# Lakes are groups of customers; every order's page is read, and a lake may have several pages for a date.
+cte("pagelakes", """
+SELECT page_id, selected_date, v, m, status, reason, 'S' || CAST(o_custkey // 300 AS VARCHAR) AS lake, (page_id // 70) % 5 AS damage
+FROM pg JOIN outcome USING (page_id) JOIN orders ON o_orderkey = page_id""")
+cte("pagedays", """
+SELECT lake, selected_date AS draw_date, count(*) AS pages,
+  arg_min(row(status, reason), row(CASE status WHEN 'success' THEN 0 WHEN 'no_draw' THEN 1 ELSE 2 END, page_id)) AS o
+FROM pagelakes WHERE dayofyear(selected_date) % 4 <> 0 GROUP BY ALL""")
+cte("pagestored", "SELECT lake, count(*) * 27 AS stored FROM pagedays WHERE o[1] = 'success' GROUP BY 1")
+
+
+def in_lakes(spark, sf, pages):
+    lake = F.concat(F.lit("S"), F.expr(f"o_custkey div {CUSTOMERS_PER_STATION}").cast("string"))
+    return pages.join(table(spark, sf, "orders").select(F.col("o_orderkey").alias("page_id"), lake.alias("lake")), "page_id")
+
+
+def with_decisions(spark, root, done):
+    """The outcome per lake and date with the release that the lake's pointer names and its stored rows, read back."""
+    released = lakes.read_published(spark, root, "fact-draw-result").groupBy("lake").agg(F.count(F.lit(1)).alias("released_rows"))
+    pointers = lakes.latest_pointers(spark, root).select("lake", F.col("run_id").alias("published_run"))
+    return done.join(pointers, "lake", "left").join(released, "lake", "left").withColumn(
+        "released_rows", F.coalesce("released_rows", F.lit(0).cast("long")))
+
+
 @query("backfill", """
-SELECT p.selected_date AS draw_date, o.status, o.reason, CASE WHEN o.status = 'success' THEN 27 ELSE 0 END AS prize_rows, 'publish' AS decision, 'run-0005' AS published_run,
-  (SELECT count(*) * 27 FROM pg JOIN outcome USING (page_id) WHERE status = 'success' AND page_id IN (SELECT min(page_id) FROM pg GROUP BY selected_date) AND dayofyear(selected_date) % 4 <> 0) AS stored_rows
-FROM pg p JOIN outcome o USING (page_id) WHERE p.page_id IN (SELECT min(page_id) FROM pg GROUP BY selected_date) AND dayofyear(p.selected_date) % 4 <> 0""")
-def _(spark, sf):
-    """One page per date; a quarter of the dates are closed by an earlier run and a quarter failed in it."""
-    root = fresh_dir(spark, "lake")
-    pages = daily_pages(spark, sf)
-    first = table(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("d")).agg(F.min("o_orderkey").alias("page_id"))
-    pages = pages.join(first.select("page_id"), "page_id", "left_semi").withColumn("url", F.lit("https://site.example/day.html"))
-    kind = F.dayofyear("d") % 4
-    first.where(kind < 2).select(
-        F.lit("given").alias("lake"), F.col("d").alias("draw_date"), F.when(kind == 0, "success").otherwise("failed").alias("status"),
-        F.lit("run-0004").alias("run_id"), F.lit("2002-01-01").cast("timestamp_ntz").alias("updated_at"), F.col("page_id").alias("seq"),
+SELECT d.lake, draw_date, pages, o[1] AS status, o[2] AS reason, false AS repaired, CAST(CASE WHEN o[1] = 'success' THEN 27 ELSE 0 END AS BIGINT) AS prize_rows,
+  CASE WHEN stored IS NULL THEN 'nothing_stored' WHEN old THEN 'older_than_published' ELSE 'publish' END AS decision,
+  CASE WHEN old THEN 'run-0003' WHEN stored IS NOT NULL THEN 'run-0005' END AS published_run, CASE WHEN old THEN 0 ELSE coalesce(stored, 0) END AS released_rows
+FROM (SELECT *, CAST(substr(lake, 2) AS BIGINT) % 5 = 4 AS old FROM pagedays) d LEFT JOIN pagestored s ON s.lake = d.lake""")
+def _(spark, sf):
+    """A quarter of the dates are closed by an earlier run, a quarter failed in it, and some lakes have a newer release."""
+    root = fresh_dir(spark, "lakes")
+    pages = in_lakes(spark, sf, daily_pages(spark, sf)).withColumn("url", F.lit("https://site.example/day.html"))
+    kind = F.dayofyear("draw_date") % 4
+    days = in_lakes(spark, sf, table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("page_id"), F.to_date("o_orderdate").alias("draw_date"))).select("lake", "draw_date").distinct()
+    days.where(kind < 2).select(
+        "lake", "draw_date", F.when(kind == 0, "success").otherwise("failed").alias("status"), F.lit("run-0004").alias("run_id"),
+        F.lit("2002-01-01").cast("timestamp_ntz").alias("updated_at"), F.lit(0).cast("long").alias("seq"),
         F.lit(None).cast("string").alias("detail")).write.json(f"{root}/state/run=run-0004")
-    done = backfill.backfill(spark, root, pages, "given", "run-0005", "2002-02-01T00:00:00", "2002-02-01")
-    pointer = tables.latest_pointer(spark, root).select(F.col("run_id").alias("published_run")).scalar()
-    release = tables.read_release(spark, root, ["fact-draw-result"])["fact-draw-result"]
-    return done.withColumns({"published_run": pointer, "stored_rows": release.agg(F.count(F.lit(1))).scalar()})
+    old = days.where(F.substring("lake", 2, 9).cast("long") % 5 == 4).select("lake").distinct()
+    old.select("lake", F.lit("run-0003").alias("run_id"), F.lit("2030-01-01").cast("date").alias("target_date"),
+               F.lit("2001-12-01").cast("timestamp_ntz").alias("published_at")).write.json(f"{root}/manifests/lakes")
+    return with_decisions(spark, root, lakes.backfill_daily(spark, root, pages, "run-0005", "2002-02-01T00:00:00", "2002-02-01"))
+
+
+cte("pagefirst", """
+SELECT lake, selected_date AS draw_date, count(*) AS pages,
+  arg_min(row(page_id, v, damage), row(CASE WHEN v <= 4 THEN 0 WHEN v = 8 THEN 1 ELSE 2 END, page_id)) AS o FROM pagelakes GROUP BY ALL""")
+cte("pagesecond", "SELECT lake, selected_date AS draw_date, min(page_id) AS page_id FROM pagelakes WHERE (v <= 4 OR v = 8) AND day(selected_date) % 10 <> 0 GROUP BY ALL")
+cte("pagerepair", """
+SELECT f.lake, f.draw_date, pages, CASE WHEN o[2] = 8 THEN 'no_draw_notice' WHEN o[2] > 4 THEN CASE o[2] WHEN 5 THEN 'station_columns' WHEN 6 THEN 'station_code_unknown' WHEN 7 THEN 'table_missing' ELSE 'date_mismatch' END
+  WHEN o[3] = 0 THEN NULL WHEN o[3] = 3 THEN 'not_recoverable' WHEN s.page_id IS NULL THEN 'second_source_missing'
+  WHEN s.page_id <> o[1] OR o[3] = 4 THEN 'values_differ' END AS reason, o[2] <= 4 AND o[3] > 0 AS damaged, o[1] AS first_page
+FROM pagefirst f LEFT JOIN pagesecond s ON s.lake = f.lake AND s.draw_date = f.draw_date""")
+
+
+def damaged_sources(spark, sf):
+    """Pages of both sources: a fifth each with a cut special prize, a placeholder, a short value, and sources that differ.
+
+    The second source lacks every tenth day of a month.
+    """
+    damage, key = F.expr("(page_id div 70) % 5"), F.col("page_id")
+    at = {name: (gi, w) for gi, (name, _, w) in enumerate(STATION.groups)}
+
+    def shown(name, station):
+        gi, width = at[name]
+        return value(key, gi, 1, width, station)
+
+    special = shown("special", 0)
+    cut, blot, short = damage.isin(1, 4), damage == 2, damage == 3
+    old = F.when(cut, special).when(blot, shown("prize4", 1)).when(short, shown("prize5", 0)).otherwise("none")
+    new = F.when(cut, F.right(special, F.lit(5))).when(blot, ".....").when(short, F.substring(shown("prize5", 0), 2, 9)).otherwise("none")
+    wrong = F.when(damage == 4, zero_pad((special.cast("long") + 1) % 1000000, 6)).otherwise(special)
+
+    def put(html, before, was, now, after):
+        return F.replace(html, F.concat(F.lit(before), was, F.lit(after)), F.concat(F.lit(before), now, F.lit(after)))
+
+    # the value stands after the tag, or after the blank that some pages have there
+    first = with_once(station_markup(spark, sf, False), {"old": old, "new": new}).withColumn(
+        "html", put(put("html", ">", F.col("old"), F.col("new"), "</span>"), ";", F.col("old"), F.col("new"), "</span>")).drop("old", "new")
+    second = with_once(station_markup(spark, sf, True).where("day(selected_date) % 10 <> 0"), {"old": special, "new": wrong}).withColumn(
+        "html", put("html", "<td>", F.col("old"), F.col("new"), "</td>")).drop("old", "new")
+    # both sources are stored, as fetched pages would be
+    path = fresh_dir(spark, "pages")
+    for name, pages in (("first", first), ("second", second)):
+        in_lakes(spark, sf, pages).write.parquet(f"{path}/{name}")
+    return spark.read.parquet(f"{path}/first"), spark.read.parquet(f"{path}/second")
+
+
+@query("backfill_stations", """
+SELECT r.lake, draw_date, pages, CASE WHEN reason IS NULL THEN 'success' WHEN reason = 'no_draw_notice' THEN 'no_draw' ELSE 'failed' END AS status, reason,
+  reason IS NULL AND damaged AS repaired, CAST(CASE WHEN reason IS NULL THEN 54 ELSE 0 END AS BIGINT) AS prize_rows,
+  CASE WHEN n > 0 THEN 'publish' ELSE 'nothing_stored' END AS decision, CASE WHEN n > 0 THEN 'run-0005' END AS published_run, n * 54 AS released_rows,
+  CASE WHEN reason IS NULL THEN array_to_string(list_transform([0, 1, 2], i -> lpad(CAST(((first_page + 1) * 7919 + i * 15485863 + 8 * 104729 + 1299709) % 1000000 AS VARCHAR), 6, '0')), ',') END AS specials
+FROM pagerepair r JOIN (SELECT lake, count(*) FILTER (reason IS NULL) AS n FROM pagerepair GROUP BY 1) t ON t.lake = r.lake""")
+def _(spark, sf):
+    """Published special prizes are whole again, whether the page had them or the second source."""
+    root = fresh_dir(spark, "lakes")
+    done = lakes.backfill_stations(spark, root, *damaged_sources(spark, sf), "run-0005", "2002-02-01T00:00:00", "2002-02-01")
+    specials = lakes.read_published(spark, root, "fact-draw-result").where("prize_group = 'special'").groupBy("lake", "draw_date").agg(
+        F.array_sort(F.collect_list(F.struct("station_order", "formatted_number"))).alias("s"))
+    listed = specials.select("lake", "draw_date", F.array_join(F.transform("s", lambda p: p["formatted_number"]), ",").alias("specials"))
+    return with_decisions(spark, root, done).join(listed, ["lake", "draw_date"], "left")
 
 
 @query("publish_gate", """

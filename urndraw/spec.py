@@ -95,6 +95,16 @@ class Profile:
     def keys(self) -> list[str]:
         return [*self.grain, "draw_date"]
 
+    @property
+    def named(self) -> bool:
+        """Whether its draws belong to stations, which have a name, an order and a page."""
+        return "station_code" in self.grain
+
+    @property
+    def per_lake(self) -> Profile:
+        """The same draws where several lakes are handled side by side: a draw also has its lake."""
+        return Profile(self.name, ("lake", *self.grain), self.groups)
+
     @property
     def prize_count(self) -> int:
         return sum(count for _, count, _ in self.groups)

@@ -238,7 +238,7 @@ def damaged_sources(spark, sf):
 SELECT r.lake, draw_date, pages, CASE WHEN reason IS NULL THEN 'success' WHEN reason = 'no_draw_notice' THEN 'no_draw' ELSE 'failed' END AS status, reason,
   reason IS NULL AND damaged AS repaired, CAST(CASE WHEN reason IS NULL THEN 54 ELSE 0 END AS BIGINT) AS prize_rows,
   CASE WHEN n > 0 THEN 'publish' ELSE 'nothing_stored' END AS decision, CASE WHEN n > 0 THEN 'run-0005' END AS published_run, n * 54 AS released_rows,
-  CASE WHEN reason IS NULL THEN array_to_string(list_transform([0, 1, 2], i -> lpad(CAST(((first_page + 1) * 7919 + i * 15485863 + 8 * 104729 + 1299709) % 1000000 AS VARCHAR), 6, '0')), ',') END AS specials
+  CASE WHEN reason IS NULL THEN array_to_string(list_transform([0, 1, 2], lambda i: lpad(CAST(((first_page + 1) * 7919 + i * 15485863 + 8 * 104729 + 1299709) % 1000000 AS VARCHAR), 6, '0')), ',') END AS specials
 FROM pagerepair r JOIN (SELECT lake, count(*) FILTER (reason IS NULL) AS n FROM pagerepair GROUP BY 1) t ON t.lake = r.lake""")
 def _(spark, sf):
     """Published special prizes are whole again, whether the page had them or the second source."""

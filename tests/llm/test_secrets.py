@@ -80,6 +80,24 @@ def test_scan_with_rule_labels(spark):
     assert not one_class.kept
 
 
+def test_dictionary_counts_the_whole_table(spark):
+    from collections import Counter
+
+    rng = random.Random(11)
+    vocabulary = ["w" + "".join(rng.choices("abcdefgh", k=rng.randint(1, 16))) for _ in range(3000)]
+    texts = [" ".join(rng.choices(vocabulary, weights=[1 / (i + 1) for i in range(3000)], k=40)) for _ in range(300)]
+    texts += ["Späte " * 200, "spät" * 5, "ab 12", "", None, "x" * 100_000]  # the frequent word of the last rows is in one row only
+    docs = spark.createDataFrame([(t, 1) for t in texts], "text string, word int")
+    counts = Counter(w for t in texts for w in re.split(r"[\W\d_]+", (t or "").lower()) if 3 <= len(w) <= 15)
+    total = sum(counts.values())
+    for share in (1 / 50, 1 / 1000):
+        want = sorted(w for w, n in counts.items() if n >= share * total)
+        assert secrets.dictionary(docs, share) == want and len(want) <= 1 / share
+        assert secrets.dictionary(docs.unionAll(docs).repartition(7), share) == want
+    assert "späte" in secrets.dictionary(docs, 1 / 100)
+    assert secrets.dictionary(docs.limit(0)) == []
+
+
 def test_query_finds_every_candidate(spark):
     from urndraw.llm.queries import QUERIES
 

@@ -6,8 +6,9 @@ words beside it. The forest is trained on labelled findings: a table of findings
 those that stand in an assignment to a credential's name (1) or that are numbers, digests or words by their surroundings (0); each
 of these counts once with and once without its neighbours, so that the shape has to tell as well.
 
-Everything is DataFrame functions and the JVM's forest. Candidates are found in one pass without a shuffle and stored; the
-dictionary and the training set are bounded samples, ``DICTIONARY`` words from about ``SAMPLE_ROWS`` rows and ``FINDINGS`` findings.
+Everything is DataFrame functions and the JVM's forest. Candidates are found in one pass without a shuffle and stored. The
+dictionary counts the whole table and has the words with a share of ``WORD_SHARE`` or more, so no more than ``1 / WORD_SHARE`` of
+them however large the table; a table listed twice has the same ones. The training set is ``FINDINGS`` labelled findings.
 
 Defined cases: null text has no candidates; rows that repeat give their findings each; null ids and null paths are kept; with labels
 of one class alone no forest is trained and a finding is kept unless its own label is 0. Starts count code points from 0.
@@ -27,7 +28,8 @@ CREDENTIAL = r"(?i)(token|secret|passw(or)?d|pwd|api[_-]?key|access[_-]?key|auth
 DIGEST = r"(?i)\b(sha-?(1|224|256|384|512)|md5|crc(32)?|commit|checksum|digest|hash|uuid|guid|etag|integrity|fingerprint)\b"
 ORDINARY_PATH = r"(?i)(test|example|sample|mock|fixture|demo|vendor|lock)"
 ASSIGNED = r"""[=:]\s*["'`]?$"""
-DICTIONARY, SAMPLE_ROWS, FINDINGS = 1000, 2000, 4000
+WORD_SHARE = 1 / 4000
+FINDINGS = 4000
 TREES, DEPTH, SEED = 30, 8, 17
 FEATURES = ["f_length", "f_digits", "f_upper", "f_lower", "f_symbols", "f_transitions", "f_distinct", "f_hex", "f_number",
             "f_coverage", "f_longest_letters", "f_path", "f_credential", "f_digest", "f_assigned", "f_quoted", "f_words_left"]
@@ -61,15 +63,15 @@ def candidates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "t
         F.concat(F.expr("substring(word, inner + 1 + length(candidate))"), F.col("after")).alias("right"))
 
 
-def dictionary(docs: DataFrame, words: int = DICTIONARY, sample_rows: int = SAMPLE_ROWS, id_column: str = "doc_id",
-               text_column: str = "text") -> list[str]:
-    """The most frequent words of three to fifteen letters in a sample, at most ``words`` of them."""
-    texts = docs.select(F.col(id_column).cast("string").alias("id"), text_or_empty(text_column).alias("text"))
-    total = docs.count()
-    if total > sample_rows:
-        texts = texts.where(hashed_share(total, sample_rows, "id", "text"))
-    each = texts.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where(F.length("word").between(3, 15))
-    return [r["word"] for r in each.groupBy("word").count().orderBy(F.desc("count"), "word").limit(words).collect()]
+def dictionary(docs: DataFrame, share: float = WORD_SHARE, text_column: str = "text") -> list[str]:
+    """Words of three to fifteen letters that are at least ``share`` of all such words of the table: never more than ``1 / share``.
+
+    Every word of every row is counted; the counts are combined in each task before their shuffle and stored.
+    """
+    each = docs.select(F.explode(F.split(F.lower(text_or_empty(text_column)), r"[^\p{L}]+")).alias("word"))
+    counts = stored(each.where(F.length("word").between(3, 15)).groupBy("word").count(), "dictionary")
+    total = counts.agg(F.sum("count")).first()[0] or 0
+    return sorted(r["word"] for r in counts.where(F.col("count") >= share * total).select("word").collect())
 
 
 def described(found: DataFrame, words: list[str]) -> DataFrame:
@@ -143,7 +145,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, id_column: str = "d
          path_column: str = "source") -> DataFrame:
     """(doc_id, path, start, candidate, left, right, features, score, kept) for every candidate."""
     found = stored(candidates(docs, id_column, text_column, path_column), "secrets")
-    found = described(found, dictionary(docs, id_column=id_column, text_column=text_column))
+    found = described(found, dictionary(docs, text_column=text_column))
     if labelled is None:
         labelled = found.withColumn("label", rule_label()).where("label is not null")
     return judged(found, train(labelled))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote, urlsplit
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
@@ -13,6 +17,7 @@ from urndraw.spec import Profile
 
 GOLD_FORMATS = ("parquet", "csv")
 ROWS_PER_FILE = 5_000_000
+CHUNK = 8 << 20
 
 
 def _by_month(df: DataFrame) -> DataFrame:
@@ -127,14 +132,36 @@ def write_release(
     return base
 
 
+def _open(path: str):
+    from pyarrow import fs
+
+    if path.startswith("file:"):
+        return open(unquote(urlsplit(path).path), "rb")
+    system, place = fs.FileSystem.from_uri(path)
+    return system.open_input_stream(place)
+
+
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in batches:
+        found = []
+        for path in rows["path"]:
+            digest = hashlib.sha256()
+            with _open(path) as data:
+                while chunk := data.read(CHUNK):
+                    digest.update(chunk)
+            found.append(digest.hexdigest())
+        yield rows.assign(sha256=found)
+
+
 def stored_objects(spark: SparkSession, base: str) -> DataFrame:
-    """Key, size and checksum of every data file below a folder, hashed on the executors."""
+    """Key, size and checksum of every data file below a folder, hashed on the executors.
+
+    Files are listed without their content and read in chunks of ``CHUNK`` bytes, so a file of any length takes the same memory. Tasks
+    get files by their lengths; one without a byte is no object. Paths are opened by their scheme: local ones, and those of stores that Arrow knows.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(base)
-    return files.select(
-        F.regexp_extract("path", r"/(gold/releases/.*)$", 1).alias("key"),
-        F.col("length").alias("size"),
-        F.sha2("content", 256).alias("sha256"),
-    )
+    hashed = files.select("path", F.col("length").alias("size")).mapInPandas(_digests, "path string, size long, sha256 string")
+    return hashed.select(F.regexp_extract("path", r"/(gold/releases/.*)$", 1).alias("key"), "size", "sha256")
 
 
 def write_manifest(spark: SparkSession, root: str, run_id: str, target_date: str, published_at: str, replace: bool = False) -> None:

@@ -14,7 +14,7 @@ CHOSEN = """
 freq_by_draw total_frequency frequency_map loto_daily loto_daily_no_station draw_results canonical_draws legacy_long dim_date
 special_by_weekday bi_star_join station_set_mismatch pending_dates status_fact_alignment column_stats heatmap_10x10 head_tail_table
 station_metadata migration_summary rolling_frequency last_appearing_delta_special current_gap momentum dup_rows_all hot_cold
-layout_equality quality_report quality_report_no_station history_audit audit_samples release_integrity walk_forward model_grid
+layout_equality quality_report quality_report_no_station history_audit audit_samples release_integrity release_findings release_status release_prechecks walk_forward model_grid
 bootstrap_ci compare_models parse_outcome page_station_table page_outlines_given_pages match_fallback reconcile upsert_silver publish_gate
 manifest_match draw_records draw_contract shard_contract release_contract compact_payload explorer_page health_flags incident_fsm
 incident_stream stream_ingest stream_dedupe late_recompute src_release_read src_wide_json sink_gold sink_shards scalar_functions

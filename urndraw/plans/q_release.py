@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urndraw.binding import table
-from urndraw.operators import releases
+from urndraw.operators import audit, prechecks, releases
 from urndraw.plans.registry import cte, query
+from urndraw.sources.footers import footers
 from urndraw.workdir import fresh_dir
 
 CUSTOMERS_PER_LAKE = 20
@@ -123,3 +124,54 @@ LEFT JOIN (SELECT lake, count(*) AS objects,
     sum(CASE WHEN k % 197 = 0 THEN 0 ELSE size + CASE WHEN k % 193 = 0 THEN 1 ELSE 0 END END) AS bytes FROM rref GROUP BY 1) r ON r.lake = l.lake""")
 def _(spark, sf):
     return releases.inspect(described_lakes(spark, sf), _kept(spark))[0]
+
+
+def _write_lakes(spark, sf, root):
+    """A release per lake with the orders of its customers in every table, and its manifest; some damaged."""
+    n = F.col("n")
+    orders = table(spark, sf, "orders").select(F.expr(f"o_custkey div {CUSTOMERS_PER_LAKE}").alias("n"), F.col("o_orderkey").cast("string").alias("k")).withColumn(
+        "lake", F.concat(F.lit("L"), n.cast("string")))
+    for at, (name, place) in enumerate(prechecks.TABLES.items()):
+        gone = n % LACKING[name] == LACKING[name] - 1
+        columns = sorted(audit.REQUIRED[name])
+        for rows, kept in ((orders.where(~gone), columns), (orders.where(gone), columns[2:])):
+            whole = rows.where((n % 7 != 6) | (n % 4 != at)).repartition("lake")
+            whole.select("lake", *[F.col("k").alias(c) for c in kept], F.lit(place).alias("extra")).write.mode("append").partitionBy("lake").parquet(f"{root}/{place}")
+        broken = orders.where((n % 7 == 6) & (n % 4 == at)).repartition("lake")
+        broken.select("lake", "k").write.mode("append").partitionBy("lake").text(f"{root}/{place}")
+    text = F.to_json(F.struct(
+        F.lit(2).alias("schema_version"), F.when(n % 11 != 10, "r1").alias("run_id"), F.lit("2026-07-16").alias("target_date"),
+        F.when(n % 10 == 9, "soon").otherwise("2026-07-16T20:00:00").alias("published_at")))
+    pointers = orders.groupBy("lake", "n").agg(F.count(F.lit(1))).where(n % 17 != 16)
+    pointers.select("lake", F.when(n % 13 == 12, F.substring(text, 1, 30)).otherwise(text).alias("value")).repartition("lake").write.partitionBy("lake").text(f"{root}/latest")
+    return orders.select("lake")
+
+
+#: One lake in so many lacks columns of this table.
+LACKING = {"dim-date": 5, "fact": 6, "loto": 8, "dim-station": 9}
+_USABLE = "n % 17 <> 16 AND n % 13 <> 12 AND n % 11 <> 10 AND n % 10 <> 9"
+
+
+def _prechecks_sql():
+    lakes = f"(SELECT DISTINCT o_custkey // {CUSTOMERS_PER_LAKE} AS n FROM orders)"
+    parts = [
+        "SELECT n, 'latest-manifest-missing' AS code, 'manifests/latest' AS subject, NULL AS lacking FROM lakes WHERE n % 17 = 16",
+        f"SELECT n, 'latest-manifest-invalid', 'manifests/latest', NULL FROM lakes WHERE n % 17 <> 16 AND NOT ({_USABLE})"]
+    for at, (name, place) in enumerate(prechecks.TABLES.items()):
+        lacking = ", ".join(sorted(audit.REQUIRED[name])[:2])
+        parts += [
+            f"SELECT n, 'gold-parquet-invalid', '{place}', NULL FROM lakes WHERE {_USABLE} AND n % 7 = 6 AND n % 4 = {at}",
+            f"SELECT n, '{name}-columns-missing', '{place}', '{lacking}' FROM lakes WHERE {_USABLE} AND (n % 7 <> 6 OR n % 4 <> {at}) AND n % {LACKING[name]} = {LACKING[name] - 1}"]
+    rows = f"(WITH lakes AS {lakes} " + " UNION ALL ".join(parts) + ")"
+    return f"SELECT 'L' || CAST(n AS VARCHAR) AS lake, code, subject, lacking FROM {rows}"
+
+
+@query("release_prechecks", _prechecks_sql())
+def _(spark, sf):
+    root = fresh_dir(spark, "prechecks")
+    lakes = _write_lakes(spark, sf, root)
+    manifests = spark.read.option("wholetext", True).schema("value string, lake string").text(f"{root}/latest").select("lake", F.col("value").alias("text"))
+    files = footers(spark, root).where(~F.col("path").contains("/latest/")).withColumns({
+        "lake": F.regexp_extract("path", "/lake=([^/]+)/", 1), "run_id": F.lit("r1"), "table": F.regexp_extract("path", "/([^/]+)/lake=", 1)})
+    return prechecks.findings(lakes, manifests, files).select(
+        "lake", "code", "subject", F.when(F.col("code").endswith("-columns-missing"), F.col("detail")).alias("lacking"))

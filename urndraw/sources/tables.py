@@ -132,13 +132,14 @@ def write_release(
     return base
 
 
-def _open(path: str):
+def opened(path: str):
+    """The bytes of a file by its scheme: local ones, and those of stores that Arrow knows."""
     from pyarrow import fs
 
     if path.startswith("file:"):
         return open(unquote(urlsplit(path).path), "rb")
     system, place = fs.FileSystem.from_uri(path)
-    return system.open_input_stream(place)
+    return system.open_input_file(place)
 
 
 def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -146,7 +147,7 @@ def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found = []
         for path in rows["path"]:
             digest = hashlib.sha256()
-            with _open(path) as data:
+            with opened(path) as data:
                 while chunk := data.read(CHUNK):
                     digest.update(chunk)
             found.append(digest.hexdigest())
@@ -157,7 +158,7 @@ def stored_objects(spark: SparkSession, base: str) -> DataFrame:
     """Key, size and checksum of every data file below a folder, hashed on the executors.
 
     Files are listed without their content and read in chunks of ``CHUNK`` bytes, so a file of any length takes the same memory. Tasks
-    get files by their lengths; one without a byte is no object. Paths are opened by their scheme: local ones, and those of stores that Arrow knows.
+    get files by their lengths; one without a byte is no object.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "part-*").load(base)
     hashed = files.select("path", F.col("length").alias("size")).mapInPandas(_digests, "path string, size long, sha256 string")

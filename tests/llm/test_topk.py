@@ -49,6 +49,22 @@ def test_large_components():
     assert topk.exact(rows, np.array([2.0 ** 20, 1.0])).tolist() == [2 ** 60 + 1, 2 ** 60 + 2]
 
 
+def test_queries_are_searched_together():
+    # the number of steps depends on the queries together, not on each
+    rng = np.random.default_rng(4)
+    values = np.floor(rng.normal(size=(20_000, 64)) * 8)
+    queries = topk.Segments(values[::20])
+    ids, asked = np.arange(20_000), np.arange(0, 20_000, 20)
+    got = list(topk.search(ids, topk.Segments(values), asked, queries, np.full(1000, -(2 ** 63)), 20))
+    assert len(got) == -(-1000 // topk.TOGETHER)
+    for q, found, scores in got[:1]:
+        for one in (0, 40, 2000):
+            product = (values @ values[one]).astype(int)
+            want = [i for i in np.lexsort((ids, -product)) if i != one][:20]
+            assert found[q == one].tolist() == want and scores[q == one].tolist() == product[want].tolist()
+    assert sum(len(found) for _, found, _ in got) == 20_000
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.nearest(empty, F.col("vec_id") % 20 == 0).count() == 0

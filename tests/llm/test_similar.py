@@ -83,6 +83,34 @@ def test_large_roots_are_joined_in_parts(spark, monkeypatch, leaves):
     assert sorted(r.doc_id for r in similar.one_of_each(table).collect()) == slow_kept(docs)
 
 
+@pytest.mark.parametrize("leaves, nearest, weight", [(4, 8, 1 << 21), (2048, 1, 600)])
+def test_no_link_between_different_texts_is_lost(spark, monkeypatch, leaves, nearest, weight):
+    # chains: neighbours are similar, all others only share roots, so no text is a centre and the closest partners may all fail
+    monkeypatch.setattr(similar, "LEAVES", leaves)
+    monkeypatch.setattr(similar, "NEAREST", nearest)
+    monkeypatch.setattr(similar, "SHINGLES", weight)
+    rng = random.Random(8)
+    docs = []
+    for chain in range(6):
+        words = [f"c{chain}w{rng.randrange(10**6)}" for _ in range(420)]
+        docs += [" ".join(words[at:at + 100]) for at in range(0, 320, rng.choice([7, 9, 10]))]
+        docs += [changed(rng, " ".join(words[:100]), rng.randint(4, 7)) for _ in range(12)]
+    rng.shuffle(docs)
+    docs = list(enumerate(docs))
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    assert sorted(r.doc_id for r in similar.one_of_each(table).collect()) == slow_kept(docs)
+
+
+def test_sets_are_compared_whole():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 40, 60)
+    sets = [np.unique(rng.choice(base, rng.integers(1, 60) if i % 2 else 200)) for i in range(40)]
+    a, b = np.triu_indices(40, 1)
+    want = [5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j])) for i, j in zip(a, b)]
+    got = similar.similar_pairs(similar.pa.array([[0], *sets, [0]], similar.pa.list_(similar.pa.int64()))[1:-1], a, b)
+    assert any(want) and got.tolist() == want
+
+
 def test_close_pairs_and_spanning_forest():
     rng = np.random.default_rng(2)
     base = rng.integers(0, 1 << 63, 6, dtype=np.uint64)

@@ -5,6 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from urndraw.operators import prechecks
+from urndraw.plans import q_release
 from urndraw.operators.audit import REQUIRED
 from urndraw.sources.footers import FOOTER, footers
 
@@ -65,3 +66,47 @@ def test_findings_of_a_release(spark, tmp_path):
     none = prechecks.placed(spark.createDataFrame([], FOOTER))
     assert prechecks.findings(lakes, manifests, none).count() == 0 and prechecks.findings(lakes.limit(0), manifests, none).count() == 0
     assert {r.code for r in prechecks.findings(lakes, manifests.withColumn("text", F.lit("{")), files).collect()} == {"latest-manifest-invalid"}
+
+
+def test_each_footer_is_read_once(spark, tmp_path):
+    opened = spark.sparkContext.accumulator(0)
+
+    def read(batches):
+        for rows in batches:
+            opened.add(len(rows))
+            yield rows
+
+    files = spark.createDataFrame([("a", "r1", table, ["x"]) for table in prechecks.TABLES.values()], "lake string, run_id string, table string, columns array<string>")
+    files = files.withColumn("error", F.lit(None).cast("string"))
+    files = files.mapInPandas(read, files.schema)
+    lakes = spark.createDataFrame([("a",)], "lake string")
+    text = '{"schema_version": 2, "run_id": "r1", "target_date": "2026-07-16", "published_at": "2026-07-16T20:00:00"}'
+    manifests = spark.createDataFrame([("a", text)], "lake string, text string")
+    places = iter(range(9))
+
+    def keep(df):
+        path = f"file://{tmp_path}/{next(places)}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    found = prechecks.findings(lakes, manifests, files, keep).collect()
+    assert {r.code for r in found} == {f"{name}-columns-missing" for name in prechecks.TABLES}
+    assert opened.value == len(prechecks.TABLES)
+
+
+def test_a_lake_of_many_batches_is_one_file_in_each_table(spark, tmp_path):
+    tmp = f"{tmp_path}/sf"
+    orders = [(key, customer) for customer in (0, 25, 130) for key in range(customer, customer + 20)] + [(999, None)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp}/orders.parquet")
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, "3")
+    try:
+        q_release._write_lakes(spark, tmp, f"file://{tmp_path}/out")
+    finally:
+        spark.conf.set(batch, before)
+    files = footers(spark, f"file://{tmp_path}/out/gold").collect()
+    assert len(files) == 3 * len(prechecks.TABLES)
+    assert sum(f.row_count or 0 for f in files) == 20 * (len(files) - 1)
+    assert [f.path.rsplit("/", 2)[1] for f in files if f.error] == [list(prechecks.TABLES.values())[6 % 4]]
+    assert len(list((tmp_path / "out" / "latest").iterdir())) == 3

@@ -6,6 +6,7 @@ own, and the columns of its table are judged by the other files; a table none of
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -49,20 +50,29 @@ def placed(files: DataFrame) -> DataFrame:
         "table": part("/gold/releases/run-id=[^/]+/([^/]+?)[.]parquet/")})
 
 
-def findings(lakes: DataFrame, manifests: DataFrame, files: DataFrame) -> DataFrame:
-    """(lake, code, subject, detail) of the seven pre-checks; ``files`` are footers with their lake, run id and table."""
-    pointers = read_manifests(lakes, manifests)
-    current = files.join(pointers.where("state is null").select("lake", "run_id"), ["lake", "run_id"])
+def findings(
+    lakes: DataFrame, manifests: DataFrame, files: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df
+) -> DataFrame:
+    """(lake, code, subject, detail) of the seven pre-checks; ``files`` are footers with their lake, run id and table.
+
+    ``keep`` writes what all checks read and reads it back, so that each manifest and footer is opened once; without one they are
+    opened for each check.
+    """
+    pointers = keep(read_manifests(lakes, manifests))
+    required = [F.when(F.col("table") == table, F.array_except(F.array(*[F.lit(c) for c in sorted(REQUIRED[name])]), "columns"))
+                for name, table in TABLES.items()]
+    judged = files.select(
+        "lake", "run_id", "table", "error", F.when(F.col("error").isNull(), F.coalesce(*required)).alias("lacking"))
+    # what is sound is not kept
+    current = keep(judged.where(F.col("error").isNotNull() | (F.size("lacking") > 0)).join(
+        pointers.where("state is null").select("lake", "run_id"), ["lake", "run_id"]))
     unusable = pointers.where("state is not null").select(
         "lake", F.concat(F.lit("latest-manifest-"), "state").alias("code"), F.lit("manifests/latest").alias("subject"), "detail")
     broken = current.where("error is not null").select(
         "lake", F.lit("gold-parquet-invalid").alias("code"), F.col("table").alias("subject"), F.col("error").alias("detail"))
-    parts = [unusable, broken]
-    for name, table in TABLES.items():
-        required = F.array(*[F.lit(c) for c in sorted(REQUIRED[name])])
-        lacking = current.where((F.col("table") == table) & F.col("error").isNull()).select(
-            "lake", F.explode(F.array_except(required, "columns")).alias("column"))
-        # no more values in a group than columns that are required
-        parts.append(lacking.groupBy("lake").agg(F.array_join(F.array_sort(F.collect_set("column")), ", ").alias("detail")).select(
-            "lake", F.lit(f"{name}-columns-missing").alias("code"), F.lit(table).alias("subject"), "detail"))
-    return reduce(DataFrame.unionByName, parts).select(*FINDING)
+    # no more values in a group than columns that are required
+    codes = F.create_map(*[F.lit(x) for name, table in TABLES.items() for x in (table, f"{name}-columns-missing")])
+    lacking = current.select("lake", "table", F.explode("lacking").alias("column")).groupBy("lake", "table").agg(
+        F.array_join(F.array_sort(F.collect_set("column")), ", ").alias("detail")).select(
+        "lake", codes[F.col("table")].alias("code"), F.col("table").alias("subject"), "detail")
+    return reduce(DataFrame.unionByName, [unusable, broken, lacking]).select(*FINDING)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from urndraw.binding import table
+from urndraw.functions.once import fan_out
 from urndraw.operators import audit, prechecks, releases
 from urndraw.plans.registry import cte, query
 from urndraw.sources.footers import footers
+from urndraw.sources.tables import created, qualified
 from urndraw.workdir import fresh_dir
 
 CUSTOMERS_PER_LAKE = 20
@@ -126,29 +128,94 @@ def _(spark, sf):
     return releases.inspect(described_lakes(spark, sf), _kept(spark))[0]
 
 
+#: One lake in so many lacks columns of this table.
+LACKING = {"dim-date": 5, "fact": 6, "loto": 8, "dim-station": 9}
+
+
+def _tables_of(root):
+    """Writes the tables of each lake, whose rows come one lake after another: a file for each, closed when the next lake begins."""
+    import pyarrow as pa
+    from pyarrow import parquet
+
+    def kind(n, at, name):
+        if n % 7 == 6 and n % 4 == at:
+            return None
+        columns = sorted(audit.REQUIRED[name])
+        return columns[2:] if n % LACKING[name] == LACKING[name] - 1 else columns
+
+    def write(batches):
+        lake, files, count = None, [], 0
+
+        def close():
+            for data, writer, _, _ in files:
+                if writer is not None:
+                    writer.close()
+                data.close()
+
+        for batch in batches:
+            lakes = batch.column("lake").to_numpy(zero_copy_only=False)
+            starts = [0, *[i for i in range(1, len(lakes)) if lakes[i] != lakes[i - 1]], len(lakes)]
+            for first, end in zip(starts, starts[1:]):
+                if first == end:
+                    continue
+                if lakes[first] != lake:
+                    close()
+                    lake, files, n = lakes[first], [], batch.column("n")[first].as_py()
+                    for at, (name, place) in enumerate(prechecks.TABLES.items()):
+                        columns = kind(n, at, name)
+                        data = created(f"{root}/{place}/part-{lake}.{'txt' if columns is None else 'parquet'}")
+                        schema = None if columns is None else pa.schema([(c, pa.string()) for c in [*columns, "extra"]])
+                        files.append((data, schema and parquet.ParquetWriter(data, schema), schema, place))
+                    count += len(files)
+                k = batch.column("k").slice(first, end - first)
+                for data, writer, schema, place in files:
+                    if writer is None:
+                        data.write("".join(f"{x}\n" for x in k.to_pylist()).encode())
+                    else:
+                        writer.write_table(pa.table([k] * (len(schema) - 1) + [pa.array([place] * len(k))], schema=schema))
+        close()
+        yield pa.RecordBatch.from_pydict({"files": [count]})
+
+    return write
+
+
+def _pointers_of(root):
+    def write(batches):
+        import pyarrow as pa
+
+        count = 0
+        for batch in batches:
+            for lake, text in zip(batch.column("lake").to_pylist(), batch.column("value").to_pylist()):
+                with created(f"{root}/part-{lake}.txt") as data:
+                    data.write(f"{text}\n".encode())
+                count += 1
+        yield pa.RecordBatch.from_pydict({"files": [count]})
+
+    return write
+
+
 def _write_lakes(spark, sf, root):
-    """A release per lake with the orders of its customers in every table, and its manifest; some damaged."""
+    """A release per lake with the orders of its customers in every table below ``gold``, and its manifest below ``latest``; some damaged.
+
+    The tasks write the files as they meet the lakes: there are several for each lake, too many to be renamed one by one at the end. A
+    file is named by its lake, as a folder for each file would take most of the time to list.
+    """
     n = F.col("n")
     orders = table(spark, sf, "orders").select(F.expr(f"o_custkey div {CUSTOMERS_PER_LAKE}").alias("n"), F.col("o_orderkey").cast("string").alias("k")).withColumn(
         "lake", F.concat(F.lit("L"), n.cast("string")))
-    for at, (name, place) in enumerate(prechecks.TABLES.items()):
-        gone = n % LACKING[name] == LACKING[name] - 1
-        columns = sorted(audit.REQUIRED[name])
-        for rows, kept in ((orders.where(~gone), columns), (orders.where(gone), columns[2:])):
-            whole = rows.where((n % 7 != 6) | (n % 4 != at)).repartition("lake")
-            whole.select("lake", *[F.col("k").alias(c) for c in kept], F.lit(place).alias("extra")).write.mode("append").partitionBy("lake").parquet(f"{root}/{place}")
-        broken = orders.where((n % 7 == 6) & (n % 4 == at)).repartition("lake")
-        broken.select("lake", "k").write.mode("append").partitionBy("lake").text(f"{root}/{place}")
+    place = qualified(spark, root)
+    named = orders.where("lake is not null")
+    fan_out(named, "lake").sortWithinPartitions("lake").mapInArrow(_tables_of(f"{place}/gold"), "files long").agg(F.sum("files")).first()
     text = F.to_json(F.struct(
         F.lit(2).alias("schema_version"), F.when(n % 11 != 10, "r1").alias("run_id"), F.lit("2026-07-16").alias("target_date"),
         F.when(n % 10 == 9, "soon").otherwise("2026-07-16T20:00:00").alias("published_at")))
-    pointers = orders.groupBy("lake", "n").agg(F.count(F.lit(1))).where(n % 17 != 16)
-    pointers.select("lake", F.when(n % 13 == 12, F.substring(text, 1, 30)).otherwise(text).alias("value")).repartition("lake").write.partitionBy("lake").text(f"{root}/latest")
+    pointers = fan_out(named.select("lake", "n").distinct().where(n % 17 != 16), "lake")
+    pointers = pointers.select("lake", F.when(n % 13 == 12, F.substring(text, 1, 30)).otherwise(text).alias("value"))
+    pointers.mapInArrow(_pointers_of(f"{place}/latest"), "files long").agg(F.sum("files")).first()
     return orders.select("lake")
 
 
-#: One lake in so many lacks columns of this table.
-LACKING = {"dim-date": 5, "fact": 6, "loto": 8, "dim-station": 9}
+NAMED = "/part-([^/]+)[.][a-z]+$"
 _USABLE = "n % 17 <> 16 AND n % 13 <> 12 AND n % 11 <> 10 AND n % 10 <> 9"
 
 
@@ -170,8 +237,9 @@ def _prechecks_sql():
 def _(spark, sf):
     root = fresh_dir(spark, "prechecks")
     lakes = _write_lakes(spark, sf, root)
-    manifests = spark.read.option("wholetext", True).schema("value string, lake string").text(f"{root}/latest").select("lake", F.col("value").alias("text"))
-    files = footers(spark, root).where(~F.col("path").contains("/latest/")).withColumns({
-        "lake": F.regexp_extract("path", "/lake=([^/]+)/", 1), "run_id": F.lit("r1"), "table": F.regexp_extract("path", "/([^/]+)/lake=", 1)})
-    return prechecks.findings(lakes, manifests, files).select(
+    named = F.regexp_extract("_metadata.file_path", NAMED, 1)
+    manifests = spark.read.option("wholetext", True).text(f"{root}/latest").select(named.alias("lake"), F.col("value").alias("text"))
+    files = footers(spark, f"{root}/gold").withColumns({
+        "lake": F.regexp_extract("path", NAMED, 1), "run_id": F.lit("r1"), "table": F.regexp_extract("path", "/([^/]+)/part-[^/]+$", 1)})
+    return prechecks.findings(lakes, manifests, files, _kept(spark)).select(
         "lake", "code", "subject", F.when(F.col("code").endswith("-columns-missing"), F.col("detail")).alias("lacking"))

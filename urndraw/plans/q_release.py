@@ -10,7 +10,7 @@ from urndraw.operators import audit, prechecks, releases
 from urndraw.plans.registry import cte, query
 from urndraw.sources.footers import footers
 from urndraw.sources.tables import created, qualified
-from urndraw.workdir import fresh_dir
+from urndraw.workdir import fresh_dir, keeping
 
 CUSTOMERS_PER_LAKE = 20
 RULE = "public, max-age=300, stale-while-revalidate=60"
@@ -99,12 +99,7 @@ def described_lakes(spark, sf):
 
 
 def _kept(spark):
-    def keep(df):
-        path = fresh_dir(spark, "release")
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
-    return keep
+    return keeping(spark, "release")
 
 
 @query("release_findings", "SELECT lake, issue, key FROM rfind")

@@ -375,3 +375,17 @@ def test_effects_of_a_late_draw_end(spark, tmp_path):
     whole = grid.loto_daily(counts, STATION, "r1")
     stored = tables.read_silver(spark, f"{root}/fact").select(whole.columns)
     assert stored.exceptAll(whole).count() == 0 and whole.exceptAll(stored).count() == 0
+
+
+def test_late_draws_in_the_layout_by_draw_equal_a_rebuild(spark):
+    counts = grid.draw_counts(observations(spark, synthetic(130)), STATION)
+    is_late = F.date_diff("draw_date", F.lit(START)).isin(100, 117)
+    stored = grid.loto_daily(counts.where(~is_late), STATION, "r1", by_draw=True)
+    first = START + datetime.timedelta(days=100)
+    merged = jobs.late_recompute(stored, counts.where(F.col("draw_date") >= F.lit(first)), counts.where(is_late), STATION, "r1")
+    whole, rows = grid.loto_daily(counts, STATION, "r1"), grid.spread_dense(merged, STATION)
+    assert merged.count() * 100 == rows.count() == whole.count()
+    assert rows.exceptAll(whole).count() == 0 and whole.exceptAll(rows).count() == 0
+    for df in (whole, rows):  # a number's history is no window over dense rows
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert not [line for line in plan.splitlines() if "Window" in line and "number_2d" in line]

@@ -389,3 +389,17 @@ def test_late_draws_in_the_layout_by_draw_equal_a_rebuild(spark):
     for df in (whole, rows):  # a number's history is no window over dense rows
         plan = df._jdf.queryExecution().optimizedPlan().toString()
         assert not [line for line in plan.splitlines() if "Window" in line and "number_2d" in line]
+
+
+def test_a_batch_of_draws_writes_its_dense_rows_once(spark, tmp_path):
+    counts = grid.draw_counts(observations(spark, synthetic(70)), STATION)
+    root = f"file://{tmp_path}/lake"
+    day = F.date_diff("draw_date", F.lit(START))
+    for batch in (counts.where(day != 40), counts.where(day == 40)):
+        late.take_draws(spark, root, batch, STATION, "r1", f"file://{tmp_path}/staging")
+    assert os.listdir(tmp_path / "staging") == ["counts"]
+    carried = tables.read_silver(spark, f"{root}/carried")
+    stations, months = counts.select("station_code").distinct().count(), len(tables.months_of(counts))
+    assert carried.count() == stations * months  # not one for each number
+    whole, stored = grid.loto_daily(counts, STATION, "r1"), tables.read_silver(spark, f"{root}/fact")
+    assert stored.select(whole.columns).exceptAll(whole).count() == 0 and stored.count() == whole.count()

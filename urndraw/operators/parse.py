@@ -6,15 +6,17 @@ import datetime
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, lru_cache
 from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from urndraw.functions import markup
-from urndraw.functions.markup import Element
+from urndraw.functions.markup import Element, Page
 from urndraw.functions.text import is_digits
 from urndraw.spec import DAILY, STATION, Profile
 
@@ -30,6 +32,8 @@ FALLBACK_ROW_LABELS = {**{f"G.{n}": f"prize{n}" for n in range(8, 0, -1)}, "ĐB"
 
 #: Elements of a page by their tag.
 Named = dict[str, list[Element]]
+#: Pages whose values a task holds as objects at a time.
+PAGES = 512
 #: Where a page may state its date and region.
 STATED = ("link", "h1", "title")
 
@@ -67,14 +71,18 @@ def _canonical(named: Named) -> str:
     return link.attributes.get("href", "") if link else ""
 
 
-def _result_section(page: Element, source: PageSource) -> Element | None:
+def _result_section(page: Page, source: PageSource) -> Element | None:
     section = source.section
-    for e in page.walk():
-        if e.tag in ("section", "div") and (name := e.attributes.get("id")) and section.fullmatch(name):
+    for e in page.once("sections", lambda: [e for e in page.all("section", "div") if "id" in e.attributes]):
+        if section.fullmatch(e.attributes["id"]):
             return e
     return None
 
 
+def _stated(page: Page) -> Named:
+    return page.once("stated", lambda: _named(page, *STATED))
+
+
 def _named(page: Element, *tags: str) -> Named:
     """The elements with these tags, in document order."""
     found: Named = {}
@@ -108,7 +116,7 @@ def other_region(named: Named, source: PageSource) -> bool:
 
 def notice_of(page: Element) -> str | None:
     """Text of the innermost element that says there was no draw, its first 500 characters."""
-    if not NO_DRAW.search(page.text()):
+    if not NO_DRAW.search(" ".join(page.strings())):  # any white space stands between its words
         return None
     at = page
     while True:
@@ -118,23 +126,22 @@ def notice_of(page: Element) -> str | None:
         at = inner
 
 
-def _parsed(pages: DataFrame, read: Callable[[Element, str], dict], types: dict[str, str]) -> DataFrame:
-    """``pages`` without html and with what ``read`` finds on each, parsed once per page in Arrow batches."""
+def _parsed(pages: DataFrame, read: Callable[[Page, str], dict], types: dict[str, str]) -> DataFrame:
+    """``pages`` without html and with what ``read`` finds on each, parsed once per page in Arrow batches.
+
+    ``read`` looks up once (``Page.once``) which elements it wants, by their tags and classes, and reads texts and addresses of every page.
+    """
     kept = [f for f in pages.schema if f.name not in ("html", *types)]
     names = [f.name for f in kept]
     url = F.col("url") if "url" in names else F.lit("")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), *(f"{n} {t}" for n, t in types.items())])
-    wanted = pages.sparkSession.createDataFrame([], ", ".join(f"{n} {t}" for n, t in types.items())).toArrow().schema
-
-    def one(html: str | None, base: str | None) -> dict:
-        page = markup.parse(html)
-        found = read(page, base or "")
-        page.release()
-        return found
+    wanted = to_arrow_schema(StructType.fromDDL(", ".join(f"{n} {t}" for n, t in types.items())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [one(html, base) for html, base in zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist())]
+        trees = markup.Pages()
+        for batch in (whole.slice(at, PAGES) for whole in batches for at in range(0, whole.num_rows, PAGES)):
+            read_of = zip(batch.column(len(names)).to_pylist(), batch.column(len(names) + 1).to_pylist())
+            found = [read(trees.page(html), base or "") for html, base in read_of]
             columns = [pa.array([f[n] for f in found], wanted.field(n).type) for n in types]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(names)], *columns], [*names, *types])
 
@@ -171,19 +178,23 @@ def group_problem(values: Column, count: int, width: int) -> Column:
 def parse_pages(pages: DataFrame, source: PageSource = PageSource("aa")) -> DataFrame:
     """(page_id, selected_date, html) to one row per page: date, notice, raw and repaired groups, outcome."""
 
-    def read(page: Element, url: str) -> dict:
-        section, named = _result_section(page, source), _named(page, *STATED)
-        by_class: dict[str, list[str]] = {name: [] for name in DAILY.group_names}
-        for element in (section or page).walk():
+    def prizes(part: Element) -> dict[str, list[Element]]:
+        by_class: dict[str, list[Element]] = {name: [] for name in DAILY.group_names}
+        for element in part.walk():
             if "class" not in element.attributes:
                 continue
             for css in element.classes():
                 name = "special" if css == "special-prize" else css
                 if name in by_class and name != "special" or css == "special-prize":
-                    by_class[name].append(element.joined())
+                    by_class[name].append(element)
+        return by_class
+
+    def read(page: Page, url: str) -> dict:
+        section, named = _result_section(page, source), _stated(page)
+        by_class = page.once(("prizes", section), lambda: prizes(section or page))
         return {
             "page_date": represented_date(section, named, source), "other_region": other_region(named, source), "notice": notice_of(page),
-            **{f"raw_{name}": values for name, values in by_class.items()},
+            **{f"raw_{name}": [e.joined() for e in elements] for name, elements in by_class.items()},
         }
 
     raw = _parsed(pages, read, {"page_date": "date", "other_region": "boolean", "notice": "string",
@@ -256,8 +267,11 @@ _TABLE = {"page_date": "date", "other_region": "boolean", "notice": "string", "h
           "links": "array<struct<href:string,url:string,name:string>>", "rows": "array<struct<label:string,cells:array<array<string>>>>"}
 
 
+_joined = lru_cache(maxsize=8192)(urljoin)
+
+
 def _links(anchors: list[Element], url: str) -> list[dict]:
-    return [{"href": a.attributes.get("href", ""), "url": urljoin(url, a.attributes.get("href", "")), "name": a.text()} for a in anchors]
+    return [{"href": a.attributes.get("href", ""), "url": _joined(url, a.attributes.get("href", "")), "name": a.text()} for a in anchors]
 
 
 def _own_rows(table: Element, *parts: str) -> list[Element]:
@@ -272,20 +286,22 @@ def _direct(row: Element, *tags: str) -> list[Element]:
 def station_tables(pages: DataFrame, source: PageSource = PageSource("aa", per_station=True)) -> DataFrame:
     """Pages with one column per station: header links, labelled rows and the first problem found."""
 
-    def read(page: Element, url: str) -> dict:
-        section, named = _result_section(page, source), _named(page, *STATED)
-        table = (section or page).find(lambda e: e.tag == "table" and {"table-result", f"table-xs{source.region}"} <= set(e.classes()))
-        links, rows = [], []
-        if table:
-            heads = [h for h in table.all("h3") if h.owner("thead") is not None and h.owner("thead").owner("table") is table]
-            links = _links([a for h in heads for a in h.all("a") if "href" in a.attributes], url)
-            for row in _own_rows(table, "tbody"):
-                label = _direct(row, "th")
-                if label:
-                    cells = [[s.joined() for s in c.walk() if s.tag == "span" and "xs_prize1" in s.classes()] for c in _direct(row, "td")]
-                    rows.append({"label": label[0].text(), "cells": cells})
+    def layout(part: Element) -> tuple[bool, list[Element], list[tuple[Element, list[list[Element]]]]]:
+        """Whether there is a table, its links, and its rows: label and the values' elements for each cell."""
+        table = part.find(lambda e: e.tag == "table" and {"table-result", f"table-xs{source.region}"} <= set(e.classes()))
+        if table is None:
+            return False, [], []
+        heads = [h for h in table.all("h3") if h.owner("thead") is not None and h.owner("thead").owner("table") is table]
+        rows = [(label[0], _direct(row, "td")) for row in _own_rows(table, "tbody") if (label := _direct(row, "th"))]
+        return True, [a for h in heads for a in h.all("a") if "href" in a.attributes], [
+            (label, [[s for s in c.walk() if s.tag == "span" and "xs_prize1" in s.classes()] for c in cells]) for label, cells in rows]
+
+    def read(page: Page, url: str) -> dict:
+        section, named = _result_section(page, source), _stated(page)
+        has_table, anchors, rows = page.once(("table", section), lambda: layout(section or page))
         return {"page_date": represented_date(section, named, source), "other_region": other_region(named, source), "notice": notice_of(page),
-                "has_table": table is not None, "links": links, "rows": rows}
+                "has_table": has_table, "links": _links(anchors, url),
+                "rows": [{"label": label.text(), "cells": [[s.joined() for s in c] for c in cells]} for label, cells in rows]}
 
     out = _parsed(pages, read, _TABLE)
     problem = F.coalesce(
@@ -305,18 +321,23 @@ def page_station_table(tables: DataFrame) -> DataFrame:
 def fallback_tables(pages: DataFrame, source: PageSource = PageSource("aa", per_station=True)) -> DataFrame:
     """The second source: plain cells with values separated by markup; only digit texts count."""
 
-    def read(page: Element, url: str) -> dict:
+    def layout(page: Page) -> tuple[bool, list[Element], list[tuple[Element | None, list[list[tuple[list, int]]]]]]:
+        """Whether there is a table, its links, and its rows: label and where the texts of each cell stand."""
         table = page.find(lambda e: e.tag == "table" and f"tbl-xs{source.region}" in e.classes())
-        links, rows = [], []
-        if table:
-            first, *others = [*_own_rows(table), None]
-            heads = _direct(first, "th")[1:] if first else []
-            links = _links([a for h in heads for a in (h.all("a") or [Element("a", {}, None)])[:1]], url)
-            for row in others[:-1]:
-                cells = _direct(row, "th", "td")
-                values = [[v for s in c.strings() if (v := s.strip()).isascii() and v.isdigit()] for c in cells[1:]]
-                rows.append({"label": cells[0].text() if cells else "", "cells": values})
-        return {"page_date": headed_date(_named(page, *STATED)), "other_region": False, "notice": None, "has_table": table is not None, "links": links, "rows": rows}
+        if table is None:
+            return False, [], []
+        own = _own_rows(table)
+        heads = _direct(own[0], "th")[1:] if own else []
+        rows = [_direct(row, "th", "td") for row in own[1:]]
+        return True, [a for h in heads for a in (h.all("a") or [Element("a", {}, None)])[:1]], [
+            (cells[0] if cells else None, [c.places() for c in cells[1:]]) for cells in rows]
+
+    def read(page: Page, url: str) -> dict:
+        has_table, anchors, rows = page.once("table", lambda: layout(page))
+        return {
+            "page_date": headed_date(_stated(page)), "other_region": False, "notice": None, "has_table": has_table, "links": _links(anchors, url),
+            "rows": [{"label": "" if label is None else label.text(),
+                      "cells": [[v for texts, at in c if (v := texts[at].strip()).isascii() and v.isdigit()] for c in cells]} for label, cells in rows]}
 
     out = _parsed(pages, read, _TABLE)
     problem = F.coalesce(date_problem(F.col("page_date"), F.col("selected_date")), _table_problem(FALLBACK_ROW_LABELS, FALLBACK_LINK))
@@ -339,7 +360,7 @@ def station_violations(draws: DataFrame, keys: list[str], profile: Profile = STA
 def page_outlines(pages: DataFrame) -> DataFrame:
     """Title, first heading, number of links and the hosts they name, of any page."""
 
-    def read(page: Element, url: str) -> dict:
+    def read(page: Page, url: str) -> dict:
         title, heading = page.find(lambda e: e.tag == "title"), page.find(lambda e: e.tag == "h1")
         links = [urljoin(url, a.attributes["href"]) for a in page.all("a") if "href" in a.attributes]
         hosts = {m[1].lower() for m in (re.match(r"https?://([^/?#]+)", link) for link in links) if m}

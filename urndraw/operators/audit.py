@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from urndraw.functions.ranking import first_k_per
 from urndraw.functions.text import is_digits, tail_2d, zero_pad
 from urndraw.operators.calendars import set_mismatch
+from urndraw.operators.census import count_numbers, different, repeated_numbers
 from urndraw.operators.state import release_integrity
 from urndraw.spec import SAMPLE_LIMIT, STATUSES, Profile
 
@@ -112,10 +113,9 @@ def _cells_in(p: Published) -> DataFrame:
     return _cells(p).where(p.between(F.col("_day")))
 
 
-def _frequencies(p: Published) -> DataFrame:
-    """The dense fact as counts per number and stated frequency."""
-    keys = [*_grain(p), "number_2d"]
-    return p.shared("frequencies", lambda: _loto_in(p).groupBy(*keys, _whole(p.loto, "frequency").alias("_f")).agg(F.count(F.lit(1)).alias("_n")))
+def _numbers(p: Published) -> DataFrame:
+    """The dense fact counted by draw: what all its grouped rules read."""
+    return p.shared("numbers", lambda: count_numbers(_loto_in(p), _grain(p), _whole(p.loto, "frequency")))
 
 
 def _times(rows: DataFrame, count: str, text: Column) -> DataFrame:
@@ -165,7 +165,7 @@ def _calendar(p: Published, codes: list[str]) -> DataFrame:
     rows = status_by_date(p)
     aligned = {"success-date-missing-draw-facts", "success-date-missing-loto-facts", "no-draw-has-facts", "incomplete-date-has-facts"}
     if aligned & set(codes):
-        for name, table in (("has_fact", _cells_in(p)), ("has_loto", _frequencies(p))):
+        for name, table in (("has_fact", _cells_in(p)), ("has_loto", _numbers(p))):
             rows = rows.join(table.select("_day").distinct().withColumn(name, F.lit(True)), "_day", "left")
     day, status, raw = _text("_day"), F.col("status"), F.col("raw_status")
     has_fact, has_loto = (F.coalesce(F.col(n), F.lit(False)) if aligned & set(codes) else F.lit(False) for n in ("has_fact", "has_loto"))
@@ -249,14 +249,11 @@ def _loto_rows(p: Published, codes: list[str]) -> DataFrame:
 
 
 def _loto_draws(p: Published, codes: list[str]) -> DataFrame:
-    """Row count, frequency sum and coverage of each draw, from one count per number."""
-    good = is_digits(F.col("number_2d"), 2)
-    per_number = _frequencies(p).groupBy(*_grain(p), "number_2d").agg(
-        F.sum("_n").alias("_n"), F.sum(F.col("_f") * F.col("_n")).alias("_f")
-    )
-    draws = per_number.groupBy(*_grain(p)).agg(
-        F.sum("_n").alias("_rows"), F.sum("_f").alias("_sum"),
-        F.count(F.when(good, 1)).alias("_in"), F.count(F.when(~good, 1)).alias("_out"),
+    """Row count, frequency sum and coverage of each draw."""
+    good = is_digits(F.col("number"), 2)
+    draws = _numbers(p).groupBy(*_grain(p)).agg(
+        F.sum("rows").alias("_rows"), F.sum("value").alias("_sum"),
+        F.sum(different() + F.when(good, 1).otherwise(0)).alias("_in"), F.count(F.when(~good, 1)).alias("_out"),
     )
 
     def shown(name):
@@ -272,14 +269,14 @@ def _loto_draws(p: Published, codes: list[str]) -> DataFrame:
 
 def _loto_duplicate(p):
     keys = [*_grain(p), "number_2d"]
-    return _times(_frequencies(p).groupBy(*keys).agg(F.sum("_n").alias("_n")).where("_n > 1"), "_n", _text(*keys))
+    return _times(repeated_numbers(_numbers(p), _grain(p)), "rows", _text(*keys))
 
 
 def _loto_mismatch(p):
     keys = [*_grain(p), "number_2d"]
     again = _cells_in(p).groupBy(*_grain(p), F.col("loto_2d").alias("number_2d")).agg(F.sum("_n").alias("_expected"))
-    rows = _frequencies(p).join(again, keys, "left")
-    return _times(rows.where(~F.col("_f").eqNullSafe(F.coalesce("_expected", F.lit(0)))), "_n", _text(*keys))
+    rows = _loto_in(p).select(*keys, _whole(p.loto, "frequency").alias("_f")).join(again, keys, "left")
+    return _bad(rows.where(~F.col("_f").eqNullSafe(F.coalesce("_expected", F.lit(0)))), _text(*keys))
 
 
 def _station_sets(p):
@@ -289,7 +286,7 @@ def _station_sets(p):
         set_mismatch(
             rows.select("_day", "station_code").distinct().join(success, "_day", "left_semi"), expected, ["_day", "station_code"]
         )
-        for rows in (_cells_in(p), _frequencies(p))
+        for rows in (_cells_in(p), _numbers(p))
     ]
     return _bad(wrong[0].unionByName(wrong[1]).select("_day").distinct(), _text("_day"))
 

@@ -369,7 +369,9 @@ FROM ({RULE_SQL[code]})"""
 
 
 def _register(code):
-    query("audit_" + code.replace("-", "_"), _finding_sql(code))(lambda spark, sf: audit.findings(published(spark, sf), [code]))
+    # offences are stored, so that counting them and taking samples do not work them out twice
+    query("audit_" + code.replace("-", "_"), _finding_sql(code))(
+        lambda spark, sf: audit.findings(published(spark, sf), [code], fresh_dir(spark, "offences")))
 
 
 for _code in audit.RULES:
